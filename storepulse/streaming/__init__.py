@@ -1,0 +1,9 @@
+"""No streaming operators.
+
+The original job has no stream, watermark, window-over-time or state: every
+run re-reads the complete extracts and recomputes the weekly figures. The
+reports here are therefore batch jobs. An extract that lands incrementally
+is still read by the same batch readers (``sources.readers``) over the
+landed folder, which is partitioned by invoice month so the date filter of
+a report prunes whole partitions.
+"""
