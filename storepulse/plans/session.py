@@ -5,8 +5,11 @@
   report frames are tiny, so post-shuffle partitions are merged; a hot
   join key on the lineitem side is split across tasks.
 * Broadcast only through the planner's own size check
-  (``autoBroadcastJoinThreshold`` from statistics, AQE from runtime
-  sizes); no operator forces a broadcast of a frame that grows with data.
+  (``autoBroadcastJoinThreshold`` from file statistics, AQE from runtime
+  shuffle sizes); no operator forces a broadcast of a frame that grows with
+  data. The static threshold is kept small (2 MB) so that only
+  dimension-sized tables qualify: a fact table is never picked as the build
+  side just because a small test file happens to fit.
 * No UI server.
 """
 
@@ -23,11 +26,14 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(2 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Generated stage methods above HotSpot's JIT limit run interpreted; with
+    # this cap such a stage falls back to per-expression codegen instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -1,0 +1,113 @@
+"""Readers for landed extracts and the star-schema adapters."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from storepulse.operators import sales
+from storepulse.plans.registry import FIXTURE_EXCLUDED, fixture_windows
+from storepulse.sources import readers, tables
+
+
+def _write(path, records):
+    with open(path, "w") as fh:
+        for r in records:
+            fh.write(json.dumps(r) + "\n")
+    return path
+
+
+INVOICES = [
+    {"_id": "1", "invoicedate": "2001-07-25T10:00:00.000Z",
+     "customerDetails": {"name": "ann"},
+     "storeDetails": {"name": "S1", "territory": {"name": "T1"}},
+     "product": [
+         {"soldqty": 2, "sellingprice": 100.0, "servicecharge": 0, "gst": 0,
+          "purchaseProductDetails": {"category": {"name": "A"}},
+          "lotDetails": {"rate": 50, "discount": 0, "cnStockproduct": 0, "subqty": 10,
+                         "transportCharges": 0, "otherCharges": 0}},
+         {"soldqty": 1, "sellingprice": 300.0, "servicecharge": 0, "gst": 0,
+          "purchaseProductDetails": {"category": {"name": "B"}},
+          "lotDetails": {"rate": 100, "discount": 0, "cnStockproduct": 0, "subqty": 0,
+                         "transportCharges": 0, "otherCharges": 0}}]},
+    {"_id": "2", "invoicedate": "2001-07-26T10:00:00Z", "customerDetails": {"name": "bob"},
+     "storeDetails": {"name": "S2", "territory": {"name": None}}, "product": []},
+    {"_id": "3", "invoicedate": "2001-07-27T10:00:00Z", "customerDetails": {"name": "cid"},
+     "storeDetails": {"name": "S2", "territory": {"name": "T2"}}},
+]
+
+
+def test_read_sales_json_and_explode(spark, tmp_out):
+    path = _write(os.path.join(tmp_out, "sales.json"), INVOICES)
+    inv = readers.read_sales(spark, path)
+    lines = readers.sale_lines_frame(inv)
+    got = sorted((r.invoice_id, r.category, r.store, r.soldqty) for r in lines.collect())
+    assert got == [("1", "A", "S1", 2.0), ("1", "B", "S1", 1.0)]      # empty / missing product: no line
+    out = sales.achieved_by(lines, fixture_windows(), "category", (), digits=None)
+    assert {r.category for r in out.collect()} == {"A", "B"}
+    assert readers.invoice_frame(inv).count() == 3
+
+
+def test_failfast_rejects_malformed_extract(spark, tmp_out):
+    path = os.path.join(tmp_out, "bad.json")
+    with open(path, "w") as fh:
+        fh.write('{"_id": "1", "invoicedate": "2001-07-25T10:00:00Z"}\n{not json\n')
+    with pytest.raises(Exception):
+        readers.read_sales(spark, path).collect()
+
+
+def test_required_fields_checked_from_schema(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(readers.ExtractError):
+        readers.require_fields(df, ["a", "b.c"])
+
+
+def test_lots_frame_parses_mixed_invoice_dates(spark, tmp_out):
+    recs = [
+        {"storeDetails": {"name": "S", "territory": {"name": "T"}}, "status": "InStock", "rate": 1, "subqty": 2,
+         "soldqty": 1, "expirydate": "2002-01-01T00:00:00Z", "productDetails": {"category": {"name": "A"}},
+         "invoice": {"invoicedate": d}}
+        for d in ("2001-07-01T10:00:00.000Z", "2001-07-01 10:00:00", "01/07/2001")
+    ]
+    path = _write(os.path.join(tmp_out, "lots.json"), recs)
+    lots = readers.lots_frame(readers.read_lots(spark, path))
+    got = sorted(str(r.invoicedate) for r in lots.collect())
+    assert got == ["2001-07-01 00:00:00", "2001-07-01 10:00:00", "2001-07-01 10:00:00"]
+
+
+def test_nested_and_flat_lines_agree(spark):
+    flat = tables.sale_lines(spark, SF001)
+    nested = readers.sale_lines_frame(tables.invoices(spark, SF001)).withColumn(
+        "invoice_id", F.col("invoice_id").cast("long"))
+    assert flat.count() == nested.count()
+    assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0
+
+
+def test_invoices_keep_orders_without_lines(spark):
+    inv = tables.invoices(spark, SF001)
+    orders = tables.table(spark, SF001, "orders").count()
+    assert inv.count() == orders
+    assert inv.filter(F.size("product") == 0).count() > 0
+
+
+def test_line_column_subsets_prune_joins(spark):
+    from storepulse.plans.session import explain_text
+
+    plan = explain_text(tables.sale_lines(spark, SF001, ["invoicedate", "soldqty", "sellingprice"]))
+    assert "part.parquet" not in plan and "supplier.parquet" not in plan and "customer.parquet" not in plan
+    full = explain_text(tables.sale_lines(spark, SF001))
+    assert "part.parquet" in full and "supplier.parquet" in full
+
+
+def test_targets_month_total(spark):
+    t = tables.targets(spark, SF001)
+    r = t.groupBy("Store", "TM", "Category", "Year", "Month").agg(
+        F.sum("Daily_Target").alias("s"), F.max("Target").alias("t"), F.min("Target").alias("u")).collect()
+    assert all(abs(x.s - x.t) < 1e-6 * max(1.0, abs(x.s)) and x.t == x.u for x in r)
+
+
+def test_fixture_exclusion_names_exist(spark):
+    names = {r.n_name for r in tables.table(spark, SF001, "nation").collect()}
+    assert set(FIXTURE_EXCLUDED) <= names
