@@ -129,19 +129,39 @@ def invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header.select(*[_LINE_EXPR[c]().alias(c) for c in ("invoice_id", "invoicedate", "store", "territory", "customer")])
 
 
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Largest number of lines nested into one invoice document.
+MAX_LINES_PER_DOCUMENT = 1000
+
+
+def invoices(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DOCUMENT) -> DataFrame:
     """Nested invoices shaped like the sales extract (``schemas.SALES`` subset).
 
-    Lines are grouped per order with ``collect_list`` (bounded by the lines
-    of one order), and every order is kept, so orders without lines become
-    invoices with an empty ``product`` array.
+    Every order is kept: orders without lines become invoices with an empty
+    ``product`` array. Lines are nested with ``collect_list`` per document,
+    and an invoice with more than ``max_lines`` lines is split into
+    ``ceil(lines / max_lines)`` documents (pages) sharing its ``_id``, so no
+    array and no task holds an unbounded group even if one order carried a
+    large share of all lines. A line's page is a hash of a row id taken at
+    the lineitem scan, so pages hold about ``max_lines`` lines each (a hash
+    spread, not an exact cap); the id is a function of the file split and
+    row position, so a retried task rebuilds the same pages. The line count
+    per order comes from a partial (map-side) aggregate.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").withColumn("_row", F.monotonically_increasing_id())
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    facts = li.join(part, li.l_partkey == part.p_partkey, "left").join(
-        supplier, li.l_suppkey == supplier.s_suppkey, "left"
+    counts = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("c_orderkey"))
+        .agg(F.count(F.lit(1)).alias("n_lines"))
+    )
+    facts = (
+        li.join(counts, li.l_orderkey == counts.c_orderkey, "inner")
+        .join(part, li.l_partkey == part.p_partkey, "left")
+        .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
     )
+    pages = F.ceil(F.col("n_lines") / F.lit(float(max_lines))).cast("long")
+    facts = facts.withColumn("_page", F.pmod(F.xxhash64("_row"), pages))
     element = F.struct(
         _LINE_EXPR["soldqty"]().alias("soldqty"),
         _LINE_EXPR["servicecharge"]().alias("servicecharge"),
@@ -171,7 +191,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("s_name").alias("name")).alias("supplierDetails"),
         F.lit(None).cast("double").alias("storeTargetPerProduct"),
     )
-    products = facts.groupBy("l_orderkey").agg(F.collect_list(element).alias("product"))
+    products = facts.groupBy("l_orderkey", "_page").agg(F.collect_list(element).alias("product"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     header = (

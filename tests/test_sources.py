@@ -85,6 +85,16 @@ def test_nested_and_flat_lines_agree(spark):
     assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0
 
 
+def test_large_invoices_are_split_into_pages(spark):
+    paged = tables.invoices(spark, SF001, max_lines=2)
+    docs = paged.groupBy("_id").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("product")).alias("lines"))
+    assert docs.agg(F.max("docs")).first()[0] > 1
+    flat = tables.sale_lines(spark, SF001)
+    nested = readers.sale_lines_frame(paged).withColumn("invoice_id", F.col("invoice_id").cast("long"))
+    assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0
+    assert docs.agg(F.countDistinct("_id")).first()[0] == tables.table(spark, SF001, "orders").count()
+
+
 def test_invoices_keep_orders_without_lines(spark):
     inv = tables.invoices(spark, SF001)
     orders = tables.table(spark, SF001, "orders").count()
