@@ -83,52 +83,98 @@ def _today(as_of: dt.datetime | dt.date):
     return F.lit(as_utc(as_of).date())
 
 
-def lot_model_rows(lots: DataFrame, as_of: dt.datetime | dt.date) -> DataFrame:
-    """Every per-row column of the model (all but the weighted age)."""
+def _derived(as_of: dt.datetime | dt.date):
+    """Derived model columns in two steps: (name, expression, columns it reads)."""
     today = _today(as_of)
     price = clean_double(F.col("purchasingprice_unit_xgst"))
-    returned = F.when(F.col("status") == F.lit(STATUS_CREDITNOTE_MODEL), F.col("subqty")).otherwise(F.lit(0))
-    available = (F.col("subqty") - (F.col("soldqty") + returned)).cast("long")
-    age_days = F.datediff(today, F.to_date("invoicedate")).cast("long")
+    st, sub, sold = F.col("status"), F.col("subqty"), F.col("soldqty")
+    returned = F.when(st == F.lit(STATUS_CREDITNOTE_MODEL), sub).otherwise(F.lit(0))
     clock = F.datediff(F.to_date("expirydate"), today).cast("long")
-    is_stock = F.coalesce(F.col("status").contains(STATUS_STOCK_MARKER), F.lit(False))
-    clock_stock = F.when(is_stock, clock).otherwise(F.lit(0).cast("long"))
+    is_stock = F.coalesce(st.contains(STATUS_STOCK_MARKER), F.lit(False))
     band = expiry_band_seq(F.col("expiry_clock_stock"))
-    sp_xgst = F.col("sellingprice_unit_igst") / (F.lit(1.0) + F.col("gst_pct") / F.lit(100.0))
-    step1 = lots.select(
-        "*",
-        sp_xgst.alias("sellingprice_unit_xgst"),
-        fiscal_year_label(F.col("invoicedate")).alias("fiscal_year"),
-        returned.cast("double").alias("returned_qty"),
-        available.alias("available_qty"),
-        age_days.alias("inventory_age_days"),
-        clock.alias("expiry_clock"),
-        clock_stock.alias("expiry_clock_stock"),
-    )
-    return step1.select(
-        "*",
-        (F.col("available_qty") * price).alias("current_inventory_value"),
-        (F.col("soldqty") * price).alias("sold_inventory_value"),
-        (F.col("returned_qty") * price).alias("returned_inventory"),
-        (F.col("inventory_age_days") / F.lit(7.0)).alias("inventory_age_weeks"),
-        (F.col("inventory_age_days") / F.lit(30.0)).alias("inventory_age_months"),
-        expiry_band_label(band).alias("expiry_filter"),
-        band.alias("exp_seq"),
-        before_last_space(F.col("store")).alias("first_store_name"),
-        (price * F.col("subqty") - F.col("cnStockproduct")).alias("cndiff"),
-        (F.col("available_qty") * F.col("sellingprice_unit_xgst")).alias("current_inventory_selling_price"),
-        F.to_date("invoicedate").alias("invoicedate_relationship"),
+    first = [
+        ("sellingprice_unit_xgst",
+         F.col("sellingprice_unit_igst") / (F.lit(1.0) + F.col("gst_pct") / F.lit(100.0)),
+         {"sellingprice_unit_igst", "gst_pct"}),
+        ("fiscal_year", fiscal_year_label(F.col("invoicedate")), {"invoicedate"}),
+        ("returned_qty", returned.cast("double"), {"status", "subqty"}),
+        ("available_qty", _available(st, sub, sold), {"status", "subqty", "soldqty"}),
+        ("inventory_age_days", F.datediff(today, F.to_date("invoicedate")).cast("long"), {"invoicedate"}),
+        ("expiry_clock", clock, {"expirydate"}),
+        ("expiry_clock_stock", F.when(is_stock, clock).otherwise(F.lit(0).cast("long")), {"status", "expirydate"}),
+    ]
+    second = [
+        ("current_inventory_value", F.col("available_qty") * price, {"available_qty", "purchasingprice_unit_xgst"}),
+        ("sold_inventory_value", F.col("soldqty") * price, {"soldqty", "purchasingprice_unit_xgst"}),
+        ("returned_inventory", F.col("returned_qty") * price, {"returned_qty", "purchasingprice_unit_xgst"}),
+        ("inventory_age_weeks", F.col("inventory_age_days") / F.lit(7.0), {"inventory_age_days"}),
+        ("inventory_age_months", F.col("inventory_age_days") / F.lit(30.0), {"inventory_age_days"}),
+        ("expiry_filter", expiry_band_label(band), {"expiry_clock_stock"}),
+        ("exp_seq", band, {"expiry_clock_stock"}),
+        ("first_store_name", before_last_space(F.col("store")), {"store"}),
+        ("cndiff", price * F.col("subqty") - F.col("cnStockproduct"),
+         {"purchasingprice_unit_xgst", "subqty", "cnStockproduct"}),
+        ("current_inventory_selling_price", F.col("available_qty") * F.col("sellingprice_unit_xgst"),
+         {"available_qty", "sellingprice_unit_xgst"}),
+        ("invoicedate_relationship", F.to_date("invoicedate"), {"invoicedate"}),
+    ]
+    return first, second
+
+
+def lot_model_rows(lots: DataFrame, as_of: dt.datetime | dt.date) -> DataFrame:
+    """Every per-row column of the model (all but the weighted age).
+
+    Given only some of the wide lot columns, it derives just the columns
+    those inputs allow, so a roll-up can ask its source for a few columns
+    and skip the joins the rest would need.
+    """
+    first, second = _derived(as_of)
+    have = set(lots.columns)
+    step1 = lots.select("*", *[e.alias(n) for n, e, needs in first if needs <= have])
+    have = set(step1.columns)
+    return step1.select("*", *[e.alias(n) for n, e, needs in second if needs <= have])
+
+
+# Wide lot columns the roll-ups (bands, fiscal year, weighted age by category) read.
+ROLLUP_INPUTS = ("purchasingprice_unit_xgst", "status", "subqty", "soldqty", "invoicedate", "expirydate", "category_name")
+
+
+# Columns the stock-value total needs (a source may build just these).
+TOTAL_COLUMNS = ("purchasingprice_unit_xgst", "subqty", "soldqty", "status")
+
+
+def _available(status, subqty, soldqty):
+    returned = F.when(status == F.lit(STATUS_CREDITNOTE_MODEL), subqty).otherwise(F.lit(0))
+    return (subqty - (soldqty + returned)).cast("long")
+
+
+def stock_value_total(lots: DataFrame):
+    """Scalar subquery: total current stock value of all lots (model rules)."""
+    value = _available(F.col("status"), F.col("subqty"), F.col("soldqty")) * clean_double(
+        F.col("purchasingprice_unit_xgst")
     )
+    return lots.select(F.sum(value)).scalar()
 
 
-def lot_model(lots: DataFrame, as_of: dt.datetime | dt.date) -> DataFrame:
-    """The full enriched lot table, ``MODEL_COLUMNS`` in order."""
+def lot_model(lots: DataFrame, as_of: dt.datetime | dt.date, total_from: DataFrame | None = None) -> DataFrame:
+    """The enriched lot table, ``MODEL_COLUMNS`` in order (those ``lots`` allows).
+
+    ``total_from`` may give the same lots with only ``TOTAL_COLUMNS`` (so
+    the total's pass skips joins the total does not need); by default the
+    total is taken over ``lots``.
+    """
     rows = lot_model_rows(lots, as_of)
-    total = rows.select(F.sum("current_inventory_value")).scalar()
+    total = stock_value_total(total_from if total_from is not None else lots)
+    return with_weighted_age(rows, total)
+
+
+def with_weighted_age(rows: DataFrame, total) -> DataFrame:
+    """Add ``average_inventory_age`` (value-weighted age share) to model rows."""
     weighted = F.try_divide(
         F.col("purchasingprice_unit_xgst") * F.col("inventory_age_days") * F.col("available_qty"), total
     )
-    return rows.withColumn("average_inventory_age", weighted).select(*MODEL_COLUMNS)
+    out = rows.withColumn("average_inventory_age", weighted)
+    return out.select(*[c for c in MODEL_COLUMNS if c in out.columns])
 
 
 def expiry_bands(model: DataFrame) -> DataFrame:

@@ -216,8 +216,10 @@ def customers_total(spark, sf):
 
 # --- B20: BI lot model -------------------------------------------------------------
 
-def _model(spark, sf):
-    return lot_model.lot_model(tables.lots_wide(spark, sf), FIXTURE_AS_OF)
+def _model(spark, sf, columns=None):
+    totals = tables.lots_wide(spark, sf, lot_model.TOTAL_COLUMNS)
+    lots = tables.lots_wide(spark, sf) if columns is None else tables.lots_wide(spark, sf, columns)
+    return lot_model.lot_model(lots, FIXTURE_AS_OF, total_from=totals)
 
 
 def lot_model_table(spark, sf):
@@ -226,15 +228,15 @@ def lot_model_table(spark, sf):
 
 
 def lot_expiry_bands(spark, sf):
-    return lot_model.expiry_bands(_model(spark, sf))
+    return lot_model.expiry_bands(_model(spark, sf, lot_model.ROLLUP_INPUTS))
 
 
 def lot_weighted_age(spark, sf):
-    return lot_model.weighted_age(_model(spark, sf))
+    return lot_model.weighted_age(_model(spark, sf, lot_model.ROLLUP_INPUTS))
 
 
 def lot_fiscal_year(spark, sf):
-    return lot_model.fiscal_year_summary(_model(spark, sf))
+    return lot_model.fiscal_year_summary(_model(spark, sf, lot_model.ROLLUP_INPUTS))
 
 
 # --- B19: wide layouts --------------------------------------------------------------

@@ -102,6 +102,19 @@ def stage(df, name: str):
     return spark.read.parquet(path)
 
 
+def spread_scan(scan):
+    """Round-robin a plain file scan over the default parallelism if it has fewer splits.
+
+    Only for a scan with no exchange below it: counting its partitions just
+    lists and splits the files, it runs no job. An input of a few
+    unsplittable files (one big row group) would otherwise push every
+    narrow operator after it through a single task; a large input has far
+    more splits than cores and is returned unchanged (no shuffle added).
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def explain_text(df, mode: str = "formatted") -> str:
     """The physical plan as text (for plan checks in tests)."""
     import contextlib

@@ -32,20 +32,25 @@ from pyspark.sql import functions as F
 from ..functions.constants import EXCLUDED_TERRITORIES
 from ..functions.dates import as_utc, reporting_windows, window_span
 from ..operators import customers, inventory, lot_model, sales
-from ..sinks.writers import publish
+from ..sinks.writers import publish, write_report
 from ..sources import tables
 from .session import build_session, stage
 
 
 @dataclass
 class Inputs:
-    """Flat inputs of the weekly job (see ``sources.schemas`` for columns)."""
+    """Flat inputs of the weekly job (see ``sources.schemas`` for columns).
+
+    ``lot_totals`` optionally carries the same lots as ``lots_wide`` with
+    only ``lot_model.TOTAL_COLUMNS``, so the stock-value total skips joins.
+    """
 
     lines: DataFrame
     targets: DataFrame
     invoices: DataFrame
     lots: DataFrame
     lots_wide: DataFrame
+    lot_totals: DataFrame | None = None
 
 
 @dataclass
@@ -62,39 +67,40 @@ def inputs_from_tables(spark: SparkSession, sf_dir: str) -> Inputs:
         invoices=tables.invoice_rows(spark, sf_dir),
         lots=tables.lots(spark, sf_dir),
         lots_wide=tables.lots_wide(spark, sf_dir),
+        lot_totals=tables.lots_wide(spark, sf_dir, lot_model.TOTAL_COLUMNS),
     )
 
 
 def stage_inputs(inputs: Inputs, cfg: WeeklyConfig, run_id: str | None = None) -> Inputs:
-    """Restrict sales and targets to the reporting span, then stage the shared frames."""
+    """Restrict sales and targets to the reporting span, then stage what many reports share.
+
+    Lines feed fourteen reports, targets five, lots six; invoices feed two
+    light counts and are not staged. The BI lot table is not staged here:
+    it is itself a published report (see :func:`run_weekly`).
+    """
     run = run_id or uuid.uuid4().hex[:12]
     lo, hi = window_span(reporting_windows(cfg.as_of, cfg.end_policy))
     lines = inputs.lines.filter(F.col("invoicedate").between(F.lit(lo), F.lit(hi)))
     tgt = inputs.targets.filter(F.col("Date").between(F.lit(lo), F.lit(hi)))
-    model = lot_model.lot_model_rows(inputs.lots_wide, cfg.as_of)
     return Inputs(
         lines=stage(lines, f"{run}/lines"),
         targets=stage(tgt, f"{run}/targets"),
-        invoices=inputs.invoices,       # read once by the two customer counts; not worth staging
+        invoices=inputs.invoices,
         lots=stage(inputs.lots, f"{run}/lots"),
-        lots_wide=stage(model, f"{run}/lot_model_rows"),
+        lots_wide=inputs.lots_wide,
+        lot_totals=inputs.lot_totals,
     )
 
 
-def weekly_reports(inputs: Inputs, cfg: WeeklyConfig) -> dict[str, DataFrame]:
-    """Every report as a lazy frame over ``inputs`` (staged or not)."""
+def model_table(inputs: Inputs, cfg: WeeklyConfig) -> DataFrame:
+    return lot_model.lot_model(inputs.lots_wide, cfg.as_of, total_from=inputs.lot_totals)
+
+
+def sales_and_stock_reports(inputs: Inputs, cfg: WeeklyConfig) -> dict[str, DataFrame]:
+    """Every report over lines, targets, invoices and narrow lots."""
     w = reporting_windows(cfg.as_of, cfg.end_policy)
     ex = list(cfg.excluded)
     lines, tgt, lots = inputs.lines, inputs.targets, inputs.lots
-    rows = inputs.lots_wide
-    if "average_inventory_age" not in rows.columns:
-        if "expiry_clock_stock" not in rows.columns:
-            rows = lot_model.lot_model_rows(rows, cfg.as_of)
-        total = rows.select(F.sum("current_inventory_value")).scalar()
-        rows = rows.withColumn(
-            "average_inventory_age",
-            F.try_divide(F.col("purchasingprice_unit_xgst") * F.col("inventory_age_days") * F.col("available_qty"), total),
-        ).select(*lot_model.MODEL_COLUMNS)
     reports: dict[str, Callable[[], DataFrame]] = {
         "sales_summary": lambda: sales.sales_summary(lines, tgt, w),
         "category_margin": lambda: sales.margin_by(lines, w, "category", ex),
@@ -118,14 +124,25 @@ def weekly_reports(inputs: Inputs, cfg: WeeklyConfig) -> dict[str, DataFrame]:
         "expiry_grid_by_category": lambda: inventory.expiry_grid(lots, cfg.as_of, "category"),
         "customers_by_territory": lambda: customers.customers_by_territory(inputs.invoices, ex),
         "customers_total": lambda: customers.customers_total(inputs.invoices, ex),
-        "lot_model": lambda: rows,
-        "lot_expiry_bands": lambda: lot_model.expiry_bands(rows),
-        "lot_weighted_age": lambda: lot_model.weighted_age(rows),
-        "lot_fiscal_year": lambda: lot_model.fiscal_year_summary(rows),
     }
     return {name: make() for name, make in reports.items()}
 
 
+def model_reports(model: DataFrame) -> dict[str, DataFrame]:
+    """Roll-ups of the (published or staged) BI lot table."""
+    return {
+        "lot_expiry_bands": lot_model.expiry_bands(model),
+        "lot_weighted_age": lot_model.weighted_age(model),
+        "lot_fiscal_year": lot_model.fiscal_year_summary(model),
+    }
+
+
+def weekly_reports(inputs: Inputs, cfg: WeeklyConfig) -> dict[str, DataFrame]:
+    """Every report as a lazy frame over ``inputs`` (staged or not)."""
+    model = model_table(inputs, cfg)
+    return {**sales_and_stock_reports(inputs, cfg), "lot_model": model, **model_reports(model)}
+
+
 def run_weekly(
     spark: SparkSession,
     inputs: Inputs,
@@ -133,12 +150,24 @@ def run_weekly(
     out_root: str | None = None,
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
-    """Stage the inputs, build every report, and publish them if ``out_root`` is given."""
+    """Stage the shared inputs, build every report, publish them if ``out_root`` is given.
+
+    The BI lot table is written once (published, or staged when nothing is
+    published) and its roll-ups read that written table back, so the wide
+    per-lot projection runs once and each roll-up reads a few columns.
+    """
     staged = stage_inputs(inputs, cfg)
-    reports = weekly_reports(staged, cfg)
+    model = model_table(staged, cfg)
+    if out_root and fmt == "parquet":
+        model = spark.read.parquet(write_report(model, f"{out_root.rstrip('/')}/lot_model", fmt, files=None))
+    else:
+        model = stage(model, f"model-{uuid.uuid4().hex[:12]}")
+        if out_root:
+            write_report(model, f"{out_root.rstrip('/')}/lot_model", fmt, files=None)
+    reports = {**sales_and_stock_reports(staged, cfg), **model_reports(model)}
     if out_root:
-        publish(reports, out_root, fmt, large=("lot_model",))
-    return reports
+        publish(reports, out_root, fmt)
+    return {**reports, "lot_model": model}
 
 
 def main(argv: Sequence[str] | None = None) -> int:

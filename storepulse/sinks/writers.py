@@ -28,9 +28,7 @@ def write_report(
     """Write one report; ``files=None`` keeps the frame's partitioning."""
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
-    out = df
-    if files is not None:
-        out = out.coalesce(files)
+    out = df if files is None else df.coalesce(files)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     writer = out.write.mode(mode).format(fmt)

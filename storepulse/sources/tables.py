@@ -25,6 +25,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.session import spread_scan
 from . import schemas
 
 TABLES = (
@@ -275,70 +276,88 @@ def _expiry() -> Column:
     return F.timestamp_add("DAY", F.col("p_size") * F.lit(10), F.col("l_shipdate")).cast("timestamp")
 
 
-def _lot_base(spark: SparkSession, sf_dir: str, with_region: bool) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
-    base = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
-        .join(part, li.l_partkey == part.p_partkey, "left")
-        .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
-        .join(_nation(spark, sf_dir, "s"), F.col("s_nationkey") == F.col("s_n_key"), "left")
-    )
-    if with_region:
+def _lot_id() -> Column:
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+
+
+# column -> (expression, tables it needs beyond lineitem)
+_LOT_EXPR = {
+    "store": (lambda: F.col("s_name"), {"supplier"}),
+    "territory": (lambda: F.col("s_n_name"), {"supplier", "nation"}),
+    "category": (lambda: F.col("p_type"), {"part"}),
+    "status": (lambda: _status("creditnote"), set()),
+    "rate": (lambda: F.col("p_retailprice"), {"part"}),
+    "subqty": (lambda: F.col("l_quantity"), set()),
+    "soldqty": (lambda: F.least(F.col("l_quantity"), F.col("p_size").cast("double")), {"part"}),
+    "expirydate": (lambda: _expiry(), {"part"}),
+    "invoicedate": (lambda: _ts("o_orderdate"), {"orders"}),
+}
+
+_LOT_WIDE_EXPR = {
+    "_id": (_lot_id, set()),
+    "id": (_lot_id, set()),
+    "createddate": (lambda: _ts("o_orderdate"), {"orders"}),
+    "receiveddate": (lambda: _ts("l_shipdate"), set()),
+    "dateofmanufacturing": (lambda: _ts("o_orderdate"), {"orders"}),
+    "expirydate": (lambda: _expiry(), {"part"}),
+    "gst_pct": (lambda: _LINE_EXPR["gst"](), set()),
+    "purchasingprice_unit_xgst": (lambda: F.col("p_retailprice"), {"part"}),
+    "sellingprice_unit_igst": (lambda: _LINE_EXPR["sellingprice"](), set()),
+    "subqty": (lambda: F.col("l_quantity").cast("long"), set()),
+    "soldqty": (lambda: F.least(F.col("l_quantity"), F.col("p_size").cast("double")).cast("long"), {"part"}),
+    "status": (lambda: _status("CreditNote"), set()),
+    "cnStockproduct": (lambda: _LINE_EXPR["cn_stock"](), {"part"}),
+    "transportCharges": (lambda: _LINE_EXPR["transport_charges"](), {"supplier"}),
+    "otherCharges": (lambda: _LINE_EXPR["other_charges"](), {"part"}),
+    "store_ref": (lambda: F.col("s_suppkey").cast("string"), {"supplier"}),
+    "invoiceno": (lambda: F.col("o_orderkey").cast("string"), {"orders"}),
+    "invoicedate": (lambda: _ts("o_orderdate"), {"orders"}),
+    "po_ref": (lambda: F.col("o_custkey").cast("string"), {"orders"}),
+    "invoice_amount": (lambda: F.col("o_totalprice"), {"orders"}),
+    "invoice_amount_xgst": (lambda: F.round(F.col("o_totalprice") / F.lit(1.18), 2), {"orders"}),
+    "product_name": (lambda: F.col("p_name"), {"part"}),
+    "category_name": (lambda: F.col("p_type"), {"part"}),
+    "sub_category_name": (lambda: F.col("p_name"), {"part"}),
+    "manufacturer_name": (lambda: F.col("p_brand"), {"part"}),
+    "supplier_id": (lambda: F.col("s_suppkey").cast("string"), {"supplier"}),
+    "supplier_name": (lambda: F.col("s_name"), {"supplier"}),
+    "supplier_gstnumber": (lambda: F.concat(F.lit("GSTIN"), F.col("s_suppkey").cast("string")), {"supplier"}),
+    "store": (lambda: F.col("s_name"), {"supplier"}),
+    "vertical": (lambda: F.col("s_r_name"), {"supplier", "nation", "region"}),
+    "landingrate": (lambda: F.col("p_retailprice"), {"part"}),
+}
+
+
+def _lot_frame(spark: SparkSession, sf_dir: str, exprs: dict, columns: Iterable[str]) -> DataFrame:
+    """One row per lineitem; joins only the tables the requested columns need."""
+    cols = [c for c in exprs if c in set(columns)]
+    need: set[str] = set()
+    for c in cols:
+        need |= exprs[c][1]
+    # Lot frames are narrow pipelines (broadcast joins, projections) with no
+    # shuffle before their consumer, so the lineitem scan sets their width.
+    base = spread_scan(table(spark, sf_dir, "lineitem"))
+    if "orders" in need:
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
+        base = base.join(orders, base.l_orderkey == orders.o_orderkey, "left")
+    if "part" in need:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+        base = base.join(part, base.l_partkey == part.p_partkey, "left")
+    if "supplier" in need:
+        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+        base = base.join(supplier, base.l_suppkey == supplier.s_suppkey, "left")
+    if "nation" in need:
+        base = base.join(_nation(spark, sf_dir, "s"), F.col("s_nationkey") == F.col("s_n_key"), "left")
+    if "region" in need:
         base = base.join(_region(spark, sf_dir, "s"), "s_r_key", "left")
-    return base
-
-
-def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat narrow lots (``schemas.LOT_COLUMNS``): one lot per lineitem."""
-    return _lot_base(spark, sf_dir, with_region=False).select(
-        F.col("s_name").alias("store"),
-        F.col("s_n_name").alias("territory"),
-        F.col("p_type").alias("category"),
-        _status("creditnote").alias("status"),
-        F.col("p_retailprice").alias("rate"),
-        F.col("l_quantity").alias("subqty"),
-        F.least(F.col("l_quantity"), F.col("p_size").cast("double")).alias("soldqty"),
-        _expiry().alias("expirydate"),
-        _ts("o_orderdate").alias("invoicedate"),
-    )
+    return base.select(*[exprs[c][0]().alias(c) for c in cols])
 
 
-def lots_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat BI lots (``schemas.LOT_WIDE_COLUMNS``) from the tables."""
-    lot_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    return _lot_base(spark, sf_dir, with_region=True).select(
-        lot_id.alias("_id"),
-        lot_id.alias("id"),
-        _ts("o_orderdate").alias("createddate"),
-        _ts("l_shipdate").alias("receiveddate"),
-        _ts("o_orderdate").alias("dateofmanufacturing"),
-        _expiry().alias("expirydate"),
-        _LINE_EXPR["gst"]().alias("gst_pct"),
-        F.col("p_retailprice").alias("purchasingprice_unit_xgst"),
-        _LINE_EXPR["sellingprice"]().alias("sellingprice_unit_igst"),
-        F.col("l_quantity").cast("long").alias("subqty"),
-        F.least(F.col("l_quantity"), F.col("p_size").cast("double")).cast("long").alias("soldqty"),
-        _status("CreditNote").alias("status"),
-        _LINE_EXPR["cn_stock"]().alias("cnStockproduct"),
-        _LINE_EXPR["transport_charges"]().alias("transportCharges"),
-        _LINE_EXPR["other_charges"]().alias("otherCharges"),
-        F.col("s_suppkey").cast("string").alias("store_ref"),
-        F.col("o_orderkey").cast("string").alias("invoiceno"),
-        _ts("o_orderdate").alias("invoicedate"),
-        F.col("o_custkey").cast("string").alias("po_ref"),
-        F.col("o_totalprice").alias("invoice_amount"),
-        F.round(F.col("o_totalprice") / F.lit(1.18), 2).alias("invoice_amount_xgst"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category_name"),
-        F.col("p_name").alias("sub_category_name"),
-        F.col("p_brand").alias("manufacturer_name"),
-        F.col("s_suppkey").cast("string").alias("supplier_id"),
-        F.col("s_name").alias("supplier_name"),
-        F.concat(F.lit("GSTIN"), F.col("s_suppkey").cast("string")).alias("supplier_gstnumber"),
-        F.col("s_name").alias("store"),
-        F.col("s_r_name").alias("vertical"),
-        F.col("p_retailprice").alias("landingrate"),
-    )
+def lots(spark: SparkSession, sf_dir: str, columns: Iterable[str] = schemas.LOT_COLUMNS) -> DataFrame:
+    """Flat narrow lots (a subset of ``schemas.LOT_COLUMNS``): one lot per lineitem."""
+    return _lot_frame(spark, sf_dir, _LOT_EXPR, columns)
+
+
+def lots_wide(spark: SparkSession, sf_dir: str, columns: Iterable[str] = schemas.LOT_WIDE_COLUMNS) -> DataFrame:
+    """Flat BI lots (a subset of ``schemas.LOT_WIDE_COLUMNS``) from the tables."""
+    return _lot_frame(spark, sf_dir, _LOT_WIDE_EXPR, columns)
