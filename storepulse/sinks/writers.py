@@ -41,9 +41,17 @@ def write_report(
 
 
 def publish(reports: Mapping[str, DataFrame], root: str, fmt: str = "parquet", large: Sequence[str] = ()) -> dict[str, str]:
-    """Write every report under ``root/<name>``; names in ``large`` keep their partitions."""
+    """Write every report under ``root/<name>``.
+
+    Small reports become one file each, rows ordered by their leading
+    columns (keys and window first, as the original sheets listed them);
+    names in ``large`` keep their partitions and order.
+    """
     root = root.rstrip("/")
-    return {
-        name: write_report(df, f"{root}/{name}", fmt, files=None if name in large else 1)
-        for name, df in reports.items()
-    }
+    out = {}
+    for name, df in reports.items():
+        if name in large:
+            out[name] = write_report(df, f"{root}/{name}", fmt, files=None)
+        else:
+            out[name] = write_report(df, f"{root}/{name}", fmt, files=1, sort_by=df.columns)
+    return out

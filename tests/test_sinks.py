@@ -16,7 +16,10 @@ def test_publish_batch(spark, tmp_out):
     reports = {"a": registry.customers_total(spark, SF001), "b": registry.expired_by_category(spark, SF001)}
     paths = publish(reports, tmp_out)
     assert spark.read.parquet(paths["a"]).first().customers > 0
-    assert spark.read.parquet(paths["b"]).count() == reports["b"].count()
+    back = spark.read.parquet(paths["b"])
+    assert back.count() == reports["b"].count()
+    cats = [r.category for r in back.collect()]
+    assert cats == sorted(cats)
 
 
 def test_stage_uses_checkpoint_folder(spark):

@@ -121,3 +121,22 @@ def test_targets_month_total(spark):
 def test_fixture_exclusion_names_exist(spark):
     names = {r.n_name for r in tables.table(spark, SF001, "nation").collect()}
     assert set(FIXTURE_EXCLUDED) <= names
+
+
+def test_json_array_extract_becomes_rows(spark, tmp_out):
+    path = os.path.join(tmp_out, "targets.json")
+    with open(path, "w") as fh:
+        json.dump([
+            {"Store": "S1", "TM": "T1", "Category": "A", "Month": "7", "Year": "2001", "Target": 10.0,
+             "Date": "2001-07-25T00:00:00.000Z", "Daily_Target": 1.5},
+            {"Store": "S2", "TM": "T2", "Category": "B", "Date": "2001-07-26T00:00:00Z", "Daily_Target": 2.5},
+        ], fh)
+    t = readers.targets_frame(readers.read_targets(spark, path, multiline=True))
+    got = sorted((r.Store, r.Daily_Target, str(r.Date)) for r in t.collect())
+    assert got == [("S1", 1.5, "2001-07-25 00:00:00"), ("S2", 2.5, "2001-07-26 00:00:00")]
+
+
+def test_nan_values_become_null(spark):
+    df = spark.createDataFrame([("S", "T", "A", None, float("nan"))],
+                               "Store string, TM string, Category string, Date timestamp, Daily_Target double")
+    assert readers.targets_frame(df).first().Daily_Target is None
