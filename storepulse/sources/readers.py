@@ -74,6 +74,28 @@ def read_sales(spark: SparkSession, path, fmt: str = "json", multiline: bool = F
     )
 
 
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    span: tuple | None = None,
+    partition_col: str = "invoice_month",
+) -> DataFrame:
+    """Read a month-partitioned parquet landing (see ``sinks.landing``).
+
+    With ``span=(start, end)`` only the months it touches are read: the
+    filter is on the partition column, so the planner prunes the other
+    folders (``PartitionFilters``). Row filters on the timestamp itself are
+    still needed and are applied by the reports.
+    """
+    fields = list(schema.fields) + [T.StructField(partition_col, T.StringType(), True)]
+    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    if span is not None:
+        lo, hi = span
+        df = df.filter(F.col(partition_col).between(F.lit(lo.strftime("%Y-%m")), F.lit(hi.strftime("%Y-%m"))))
+    return df
+
+
 def read_targets(spark: SparkSession, path, fmt: str = "json", multiline: bool = False) -> DataFrame:
     return require_fields(
         read_extract(spark, path, schemas.TARGETS, fmt, multiline),

@@ -140,3 +140,23 @@ def test_nan_values_become_null(spark):
     df = spark.createDataFrame([("S", "T", "A", None, float("nan"))],
                                "Store string, TM string, Category string, Date timestamp, Daily_Target double")
     assert readers.targets_frame(df).first().Daily_Target is None
+
+
+def test_month_landing_prunes_partitions(spark, tmp_out):
+    from storepulse.functions.dates import window_span
+    from storepulse.plans.session import explain_text
+    from storepulse.sinks.landing import land_by_month
+    from storepulse.sources import schemas
+
+    path = land_by_month(tables.invoices(spark, SF001), f"{tmp_out}/sales", "invoicedate")
+    wins = fixture_windows()
+    span = window_span(wins)
+    landed = readers.read_landed(spark, path, schemas.SALES, span)
+    plan = explain_text(landed.select("_id"))
+    assert "PartitionFilters: [isnotnull(invoice_month" in plan and "2001-04" in plan
+    lines = readers.sale_lines_frame(landed)
+    got = sales.achieved_revenue(lines, wins).orderBy("window_seq").collect()
+    ref = sales.achieved_revenue(tables.sale_lines(spark, SF001), wins).orderBy("window_seq").collect()
+    assert [r.achieved_lakh for r in got] == [r.achieved_lakh for r in ref] == [27.22, 74.84, 159.06]
+    months = {r.invoice_month for r in landed.select("invoice_month").distinct().collect()}
+    assert months == {"2001-04", "2001-05", "2001-06", "2001-07"}
