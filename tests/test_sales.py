@@ -9,7 +9,7 @@ from helpers import line, lines_df, ts
 from storepulse.functions import economics as econ
 from storepulse.functions.dates import reporting_windows
 from storepulse.operators import sales
-from storepulse.operators.windowed import Exclusion, windowed_totals
+from storepulse.operators.windowed import windowed_totals
 
 AS_OF = ts(2001, 8, 1, 12)
 WINDOWS = reporting_windows(AS_OF)  # week 07-23, month 07-01, fy 04-01, end 07-31 23:59:59
