@@ -157,3 +157,38 @@ def wide_form(
             total = _running([F.coalesce(F.col(_sum_col(m, u.seq)), F.lit(0.0)) for u in upto])
             cols.append(F.when(present, to_lakh(total, digits)).alias(f"{m}_{w.name}"))
     return wide.select(*keys, *cols)
+
+
+def window_activity(lines: DataFrame, windows: Sequence[ReportWindow], ts: str = "invoicedate",
+                    invoice: str = "invoice_id") -> DataFrame:
+    """Per window: its bounds, the invoices with lines in it, and the lines.
+
+    Lines are first reduced to one row per invoice (partial aggregation, so
+    an invoice with very many lines costs one row per map task), then one
+    conditional aggregation counts both per window.
+    """
+    lo, hi = window_span(windows)
+    per_invoice = (
+        lines.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
+        .groupBy(invoice, ts)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    aggs = []
+    for w in windows:
+        inside = w.contains(F.col(ts))
+        aggs += [
+            F.count(F.when(inside, F.lit(1))).alias(f"i{w.seq}"),
+            F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias(f"l{w.seq}"),
+        ]
+    entries = [
+        F.struct(
+            F.lit(w.seq).alias("window_seq"),
+            F.lit(w.name).alias("window_name"),
+            F.lit(w.start).alias("window_start"),
+            F.lit(w.end).alias("window_end"),
+            F.col(f"i{w.seq}").alias("invoices"),
+            F.col(f"l{w.seq}").alias("lines"),
+        )
+        for w in windows
+    ]
+    return per_invoice.agg(*aggs).select(F.inline(F.array(*entries)))

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import economics as econ
-from ..functions.dates import UTC, ReportWindow, reporting_windows, window_span
-from ..operators import customers, inventory, lot_model, sales
+from ..functions.dates import UTC, ReportWindow, reporting_windows
+from ..operators import customers, inventory, lot_model, sales, windowed
 from ..sources import readers, tables
 
 # --- fixed values of the fixture run -------------------------------------------
@@ -48,34 +48,8 @@ def _lines(spark, sf, measures, key=None, exclude=False):
 
 def report_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Per window: its bounds, invoices with lines in it, and lines."""
-    wins = fixture_windows()
     lines = tables.sale_lines(spark, sf, ["invoice_id", "invoicedate"])
-    lo, hi = window_span(wins)
-    per_invoice = (
-        lines.filter(F.col("invoicedate").between(F.lit(lo), F.lit(hi)))
-        .groupBy("invoice_id", "invoicedate")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    aggs = []
-    for w in wins:
-        inside = w.contains(F.col("invoicedate"))
-        aggs += [
-            F.count(F.when(inside, F.lit(1))).alias(f"i{w.seq}"),
-            F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias(f"l{w.seq}"),
-        ]
-    wide = per_invoice.agg(*aggs)
-    entries = [
-        F.struct(
-            F.lit(w.seq).alias("window_seq"),
-            F.lit(w.name).alias("window_name"),
-            F.lit(w.start).alias("window_start"),
-            F.lit(w.end).alias("window_end"),
-            F.col(f"i{w.seq}").alias("invoices"),
-            F.col(f"l{w.seq}").alias("lines"),
-        )
-        for w in wins
-    ]
-    return present(wide.select(F.inline(F.array(*entries))))
+    return present(windowed.window_activity(lines, fixture_windows()))
 
 
 def sale_line_economics(spark: SparkSession, sf: str) -> DataFrame:
