@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from conftest import SF01
-from tools.check_oracle import TABLES, _rows
+from tools.check_oracle import DUCK_TYPES, TABLES, _rows
 
 import __spark_entry__ as entry
 
@@ -35,6 +35,8 @@ def test_query_matches_sql(spark, con, name):
     rel = con.sql(SQL[name])
     drows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert sorted(sdf.columns) == sorted(rel.columns)
+    stypes = {f.name: DUCK_TYPES.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert stypes == dict(zip(rel.columns, (str(t) for t in rel.types)))
     assert len(srows) == len(drows)
     cols = sorted(sdf.columns)
     assert _rows(srows, cols) == _rows(drows, cols)
