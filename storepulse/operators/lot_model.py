@@ -148,12 +148,18 @@ def _available(status, subqty, soldqty):
     return (subqty - (soldqty + returned)).cast("long")
 
 
+# Exact type for the whole-table total: a decimal sum does not depend on the
+# order rows are added in, so the weighted ages do not change with the
+# partitioning (or AQE's coalescing) of a run.
+TOTAL_TYPE = "decimal(38,6)"
+
+
 def stock_value_total(lots: DataFrame):
-    """Scalar subquery: total current stock value of all lots (model rules)."""
+    """Scalar subquery: total current stock value of all lots (model rules), as a double."""
     value = _available(F.col("status"), F.col("subqty"), F.col("soldqty")) * clean_double(
         F.col("purchasingprice_unit_xgst")
     )
-    return lots.select(F.sum(value)).scalar()
+    return lots.select(F.sum(value.cast(TOTAL_TYPE)).cast("double")).scalar()
 
 
 def lot_model(lots: DataFrame, as_of: dt.datetime | dt.date, total_from: DataFrame | None = None) -> DataFrame:

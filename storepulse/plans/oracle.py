@@ -253,7 +253,7 @@ m3 AS (
 model AS (
   SELECT *,
     purchasingprice_unit_xgst * inventory_age_days * available_qty
-      / (SELECT sum(current_inventory_value) FROM m3) AS average_inventory_age
+      / (SELECT CAST(sum(CAST(current_inventory_value AS DECIMAL(38, 6))) AS DOUBLE) FROM m3) AS average_inventory_age
   FROM m3)"""
 
 MODEL_COLUMNS = (
@@ -263,7 +263,7 @@ MODEL_COLUMNS = (
     "category_name, sub_category_name, manufacturer_name, supplier_id, supplier_name, supplier_gstnumber, "
     "fiscal_year, returned_qty, available_qty, current_inventory_value, sold_inventory_value, returned_inventory, "
     "inventory_age_days, inventory_age_weeks, inventory_age_months, store, vertical, landingrate, expiry_clock, "
-    "expiry_clock_stock, expiry_filter, exp_seq, first_store_name, round(average_inventory_age, 10) AS average_inventory_age, "
+    "expiry_clock_stock, expiry_filter, exp_seq, first_store_name, average_inventory_age, "
     "cndiff, current_inventory_selling_price, invoicedate_relationship"
 )
 

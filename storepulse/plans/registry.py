@@ -197,8 +197,7 @@ def _model(spark, sf, columns=None):
 
 
 def lot_model_table(spark, sf):
-    out = _model(spark, sf).withColumn("average_inventory_age", F.round("average_inventory_age", 10))
-    return present(out)
+    return present(_model(spark, sf))
 
 
 def lot_expiry_bands(spark, sf):
