@@ -68,12 +68,15 @@ def window_sums(
         rows = rows.filter(not_excluded(exclude.column, exclude.names))
     if keys:
         rows = rows.filter(all_not_null(keys))
+    # Each measure is computed once per row; the per-window sums reference it.
+    values = {name: f"__m_{i}" for i, name in enumerate(measures)}
+    rows = rows.select(*keys, F.col(ts).alias("__ts"), *[v.alias(values[n]) for n, v in measures.items()])
     aggs: list[Column] = []
     for w in windows:
-        inside = w.contains(F.col(ts))
+        inside = w.contains(F.col("__ts"))
         aggs.append(F.count(F.when(inside, F.lit(1))).alias(_count_col(w.seq)))
-        for name, value in measures.items():
-            aggs.append(F.sum(F.when(inside, value)).alias(_sum_col(name, w.seq)))
+        for name in measures:
+            aggs.append(F.sum(F.when(inside, F.col(values[name]))).alias(_sum_col(name, w.seq)))
     grouped = rows.groupBy(*keys) if keys else rows.groupBy()
     return grouped.agg(*aggs)
 
