@@ -11,6 +11,10 @@ Staging writes each shared frame as parquet under the cluster's checkpoint
 folder (``spark.checkpoint.dir``) and reads it back. That cuts the lineage
 durably: a lost executor costs a re-read of the staged files, not a re-run
 of the joins, and every report reads only the staged columns it needs.
+Each run stages under its own ``<checkpoint dir>/staged/<run id>/`` and
+reports are written with overwrite, so a failed run can simply be run
+again; staged folders of finished runs are not read again and can be
+expired by the folder's retention policy.
 
 Run from the command line::
 
