@@ -60,3 +60,17 @@ def test_customer_count_spreads_first_shuffle_by_name(spark):
 def test_weighted_age_total_is_a_scalar_subquery(spark):
     plan = explain_text(registry.lot_model_table(spark, SF001))
     assert "Subquery" in plan and "CartesianProduct" not in plan
+
+
+def test_nested_invoices_spread_hot_orders_at_scale(spark):
+    # Broadcasts off: the plan shape of a large run.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = explain_text(tables.invoices(spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, _page#\d+L", plan)
+    joins = re.findall(r"Join type: (\w+)", plan)
+    assert "Inner" in joins and "LeftAnti" in joins
+    assert "BroadcastHashJoin" not in plan
