@@ -27,3 +27,17 @@ def test_stage_uses_checkpoint_folder(spark):
     staged = stage(registry.lot_values(spark, SF001), "lot_values_test")
     assert staged.count() > 0
     assert any(base.rstrip("/").split(":")[-1] in f for f in staged.inputFiles())
+
+
+def test_spread_scan_only_widens_narrow_scans(spark, tmp_out):
+    from storepulse.plans.session import spread_scan
+    from storepulse.sources import tables
+
+    cores = spark.sparkContext.defaultParallelism
+    narrow = tables.table(spark, SF001, "lineitem")          # one small file, one split
+    assert narrow.rdd.getNumPartitions() < cores
+    assert spread_scan(narrow).rdd.getNumPartitions() == cores
+    wide_path = f"{tmp_out}/wide"
+    narrow.repartition(cores * 2).write.parquet(wide_path)
+    wide = spark.read.parquet(wide_path)
+    assert spread_scan(wide) is wide                         # already split wider than the cores
