@@ -74,3 +74,16 @@ def test_nested_invoices_spread_hot_orders_at_scale(spark):
     joins = re.findall(r"Join type: (\w+)", plan)
     assert "Inner" in joins and "LeftAnti" in joins
     assert "BroadcastHashJoin" not in plan
+
+
+def test_building_a_query_runs_no_job(spark):
+    # Every registered query is a lazy plan: constructing it launches nothing.
+    sc = spark.sparkContext
+    for name, fn in sorted(registry.QUERIES.items()):
+        group = f"build-{name}"
+        sc.setJobGroup(group, "build only")
+        try:
+            fn(spark, SF001)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert list(sc.statusTracker().getJobIdsForGroup(group)) == [], name
