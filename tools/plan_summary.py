@@ -46,7 +46,10 @@ def main(argv):
         "# Physical plans of the registered queries\n",
         "Generated by `tools/plan_summary.py` over the sf0.1 tables with the static broadcast",
         "threshold at 8 KB, so only `nation` and `region` are broadcast (the join shape of a large run;",
-        "AQE may still switch joins at runtime from measured sizes). Initial adaptive plans.\n",
+        "AQE may still switch joins at runtime from measured sizes). Initial adaptive plans.",
+        "The lot queries show a `RoundRobinPartitioning` exchange right above the lineitem scan",
+        "because each test table is a single parquet split (see `spread_scan`); a large input has",
+        "more splits than cores and that exchange is absent.\n",
     ]
     for name, fn in entry.queries().items():
         plan = explain_text(fn(spark, sf_dir), "formatted")
