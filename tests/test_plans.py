@@ -87,3 +87,13 @@ def test_building_a_query_runs_no_job(spark):
         finally:
             sc.setLocalProperty("spark.jobGroup.id", None)
         assert list(sc.statusTracker().getJobIdsForGroup(group)) == [], name
+
+
+def test_customer_counts_read_two_nested_leaves(spark, tmp_out):
+    from storepulse.operators import customers
+
+    tables.invoices(spark, SF001).write.mode("overwrite").parquet(f"{tmp_out}/inv")
+    landed = spark.read.parquet(f"{tmp_out}/inv")
+    plan = explain_text(customers.customers_by_territory(readers.invoice_frame(landed), ("NATION_0",)))
+    schema = re.search(r"ReadSchema: (struct<.*>)", plan).group(1)
+    assert schema == "struct<customerDetails:struct<name:string>,storeDetails:struct<territory:struct<name:string>>>"
