@@ -58,10 +58,9 @@ def with_lot_values(lots: DataFrame, as_of: dt.datetime) -> DataFrame:
         "*",
         returned_qty(st, sub).alias("returned_qty"),
         script_quantity(st, sub, sold).alias("quantity"),
-        (script_quantity(st, sub, sold) * F.col("rate")).alias("value"),
         elapsed_days(now, F.col("invoicedate")).alias("age_days"),
         elapsed_days(F.col("expirydate"), now).alias("expiry_days"),
-    )
+    ).withColumn("value", F.col("quantity") * F.col("rate"))
 
 
 def lot_values(lots: DataFrame, as_of: dt.datetime, excluded: Sequence[str] | None = EXCLUDED_TERRITORIES) -> DataFrame:
