@@ -69,7 +69,7 @@ def lot_values(lots: DataFrame, as_of: dt.datetime, excluded: Sequence[str] | No
     return with_lot_values(kept, as_of)
 
 
-def _grid_wide(valued: DataFrame, key: str, seq: Column, labels: Sequence[str], digits) -> DataFrame:
+def _grid_wide(valued: DataFrame, key: str, seq: Column, labels: Sequence[str]) -> DataFrame:
     aggs = [
         F.coalesce(F.sum(F.when(seq == F.lit(i + 1), F.col("value"))), F.lit(0.0)).alias(f"b{i + 1}")
         for i in range(len(labels))
@@ -105,7 +105,7 @@ def _value_grid(
     kept = lots if excluded is None else lots.filter(not_excluded("territory", excluded))
     valued = with_lot_values(kept, as_of)
     seq = bucket_seq(F.col(days_col), edges, open_low=open_low)
-    grid = _grid_wide(valued, col, seq, labels, digits)
+    grid = _grid_wide(valued, col, seq, labels)
     if wide:
         names = [_label_column(l) for l in labels]
         return grid.select(
