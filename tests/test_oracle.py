@@ -6,12 +6,14 @@ import duckdb
 import pytest
 
 from conftest import SF01
+import tools.check_oracle as checker
 from tools.check_oracle import DUCK_TYPES, TABLES, _rows
 
 import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
+checker.EXACT = True   # floats compared bit for bit, not to 9 digits
 
 
 @pytest.fixture(scope="module")
