@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storepulse.llm import decontamination, mixing, sharding
+from storepulse.llm import decontamination, mixing, ngram_join, sharding
 from storepulse.llm.common import table
 
 
@@ -28,11 +28,17 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.ngram_join(docs).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op6_external_shuffle,
         op8_water_filling,
         op9_benchmark_leaks,
+        op10_ngram_join,
     )
 }
