@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import re
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,5 +65,7 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
-def safe_name(text: str) -> str:
-    return re.sub(r"\W", "_", os.path.basename(text))
+def set_aside(df: DataFrame, names: Collection[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with its columns of these names (in any case) renamed, and the selection that gives all of its columns back."""
+    aside = {c: free_name(df, f"_own_{c}") for c in df.columns if c.lower() in names}
+    return df.withColumnsRenamed(aside), [F.col(f"`{aside.get(c, c)}`").alias(c) for c in df.columns]

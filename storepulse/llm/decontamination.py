@@ -26,13 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storepulse.llm.common import free_name, staged
+from storepulse.llm.common import free_name, set_aside, staged
 
 #: Production parameters.
 WINDOW = 10
 #: Benchmark words in one automaton (about 100 bytes of Python memory each).
 MAX_WORDS = 1_000_000
 
+_RESULT = {"n_words", "n_hit", "n_items", "items", "spans", "contaminated"}
 _KEPT = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 #: After lower-casing: bytes of words stay, all others become a space.
 _TO_WORDS = bytes(b if b in _KEPT else 0x20 for b in range(256))
@@ -144,8 +145,7 @@ def _scanner(items, window: int, names: dict[str, str]):
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items (names), spans (code points of the original) and contaminated."""
     spark = docs.sparkSession
-    own = {"n_words", "n_hit", "n_items", "items", "spans", "contaminated"}
-    rows = docs.drop(*[c for c in docs.columns if c.lower() in own])
+    rows = docs.drop(*[c for c in docs.columns if c.lower() in _RESULT])
     # Letters of an item bound its words: at least one character and one separator each.
     item = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), "text").filter("text is not null")
     size = item.select(F.octet_length("text").alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0] // 2
@@ -181,3 +181,9 @@ def items_digest(items: str = "items"):
     """SHA-256 of the item names, sorted as strings and joined by commas."""
     return F.sha2(F.concat_ws(",", F.sort_array(items)), 256)
 
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns as they were, in which no benchmark window occurs."""
+    rows, columns = set_aside(docs, _RESULT)
+    return find_leaks(rows, benchmark).filter(~F.col("contaminated")).select(*columns)

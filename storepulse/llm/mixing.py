@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storepulse.llm.common import n_words, seeded_hash, staged
+from storepulse.llm.common import n_words, seeded_hash, set_aside, staged
 
 #: Production parameters.
 WEIGHTS = (5, 2, 1)
@@ -37,6 +37,7 @@ MAX_EPOCHS = 3
 SEED = 20
 #: 60-bit hashes fall into this many equal ranges.
 RANGES = 4096
+_RESULT = {"size", "source_size", "target", "copies", "part", "taken", "h", "s", "whole", "cut", "room", "at_cut"}
 _RANGE_WIDTH = (1 << 60) // RANGES
 
 
@@ -107,8 +108,7 @@ def mix(
     seed: int = SEED,
 ) -> DataFrame:
     """One row per document: size, source_size, target, ``copies`` (whole ones), ``part`` (words of one more) and taken."""
-    own = {"size", "source_size", "target", "copies", "part", "taken", "h"}
-    rows = docs.drop(*[c for c in docs.columns if c.lower() in own])
+    rows = docs.drop(*[c for c in docs.columns if c.lower() in _RESULT])
     sized = rows.withColumn("size", n_words("text")).withColumn("h", seeded_hash(seed, "doc_id"))
     slim = staged(sized.select("source", "size", "h"), "mix")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -136,11 +136,12 @@ def repeated(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     seeded draw with that part as its chance. A document without words costs
     the mix nothing and stays once.
     """
-    mixed = mix(docs, weights, max_epochs, seed)
+    rows, columns = set_aside(docs, _RESULT | {"_n", "_copy"})
     n = F.when(F.col("size") == 0, 1).otherwise(F.col("copies") + F.when(_partly(seed), 1).otherwise(0)).cast("int")
     return (
-        mixed.withColumn("_n", n)
+        mix(rows, weights, max_epochs, seed)
+        .withColumn("_n", n)
         .filter("_n > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-        .select(*docs.columns)
+        .select(*columns)
     )

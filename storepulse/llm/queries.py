@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storepulse.llm import decontamination, mixing, ngram_join, sharding
+from storepulse.llm import decontamination, langid, mixing, ngram_join, sharding
 from storepulse.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op6_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(docs, ["doc_id"])
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op8_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "part", "taken")
@@ -33,12 +38,20 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op6_external_shuffle,
+        op7_language_id,
         op8_water_filling,
         op9_benchmark_leaks,
         op10_ngram_join,
+        pipeline,
     )
 }
