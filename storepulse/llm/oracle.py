@@ -71,4 +71,53 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN hit USING (uid) LEFT JOIN its USING (uid)
 """
 
-SQL: dict[str, str] = {"op8_water_filling": OP8, "op9_benchmark_leaks": OP9}
+OP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS (
+  SELECT DISTINCT vec_id AS query_id, v FROM v WHERE vec_id % 50 = 0
+), s AS (
+  SELECT query_id, q.v, vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM q JOIN v c ON len(q.v) = len(c.v) AND c.vec_id <> query_id
+), r AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id, v ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+#: Words are lower-cased A-Z; a set is the distinct word triples, or the whole sequence of a shorter text.
+OP10 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS uid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT uid, array_to_string(w[i : i + least(len(w), 3) - 1], ' ') AS g
+  FROM (SELECT uid, w, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT uid, count(*) AS n, any_value(doc_id) AS doc_id FROM s JOIN d USING (uid) GROUP BY uid
+), p AS (
+  SELECT a.uid AS u, b.uid AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.uid < b.uid GROUP BY 1, 2
+), l AS (
+  SELECT u, v FROM p JOIN n x ON x.uid = u JOIN n y ON y.uid = v WHERE 100 * k >= 90 * (x.n + y.n - k)
+), e AS (
+  SELECT u, v FROM l UNION ALL SELECT v, u FROM l
+), c AS (
+  SELECT uid AS u, uid AS v FROM n
+  UNION
+  SELECT c.u, e.v FROM c JOIN e ON c.v = e.u
+), m AS (
+  SELECT c.u, min(n.doc_id) AS component_id FROM c JOIN n ON n.uid = c.v GROUP BY c.u
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.uid = d.uid LEFT JOIN m ON m.u = d.uid
+"""
+
+SQL: dict[str, str] = {
+    "op5_exact_top_k": OP5,
+    "op8_water_filling": OP8,
+    "op9_benchmark_leaks": OP9,
+    "op10_ngram_join": OP10,
+}

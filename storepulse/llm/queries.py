@@ -5,10 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storepulse.llm import decontamination, langid, mixing, ngram_join, sharding
+from storepulse.llm import decontamination, html_text, langid, licenses, mixing, ngram_join, pii, quality, sharding, topk
 from storepulse.llm.common import table
 
 
+def op1_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs).drop("text")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return licenses.scan(licenses.document_files(docs)).drop("source")
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages)
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op6_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sharding.shard_rows(docs, ["doc_id"])
@@ -47,6 +70,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_weak_label_quality,
+        op2_license_scan,
+        op3_pii_surrogates,
+        op4_main_text,
+        op5_exact_top_k,
         op6_external_shuffle,
         op7_language_id,
         op8_water_filling,
