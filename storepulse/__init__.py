@@ -7,7 +7,6 @@ Layout:
 * ``operators`` -- the reports: windowed totals, inventory grids, customers, lot model
 * ``plans``     -- session settings, staging, the registered queries and their SQL
 * ``sinks``     -- report writers
-* ``streaming`` -- intentionally empty (the reports are batch jobs)
 """
 
 __version__ = "0.1.0"

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .constants import (
     AGE_BUCKET_EDGES,
-    AGE_BUCKET_LABELS,
     EXPIRY_BAND_LAST,
     EXPIRY_BANDS,
     FISCAL_YEAR_FIRST,
@@ -32,13 +31,6 @@ def bucket_seq(days: Column, edges: Sequence[float] = AGE_BUCKET_EDGES, open_low
     return F.when(days.isNotNull(), expr)
 
 
-def bucket_label(seq: Column, labels: Sequence[str] = AGE_BUCKET_LABELS) -> Column:
-    expr = F.lit(None).cast("string")
-    for i in range(len(labels), 0, -1):
-        expr = F.when(seq == F.lit(i), F.lit(labels[i - 1])).otherwise(expr)
-    return expr
-
-
 def expiry_band_seq(clock: Column) -> Column:
     """0 for expired (clock <= 0) up to 6 for more than 180 days; null stays null."""
     expr = F.lit(len(EXPIRY_BANDS))
@@ -55,13 +47,13 @@ def expiry_band_label(seq: Column) -> Column:
     return expr
 
 
-def fiscal_year_label(ts: Column) -> Column:
-    """``FYyy-yy`` for April-March years in the supported range, else "None"."""
+def fiscal_year_label(ts: Column, first: int = FISCAL_YEAR_FIRST, last: int = FISCAL_YEAR_LAST) -> Column:
+    """``FYyy-yy`` for April-March years that start from ``first`` to ``last``, else "None"."""
     fy = F.year(F.add_months(F.to_date(ts), -3))
     label = F.format_string(
         "FY%02d-%02d", (fy % F.lit(100)).cast("int"), ((fy + F.lit(1)) % F.lit(100)).cast("int")
     )
-    in_range = fy.between(F.lit(FISCAL_YEAR_FIRST), F.lit(FISCAL_YEAR_LAST))
+    in_range = fy.between(F.lit(first), F.lit(last))
     return F.when(ts.isNotNull() & in_range, label).otherwise(F.lit(FISCAL_YEAR_NONE))
 
 

@@ -119,26 +119,31 @@ def timestamp_lit(value: dt.datetime | dt.date | str) -> Column:
     return F.lit(as_utc(value))
 
 
-def parse_timestamp(col: Column, formats: Sequence[str] | None = None) -> Column:
-    """Parse text timestamps written in any of several formats.
+def parse_timestamp(col: Column, formats: Sequence[str] | None = None, day_first: bool = False) -> Column:
+    """Parse text timestamps written in any of several layouts.
 
-    The first format that parses wins; unparseable text gives null. With no
-    format list, Spark's ISO-8601 parsing (offsets and ``Z`` included) is
-    tried first.
+    Spark's ISO-8601 parsing (offsets and ``Z`` included) is tried first, then
+    the layouts in order; slashed dates are month first unless ``day_first``, the
+    other reading is left for what cannot be read that way. Null and blank text
+    gives null; other text that no layout fits is an error.
     """
-    fmts = list(formats) if formats is not None else list(DEFAULT_TIMESTAMP_FORMATS)
-    text = col.cast("string")
-    parsed = [F.try_to_timestamp(text)] + [F.try_to_timestamp(text, F.lit(f)) for f in fmts]
-    return F.coalesce(*parsed)
+    slashed = ("d/M/yyyy", "M/d/yyyy") if day_first else ("M/d/yyyy", "d/M/yyyy")
+    timed = [f"{d} HH:mm:ss" for d in slashed]
+    fmts = list(formats) if formats is not None else [*DEFAULT_TIMESTAMP_FORMATS, *timed, *slashed]
+    text = F.trim(col.cast("string"))
+    parsed = F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in fmts])
+    error = F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp")
+    return F.when(text.isNull() | (text == F.lit("")), F.lit(None).cast("timestamp")).otherwise(F.coalesce(parsed, error))
 
 
-# Text layouts accepted by ``parse_timestamp`` after ISO-8601.
+# Text layouts accepted by ``parse_timestamp`` after ISO-8601, before slashed dates.
 DEFAULT_TIMESTAMP_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
     "yyyy-MM-dd'T'HH:mm:ssXXX",
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy",
-    "MM/dd/yyyy",
+    "d MMM yyyy HH:mm:ss",
+    "d MMM yyyy",
+    "MMM d, yyyy",
+    "d-MMM-yyyy",
 )

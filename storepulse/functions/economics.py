@@ -79,8 +79,13 @@ def to_lakh(value: Column, digits: int | None = LAKH_DIGITS) -> Column:
 
 
 def as_percent_text(value: Column, digits: int = 2) -> Column:
-    """Number rendered as text with a ``%`` suffix (``12.3`` -> ``12.3%``)."""
-    return F.concat(F.round(value, digits).cast("string"), F.lit("%"))
+    """Rounded number in plain digits with a ``%`` suffix (``12.3`` -> ``12.3%``, ``12`` -> ``12.0%``).
+
+    At least one digit follows the point and no zero beyond it; never an exponent.
+    """
+    scale = max(1, digits)
+    plain = F.round(value, digits).cast(f"decimal(38,{scale})").cast("string")
+    return F.concat(F.regexp_replace(plain, r"(\.\d+?)0+$", "$1"), F.lit("%"))
 
 
 def clean_double(col: Column) -> Column:

@@ -25,14 +25,14 @@ from ..functions.constants import (
     AGE_BUCKET_LABELS,
     EXCLUDED_TERRITORIES,
     LAKH_DIGITS,
-    STATUS_CREDITNOTE_MODEL,
     STATUS_CREDITNOTE_SCRIPT,
 )
 from ..functions.dates import elapsed_days, timestamp_lit
 from ..functions.economics import to_lakh
 from ..functions.filters import not_excluded
 
-KEYS = {"category": "category", "territory": "territory", "store": "store"}
+#: Columns of a lot that its stock value needs.
+VALUE_COLUMNS = ("status", "subqty", "soldqty", "rate")
 
 
 def returned_qty(status: Column, subqty: Column, credit_note: str = STATUS_CREDITNOTE_SCRIPT) -> Column:
@@ -45,22 +45,23 @@ def script_quantity(status: Column, subqty: Column, soldqty: Column) -> Column:
     return subqty - (soldqty - returned_qty(status, subqty, STATUS_CREDITNOTE_SCRIPT))
 
 
-def model_quantity(status: Column, subqty: Column, soldqty: Column) -> Column:
-    """BI-model rule: ``subqty - (soldqty + returned)``; a return removes stock."""
-    return subqty - (soldqty + returned_qty(status, subqty, STATUS_CREDITNOTE_MODEL))
-
-
 def with_lot_values(lots: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Add ``returned_qty``, ``quantity``, ``value``, ``age_days`` and ``expiry_days``."""
+    """Add those of ``returned_qty``, ``quantity``, ``value``, ``age_days`` and ``expiry_days`` that the columns allow.
+
+    A report asks its source for the columns it needs, so the joins behind
+    the others are never planned.
+    """
     now = timestamp_lit(as_of)
     st, sub, sold = F.col("status"), F.col("subqty"), F.col("soldqty")
-    return lots.select(
-        "*",
-        returned_qty(st, sub).alias("returned_qty"),
-        script_quantity(st, sub, sold).alias("quantity"),
-        elapsed_days(now, F.col("invoicedate")).alias("age_days"),
-        elapsed_days(F.col("expirydate"), now).alias("expiry_days"),
-    ).withColumn("value", F.col("quantity") * F.col("rate"))
+    derived = [
+        ("returned_qty", lambda: returned_qty(st, sub), {"status", "subqty"}),
+        ("quantity", lambda: script_quantity(st, sub, sold), {"status", "subqty", "soldqty"}),
+        ("value", lambda: script_quantity(st, sub, sold) * F.col("rate"), {"status", "subqty", "soldqty", "rate"}),
+        ("age_days", lambda: elapsed_days(now, F.col("invoicedate")), {"invoicedate"}),
+        ("expiry_days", lambda: elapsed_days(F.col("expirydate"), now), {"expirydate"}),
+    ]
+    have = set(lots.columns)
+    return lots.select("*", *[make().alias(n) for n, make, needs in derived if needs <= have])
 
 
 def lot_values(lots: DataFrame, as_of: dt.datetime, excluded: Sequence[str] | None = EXCLUDED_TERRITORIES) -> DataFrame:
@@ -69,12 +70,31 @@ def lot_values(lots: DataFrame, as_of: dt.datetime, excluded: Sequence[str] | No
     return with_lot_values(kept, as_of)
 
 
-def _grid_wide(valued: DataFrame, key: str, seq: Column, labels: Sequence[str]) -> DataFrame:
-    aggs = [
-        F.coalesce(F.sum(F.when(seq == F.lit(i + 1), F.col("value"))), F.lit(0.0)).alias(f"b{i + 1}")
-        for i in range(len(labels))
-    ]
-    return valued.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+def lot_cube(lots: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Stock value by age and by expiry bucket, and of expired lots, at the grain of category, store and territory.
+
+    One scan of the lots that serves every grid and both expired reports,
+    which take it in place of the lots.
+    """
+    valued = with_lot_values(lots, as_of)
+    sums = []
+    for name, days, open_low in (("age_days", "age_days", False), ("expiry_days", "expiry_days", True)):
+        seq = bucket_seq(F.col(days), AGE_BUCKET_EDGES, open_low=open_low)
+        sums += [F.sum(F.when(seq == F.lit(i + 1), F.col("value"))).alias(f"{name}__b{i + 1}") for i in range(len(AGE_BUCKET_LABELS))]
+    expired = F.col("expiry_days") <= F.lit(0)
+    sums += [F.sum(F.when(expired, F.col("value"))).alias("expired__value"), F.count(F.when(expired, F.lit(1))).alias("expired__rows")]
+    return valued.groupBy("category", "store", "territory").agg(*sums)
+
+
+def _grid_wide(lots: DataFrame, as_of: dt.datetime, key: str, days: str, open_low: bool, edges, labels) -> DataFrame:
+    if f"{days}__b1" in lots.columns:  # a lot_cube
+        parts = [F.col(f"{days}__b{i + 1}") for i in range(len(labels))]
+    else:
+        lots = with_lot_values(lots, as_of)
+        seq = bucket_seq(F.col(days), edges, open_low=open_low)
+        parts = [F.when(seq == F.lit(i + 1), F.col("value")) for i in range(len(labels))]
+    aggs = [F.coalesce(F.sum(p), F.lit(0.0)).alias(f"b{i + 1}") for i, p in enumerate(parts)]
+    return lots.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 
 def _grid_long(wide: DataFrame, key: str, labels: Sequence[str], digits, name: str) -> DataFrame:
@@ -101,17 +121,12 @@ def _value_grid(
     digits,
     wide: bool,
 ) -> DataFrame:
-    col = KEYS[key]
     kept = lots if excluded is None else lots.filter(not_excluded("territory", excluded))
-    valued = with_lot_values(kept, as_of)
-    seq = bucket_seq(F.col(days_col), edges, open_low=open_low)
-    grid = _grid_wide(valued, col, seq, labels)
+    grid = _grid_wide(kept, as_of, key, days_col, open_low, edges, labels)
     if wide:
         names = [_label_column(l) for l in labels]
-        return grid.select(
-            F.col(col).alias(key), *[to_lakh(F.col(f"b{i + 1}"), digits).alias(n) for i, n in enumerate(names)]
-        )
-    return _grid_long(grid, col, labels, digits, "value_lakh").withColumnRenamed(col, key)
+        return grid.select(key, *[to_lakh(F.col(f"b{i + 1}"), digits).alias(n) for i, n in enumerate(names)])
+    return _grid_long(grid, key, labels, digits, "value_lakh")
 
 
 def _label_column(label: str) -> str:
@@ -164,9 +179,10 @@ def expired_value(
     A lot expiring within the next 24 hours counts as expired; a lot without
     an expiry date does not. Keys with no expired lot have no row.
     """
-    col = KEYS[key]
     kept = lots if excluded is None else lots.filter(not_excluded("territory", excluded))
-    valued = with_lot_values(kept, as_of)
-    expired = valued.filter((F.col("expiry_days") <= F.lit(0)) & F.col(col).isNotNull())
-    out = expired.groupBy(col).agg(to_lakh(F.coalesce(F.sum("value"), F.lit(0.0)), digits).alias("expired_lakh"))
-    return out.withColumnRenamed(col, key) if col != key else out
+    if "expired__rows" in kept.columns:  # a lot_cube
+        expired = kept.filter(F.col("expired__rows") > 0).withColumn("value", F.col("expired__value"))
+    else:
+        expired = with_lot_values(kept, as_of).filter(F.col("expiry_days") <= F.lit(0))
+    total = F.coalesce(F.sum("value"), F.lit(0.0))
+    return expired.filter(F.col(key).isNotNull()).groupBy(key).agg(to_lakh(total, digits).alias("expired_lakh"))

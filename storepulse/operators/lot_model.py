@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import before_last_space, expiry_band_label, expiry_band_seq, fiscal_year_label
-from ..functions.constants import STATUS_CREDITNOTE_MODEL, STATUS_STOCK_MARKER
+from ..functions.constants import FISCAL_YEAR_FIRST, FISCAL_YEAR_LAST, STATUS_CREDITNOTE_MODEL, STATUS_STOCK_MARKER
 from ..functions.dates import as_utc
 from ..functions.economics import clean_double
 
+# The published column names, in their order.
 MODEL_COLUMNS = (
     "_id",
     "id",
@@ -79,16 +80,20 @@ MODEL_COLUMNS = (
 )
 
 
+# First and last starting year of a labelled fiscal year.
+FISCAL_YEARS = (FISCAL_YEAR_FIRST, FISCAL_YEAR_LAST)
+
+
 def _today(as_of: dt.datetime | dt.date):
     return F.lit(as_utc(as_of).date())
 
 
-def _derived(as_of: dt.datetime | dt.date):
+def _derived(as_of: dt.datetime | dt.date, fiscal_years: tuple[int, int]):
     """Derived model columns in two steps: (name, expression, columns it reads)."""
     today = _today(as_of)
     price = clean_double(F.col("purchasingprice_unit_xgst"))
     st, sub, sold = F.col("status"), F.col("subqty"), F.col("soldqty")
-    returned = F.when(st == F.lit(STATUS_CREDITNOTE_MODEL), sub).otherwise(F.lit(0))
+    returned = _returned(st, sub)
     clock = F.datediff(F.to_date("expirydate"), today).cast("long")
     is_stock = F.coalesce(st.contains(STATUS_STOCK_MARKER), F.lit(False))
     band = expiry_band_seq(F.col("expiry_clock_stock"))
@@ -96,7 +101,7 @@ def _derived(as_of: dt.datetime | dt.date):
         ("sellingprice_unit_xgst",
          F.col("sellingprice_unit_igst") / (F.lit(1.0) + F.col("gst_pct") / F.lit(100.0)),
          {"sellingprice_unit_igst", "gst_pct"}),
-        ("fiscal_year", fiscal_year_label(F.col("invoicedate")), {"invoicedate"}),
+        ("fiscal_year", fiscal_year_label(F.col("invoicedate"), *fiscal_years), {"invoicedate"}),
         ("returned_qty", returned.cast("double"), {"status", "subqty"}),
         ("available_qty", _available(st, sub, sold), {"status", "subqty", "soldqty"}),
         ("inventory_age_days", F.datediff(today, F.to_date("invoicedate")).cast("long"), {"invoicedate"}),
@@ -121,31 +126,37 @@ def _derived(as_of: dt.datetime | dt.date):
     return first, second
 
 
-def lot_model_rows(lots: DataFrame, as_of: dt.datetime | dt.date) -> DataFrame:
+def lot_model_rows(lots: DataFrame, as_of: dt.datetime | dt.date, fiscal_years: tuple[int, int] = FISCAL_YEARS) -> DataFrame:
     """Every per-row column of the model (all but the weighted age).
 
     Given only some of the wide lot columns, it derives just the columns
     those inputs allow, so a roll-up can ask its source for a few columns
     and skip the joins the rest would need.
     """
-    first, second = _derived(as_of)
+    first, second = _derived(as_of, fiscal_years)
     have = set(lots.columns)
     step1 = lots.select("*", *[e.alias(n) for n, e, needs in first if needs <= have])
     have = set(step1.columns)
     return step1.select("*", *[e.alias(n) for n, e, needs in second if needs <= have])
 
 
-# Wide lot columns the roll-ups (bands, fiscal year, weighted age by category) read.
-ROLLUP_INPUTS = ("purchasingprice_unit_xgst", "status", "subqty", "soldqty", "invoicedate", "expirydate", "category_name")
+# Wide lot columns each roll-up reads.
+BAND_INPUTS = ("purchasingprice_unit_xgst", "status", "subqty", "soldqty", "expirydate")
+FISCAL_YEAR_INPUTS = ("purchasingprice_unit_xgst", "status", "subqty", "soldqty", "invoicedate")
+WEIGHTED_AGE_INPUTS = ("purchasingprice_unit_xgst", "status", "subqty", "soldqty", "invoicedate", "category_name")
 
 
 # Columns the stock-value total needs (a source may build just these).
 TOTAL_COLUMNS = ("purchasingprice_unit_xgst", "subqty", "soldqty", "status")
 
 
+def _returned(status, subqty):
+    return F.when(status == F.lit(STATUS_CREDITNOTE_MODEL), subqty).otherwise(F.lit(0))
+
+
 def _available(status, subqty, soldqty):
-    returned = F.when(status == F.lit(STATUS_CREDITNOTE_MODEL), subqty).otherwise(F.lit(0))
-    return (subqty - (soldqty + returned)).cast("long")
+    """BI-model rule: a return removes stock."""
+    return (subqty - (soldqty + _returned(status, subqty))).cast("long")
 
 
 # Exact type for the whole-table total: a decimal sum does not depend on the
@@ -162,14 +173,19 @@ def stock_value_total(lots: DataFrame):
     return lots.select(F.sum(value.cast(TOTAL_TYPE)).cast("double")).scalar()
 
 
-def lot_model(lots: DataFrame, as_of: dt.datetime | dt.date, total_from: DataFrame | None = None) -> DataFrame:
+def lot_model(
+    lots: DataFrame,
+    as_of: dt.datetime | dt.date,
+    total_from: DataFrame | None = None,
+    fiscal_years: tuple[int, int] = FISCAL_YEARS,
+) -> DataFrame:
     """The enriched lot table, ``MODEL_COLUMNS`` in order (those ``lots`` allows).
 
     ``total_from`` may give the same lots with only ``TOTAL_COLUMNS`` (so
     the total's pass skips joins the total does not need); by default the
     total is taken over ``lots``.
     """
-    rows = lot_model_rows(lots, as_of)
+    rows = lot_model_rows(lots, as_of, fiscal_years)
     total = stock_value_total(total_from if total_from is not None else lots)
     return with_weighted_age(rows, total)
 

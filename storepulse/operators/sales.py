@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import economics as econ
 from ..functions.constants import EXCLUDED_TERRITORIES, LAKH_DIGITS
 from ..functions.dates import ReportWindow
-from .windowed import Exclusion, windowed_totals, window_sums, wide_form
+from .windowed import Exclusion, window_cube, windowed_totals, window_sums, wide_form
 
 SALE_TS = "invoicedate"
 TARGET_TS = "Date"
@@ -50,7 +50,6 @@ MEASURE_COLUMNS = {
     ),
 }
 
-KEY_COLUMNS = {"category": "category", "store": "store", "territory": "territory"}
 TARGET_KEYS = {"category": "Category", "store": "Store", "territory": "TM"}
 
 
@@ -60,7 +59,7 @@ def line_columns(measures: Sequence[str], key: str | None = None, exclude: bool
     for m in measures:
         cols.update(MEASURE_COLUMNS[m])
     if key:
-        cols.add(KEY_COLUMNS[key])
+        cols.add(key)
     if exclude:
         cols.add("territory")
     return sorted(cols)
@@ -77,6 +76,16 @@ def _exclusion(column: str, names: Sequence[str] | None) -> Exclusion | None:
     return Exclusion(column, tuple(names))
 
 
+def line_cube(lines: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
+    """Every line measure by category, store, territory and window; the reports below take it in place of the lines."""
+    return window_cube(lines, SALE_TS, _measures("achieved", "margin", "purchase"), windows, ["category", "store", "territory"])
+
+
+def target_cube(targets: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
+    """Targets by category, store, territory and window, in place of the targets."""
+    return window_cube(targets, TARGET_TS, {"target": F.col("Daily_Target")}, windows, ["Category", "Store", "TM"])
+
+
 # --- whole-business totals ------------------------------------------------------
 
 def achieved_revenue(lines: DataFrame, windows: Sequence[ReportWindow], digits: int | None = LAKH_DIGITS) -> DataFrame:
@@ -129,11 +138,9 @@ def achieved_by(
     digits: int | None = LAKH_DIGITS,
 ) -> DataFrame:
     """Sale value per ``key`` (category, store or territory) and window."""
-    col = KEY_COLUMNS[key]
-    out = windowed_totals(
-        lines, SALE_TS, _measures("achieved"), windows, keys=[col], exclude=_exclusion("territory", excluded), digits=digits
+    return windowed_totals(
+        lines, SALE_TS, _measures("achieved"), windows, keys=[key], exclude=_exclusion("territory", excluded), digits=digits
     )
-    return out.withColumnRenamed(col, key) if col != key else out
 
 
 def margin_by(
@@ -145,18 +152,16 @@ def margin_by(
     digits: int | None = LAKH_DIGITS,
 ) -> DataFrame:
     """Margin per ``key`` and window; ``running=True`` accumulates over windows."""
-    col = KEY_COLUMNS[key]
-    out = windowed_totals(
+    return windowed_totals(
         lines,
         SALE_TS,
         _measures("margin"),
         windows,
-        keys=[col],
+        keys=[key],
         exclude=_exclusion("territory", excluded),
         running=running,
         digits=digits,
     )
-    return out.withColumnRenamed(col, key) if col != key else out
 
 
 def store_margin_fy(
@@ -217,17 +222,16 @@ def scorecard(
     Both line measures come from one aggregation; the target aggregate is
     merged by key without a join.
     """
-    col = KEY_COLUMNS[key]
     exclude = Exclusion("territory", tuple(excluded))
     running = ["margin"] if key == "category" else []
     only = {"margin": ["fy"]} if key == "store" else None
-    sales_wide = window_sums(lines, SALE_TS, _measures("achieved", "margin"), windows, [col], exclude)
-    parts = [wide_form(sales_wide, ["achieved", "margin"], windows, [col], running=running, only=only)]
+    sales_wide = window_sums(lines, SALE_TS, _measures("achieved", "margin"), windows, [key], exclude)
+    parts = [wide_form(sales_wide, ["achieved", "margin"], windows, [key], running=running, only=only)]
     tcol = TARGET_KEYS[key]
     t_exclude = Exclusion("TM", tuple(excluded)) if key == "category" else None
     tgt_wide = window_sums(targets, TARGET_TS, {"target": F.col("Daily_Target")}, windows, [tcol], t_exclude)
-    tgt = wide_form(tgt_wide, ["target"], windows, [tcol]).withColumnRenamed(tcol, col)
-    merged = _merge_wide([tgt, *parts], col)
+    tgt = wide_form(tgt_wide, ["target"], windows, [tcol]).withColumnRenamed(tcol, key)
+    merged = _merge_wide([tgt, *parts], key)
     order = [f"{m}_{w.name}" for w in sorted(windows, key=lambda w: w.seq) for m in ("target", "achieved", "margin")]
     cols = [c for c in order if c in merged.columns]
-    return merged.select(F.col(col).alias(key), *cols)
+    return merged.select(key, *cols)

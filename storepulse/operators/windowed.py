@@ -60,8 +60,16 @@ def window_sums(
     """Wide aggregate: keys, then per window a row count and each measure's sum.
 
     Sums are left null for an all-null group here; the long form turns them
-    into 0 where the group exists.
+    into 0 where the group exists. ``df`` may be a ``window_cube`` of the rows:
+    its counts and sums are then added up.
     """
+    if _count_col(windows[0].seq) in df.columns:
+        rows = df if exclude is None else df.filter(not_excluded(exclude.column, exclude.names))
+        rows = rows.filter(all_not_null(keys)) if keys else rows
+        parts = [_count_col(w.seq) for w in windows] + [_sum_col(m, w.seq) for w in windows for m in measures]
+        sums = [F.sum(c).alias(c) for c in parts]
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) if c.startswith("rows__") else s for c, s in zip(parts, sums)]
+        return (rows.groupBy(*keys) if keys else rows.groupBy()).agg(*sums)
     lo, hi = window_span(windows)
     rows = df.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
     if exclude is not None:
@@ -81,6 +89,21 @@ def window_sums(
     return grouped.agg(*aggs)
 
 
+def window_cube(
+    df: DataFrame, ts: str, measures: Mapping[str, Column], windows: Sequence[ReportWindow], keys: Sequence[str]
+) -> DataFrame:
+    """Counts and sums of every window at the grain of ``keys`` (null keys kept): one scan that serves every report over them."""
+    lo, hi = window_span(windows)
+    rows = df.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
+    rows = rows.select(*keys, F.col(ts).alias("__ts"), *[v.alias(f"__m_{n}") for n, v in measures.items()])
+    aggs = []
+    for w in windows:
+        inside = w.contains(F.col("__ts"))
+        aggs.append(F.count(F.when(inside, F.lit(1))).alias(_count_col(w.seq)))
+        aggs += [F.sum(F.when(inside, F.col(f"__m_{n}"))).alias(_sum_col(n, w.seq)) for n in measures]
+    return rows.groupBy(*keys).agg(*aggs)
+
+
 def _running(cols: Sequence[Column]) -> Column:
     out = cols[0]
     for c in cols[1:]:
@@ -162,26 +185,20 @@ def wide_form(
     return wide.select(*keys, *cols)
 
 
-def window_activity(lines: DataFrame, windows: Sequence[ReportWindow], ts: str = "invoicedate",
-                    invoice: str = "invoice_id") -> DataFrame:
+def window_activity(per_invoice: DataFrame, windows: Sequence[ReportWindow], ts: str = "invoicedate") -> DataFrame:
     """Per window: its bounds, the invoices with lines in it, and the lines.
 
-    Lines are first reduced to one row per invoice (partial aggregation, so
-    an invoice with very many lines costs one row per map task), then one
+    ``per_invoice`` has one row per invoice with its number of ``lines``; one
     conditional aggregation counts both per window.
     """
     lo, hi = window_span(windows)
-    per_invoice = (
-        lines.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
-        .groupBy(invoice, ts)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = per_invoice.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
     aggs = []
     for w in windows:
         inside = w.contains(F.col(ts))
         aggs += [
             F.count(F.when(inside, F.lit(1))).alias(f"i{w.seq}"),
-            F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias(f"l{w.seq}"),
+            F.coalesce(F.sum(F.when(inside, F.col("lines"))), F.lit(0)).alias(f"l{w.seq}"),
         ]
     entries = [
         F.struct(
@@ -194,4 +211,4 @@ def window_activity(lines: DataFrame, windows: Sequence[ReportWindow], ts: str =
         )
         for w in windows
     ]
-    return per_invoice.agg(*aggs).select(F.inline(F.array(*entries)))
+    return rows.agg(*aggs).select(F.inline(F.array(*entries)))

@@ -8,7 +8,7 @@ a non-equi join, fiscal-year labels a literal CASE chain. The driver tables
 
 from __future__ import annotations
 
-from .registry import FIXTURE_AS_OF, FIXTURE_EXCLUDED, fixture_windows
+from .registry import FIXTURE_AS_OF, FIXTURE_EXCLUDED, FIXTURE_FISCAL_YEARS
 
 
 def _ts(value) -> str:
@@ -26,9 +26,18 @@ def _kept(col: str) -> str:
 AS_OF = _ts(FIXTURE_AS_OF)
 AS_OF_DATE = f"DATE '{FIXTURE_AS_OF.strftime('%Y-%m-%d')}'"
 
-WINDOWS = "win(window_seq, window_name, ws, we) AS (VALUES " + ", ".join(
-    f"({w.seq}, '{w.name}', {_ts(w.start)}, {_ts(w.end)})" for w in fixture_windows()
-) + ")"
+# The windows from DuckDB's own calendar: all end the day after the latest Monday; the
+# week starts on the Monday before it, the month and the fiscal year contain that Monday.
+WINDOWS = f"""mon AS (SELECT date_trunc('week', {AS_OF_DATE})::DATE AS latest),
+bounds AS (
+  SELECT latest - 7 AS week_start, date_trunc('month', latest - 7)::DATE AS month_start,
+         make_date(year(latest - 7) - CASE WHEN month(latest - 7) < 4 THEN 1 ELSE 0 END, 4, 1) AS fy_start,
+         latest + 1 + TIME '23:59:59' AS we
+  FROM mon),
+win AS (
+  SELECT 1 AS window_seq, 'week' AS window_name, week_start::TIMESTAMP AS ws, we FROM bounds
+  UNION ALL SELECT 2, 'month', month_start::TIMESTAMP, we FROM bounds
+  UNION ALL SELECT 3, 'fy', fy_start::TIMESTAMP, we FROM bounds)"""
 
 HDR = """hdr AS (
   SELECT o.o_orderkey AS invoice_id, o.o_orderdate AS invoicedate,
@@ -78,11 +87,12 @@ TARGETS = """targets AS (
   GROUP BY 1, 2, 3, 4)"""
 
 LOTS = f"""lots AS (
-  SELECT s.s_name AS store, sn.n_name AS territory, p.p_type AS category,
-         CASE l.l_returnflag WHEN 'R' THEN 'creditnote' WHEN 'A' THEN 'InStock' WHEN 'N' THEN 'Sold' END AS status,
+  SELECT s.s_name AS store, CASE WHEN s.s_suppkey % 7 <> 0 THEN sn.n_name END AS territory, p.p_type AS category,
+         CASE WHEN l.l_linenumber <> 7 THEN
+           CASE l.l_returnflag WHEN 'R' THEN 'creditnote' WHEN 'A' THEN 'InStock' WHEN 'N' THEN 'Sold' END END AS status,
          p.p_retailprice AS rate, l.l_quantity AS subqty,
          least(l.l_quantity, CAST(p.p_size AS DOUBLE)) AS soldqty,
-         l.l_shipdate + to_days(p.p_size * 10) AS expirydate,
+         CASE WHEN p.p_size % 10 <> 0 THEN l.l_shipdate + to_days(p.p_size * 10) END AS expirydate,
          o.o_orderdate AS invoicedate
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -98,6 +108,11 @@ lot_vals AS (
     CAST(floor((epoch_us(expirydate) - epoch_us({AS_OF})) / 86400000000.0) AS BIGINT) AS expiry_days
   FROM lots)"""
 
+# Two of the extract's four date layouts carry no time of day.
+_DATED_BY_LAYOUT = (
+    "CASE WHEN l.l_linenumber % 4 < 2 THEN date_trunc('second', o.o_orderdate) ELSE date_trunc('day', o.o_orderdate) END AS invoicedate"
+)
+
 LABELS = "labels(bucket_seq, bucket) AS (VALUES (1, '1-45 days'), (2, '46-90 days'), (3, '91-135 days'), (4, '135+ days'))"
 
 
@@ -168,13 +183,14 @@ LOTS_WIDE = """lw AS (
   SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS _id,
          CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS id,
          o.o_orderdate AS createddate, l.l_shipdate AS receiveddate, o.o_orderdate AS dateofmanufacturing,
-         l.l_shipdate + to_days(p.p_size * 10) AS expirydate,
+         CASE WHEN p.p_size % 10 <> 0 THEN l.l_shipdate + to_days(p.p_size * 10) END AS expirydate,
          round(abs(l.l_tax) * 100.0) AS gst_pct,
          p.p_retailprice AS purchasingprice_unit_xgst,
          l.l_extendedprice / l.l_quantity AS sellingprice_unit_igst,
          CAST(l.l_quantity AS BIGINT) AS subqty,
          CAST(least(l.l_quantity, CAST(p.p_size AS DOUBLE)) AS BIGINT) AS soldqty,
-         CASE l.l_returnflag WHEN 'R' THEN 'CreditNote' WHEN 'A' THEN 'InStock' WHEN 'N' THEN 'Sold' END AS status,
+         CASE WHEN l.l_linenumber <> 7 THEN
+           CASE l.l_returnflag WHEN 'R' THEN 'CreditNote' WHEN 'A' THEN 'InStock' WHEN 'N' THEN 'Sold' END END AS status,
          CASE WHEN l.l_returnflag = 'R' THEN p.p_retailprice ELSE CAST(0 AS DOUBLE) END AS cnStockproduct,
          s.s_acctbal / 100.0 AS transportCharges,
          CAST(p.p_size AS DOUBLE) AS otherCharges,
@@ -188,7 +204,7 @@ LOTS_WIDE = """lw AS (
          p.p_brand AS manufacturer_name,
          CAST(s.s_suppkey AS VARCHAR) AS supplier_id, s.s_name AS supplier_name,
          'GSTIN' || CAST(s.s_suppkey AS VARCHAR) AS supplier_gstnumber,
-         s.s_name AS store, sr.r_name AS vertical, p.p_retailprice AS landingrate
+         s.s_name || ' STORE' AS store, sr.r_name AS vertical, p.p_retailprice AS landingrate
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
@@ -199,7 +215,7 @@ LOTS_WIDE = """lw AS (
 
 def _fy_case() -> str:
     parts = ["CASE WHEN invoicedate IS NULL THEN 'None'"]
-    for y in range(2020, 2025):
+    for y in range(FIXTURE_FISCAL_YEARS[0], FIXTURE_FISCAL_YEARS[1] + 1):
         parts.append(
             f"WHEN invoicedate >= TIMESTAMP '{y}-04-01 00:00:00' AND invoicedate < TIMESTAMP '{y + 1}-04-01 00:00:00' "
             f"THEN 'FY{y % 100:02d}-{(y + 1) % 100:02d}'"
@@ -219,7 +235,7 @@ MODEL = f"""m1 AS (
   FROM lw),
 m2 AS (
   SELECT *,
-    CAST(CASE WHEN contains(status, 'Stock') THEN expiry_clock ELSE 0 END AS BIGINT) AS expiry_clock_stock
+    CAST(CASE WHEN coalesce(contains(status, 'Stock'), false) THEN expiry_clock ELSE 0 END AS BIGINT) AS expiry_clock_stock
   FROM m1),
 m3 AS (
   SELECT *,
@@ -321,6 +337,19 @@ def oracle_sql() -> dict[str, str]:
         "sale_line_economics": _with(HDR, LINES, ECON)
         + "SELECT invoice_id, store, territory, category, soldqty,\n"
         "  sale_value, sale_value_line_rate, purchase_net, purchase_gross, margin FROM econ",
+        "extract_sale_lines": _with(HDR, LINES) + "SELECT * FROM lines",
+        "extract_invoices": _with(HDR) + "SELECT invoice_id, invoicedate, store, territory, customer FROM hdr",
+        "extract_targets": _with(HDR, TARGETS)
+        + 'SELECT "Store", "TM", "Category", "Date", round("Daily_Target", 4) AS "Daily_Target" FROM targets',
+        "extract_lots": "WITH " + LOTS.replace("o.o_orderdate AS invoicedate", _DATED_BY_LAYOUT)
+        + "SELECT store, territory, category, status, rate, subqty, soldqty, expirydate, invoicedate FROM lots",
+        "extract_lots_wide": _with(LOTS_WIDE)
+        + "SELECT * REPLACE (CAST(round_even(subqty + 0.5, 0) AS BIGINT) AS subqty, CAST(round_even(soldqty + 0.5, 0) AS BIGINT) AS soldqty) FROM lw",
+        "totals_unrounded": _with(WINDOWS, HDR, LINES, ECON)
+        + "SELECT window_seq, window_name, round(v, 4) AS achieved_lakh_4,\n"
+        "  CAST(CAST(round(v) * 1000000 AS BIGINT) AS VARCHAR) || '.25%' AS scaled_text FROM (\n"
+        "  SELECT w.window_seq, w.window_name, coalesce(sum(e.sale_value), 0) / 100000.0 AS v\n"
+        "  FROM win w LEFT JOIN econ e ON e.invoicedate BETWEEN w.ws AND w.we GROUP BY w.window_seq, w.window_name)",
         "achieved_revenue_by_window": sales + _total("e.sale_value", "achieved_lakh"),
         "target_revenue_by_window": tgt + _total('e."Daily_Target"', "target_lakh", "targets", '"Date"'),
         "actual_margin_by_window": sales

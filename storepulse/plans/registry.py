@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 from ..functions import economics as econ
 from ..functions.dates import UTC, ReportWindow, reporting_windows
 from ..operators import customers, inventory, lot_model, sales, windowed
-from ..sources import readers, tables
+from ..sources import readers, schemas, tables
 
 # --- fixed values of the fixture run -------------------------------------------
 FIXTURE_AS_OF = dt.datetime(2001, 8, 1, 12, 0, 0, tzinfo=UTC)
 FIXTURE_END_POLICY = "main"
+FIXTURE_FISCAL_YEARS = (1996, 2000)
 FIXTURE_EXCLUDED = ("NATION_0", "NATION_6", "NATION_12", "NATION_18", "NATION_24")
 
 
@@ -48,15 +49,14 @@ def _lines(spark, sf, measures, key=None, exclude=False):
 
 def report_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Per window: its bounds, invoices with lines in it, and lines."""
-    lines = tables.sale_lines(spark, sf, ["invoice_id", "invoicedate"])
-    return present(windowed.window_activity(lines, fixture_windows()))
+    return present(windowed.window_activity(tables.order_line_counts(spark, sf), fixture_windows()))
 
 
 def sale_line_economics(spark: SparkSession, sf: str) -> DataFrame:
-    """Every sale line with its economics, via nested invoices and explode."""
-    lines = readers.sale_lines_frame(tables.invoices(spark, sf))
+    """Every sale line with its economics."""
+    lines = tables.sale_lines(spark, sf)
     return lines.select(
-        F.col("invoice_id").cast("long").alias("invoice_id"),
+        "invoice_id",
         "store",
         "territory",
         "category",
@@ -69,6 +69,46 @@ def sale_line_economics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- B01: extracts, built from the tables in the plan and read by the extract frames ---
+
+def extract_sale_lines(spark, sf):
+    """Nested sales documents, exploded into lines."""
+    lines = readers.sale_lines_frame(tables.invoices(spark, sf))
+    return present(lines.withColumn("invoice_id", F.col("invoice_id").cast("long")))
+
+
+def extract_invoices(spark, sf):
+    """Invoice attributes from the nested sales documents, one row per invoice."""
+    docs = readers.complete(tables.invoices(spark, sf), ("_id", "invoicedate"), "sales")
+    rows = readers.invoice_frame(docs).distinct()
+    return present(rows.withColumn("invoice_id", F.col("invoice_id").cast("long")))
+
+
+def extract_targets(spark, sf):
+    """Targets from response envelopes held as text."""
+    texts = tables.target_envelopes(spark, sf, "targets")
+    rows = readers.targets_frame(readers.parse_responses(texts, schemas.TARGETS, "targets"))
+    return present(rows.withColumn("Daily_Target", F.round("Daily_Target", 4)))
+
+
+def extract_lots(spark, sf):
+    """Nested narrow lots with invoice dates in mixed text layouts."""
+    return present(readers.lots_frame(tables.lot_documents(spark, sf)))
+
+
+def extract_lots_wide(spark, sf):
+    """Nested BI lots with fractional quantities, expanded and converted."""
+    return present(readers.lots_wide_frame(tables.lot_documents_wide(spark, sf)))
+
+
+def totals_unrounded(spark, sf):
+    """Achieved sale value per window in lakh, as computed, and as percent text at a large scale."""
+    lines = _lines(spark, sf, ["achieved"])
+    out = sales.achieved_revenue(lines, fixture_windows(), digits=None)
+    big = econ.as_percent_text(F.round(F.col("achieved_lakh")) * F.lit(1e6) + F.lit(0.25))
+    return out.select("window_seq", "window_name", F.round("achieved_lakh", 4).alias("achieved_lakh_4"), big.alias("scaled_text"))
+
+
 # --- B04-B07: totals -------------------------------------------------------------
 
 def achieved_revenue_by_window(spark, sf):
@@ -158,24 +198,32 @@ def lot_values(spark, sf):
     )
 
 
+def _lots(spark, sf, *columns):
+    return tables.lots(spark, sf, [*inventory.VALUE_COLUMNS, *columns])
+
+
 def inventory_age_by_category(spark, sf):
-    return inventory.inventory_age_grid(tables.lots(spark, sf), FIXTURE_AS_OF, "category", FIXTURE_EXCLUDED)
+    lots = _lots(spark, sf, "category", "territory", "invoicedate")
+    return inventory.inventory_age_grid(lots, FIXTURE_AS_OF, "category", FIXTURE_EXCLUDED)
 
 
 def inventory_age_by_territory(spark, sf):
-    return inventory.inventory_age_grid(tables.lots(spark, sf), FIXTURE_AS_OF, "territory", FIXTURE_EXCLUDED)
+    lots = _lots(spark, sf, "territory", "invoicedate")
+    return inventory.inventory_age_grid(lots, FIXTURE_AS_OF, "territory", FIXTURE_EXCLUDED)
 
 
 def expired_by_category(spark, sf):
-    return inventory.expired_value(tables.lots(spark, sf), FIXTURE_AS_OF, "category", FIXTURE_EXCLUDED)
+    lots = _lots(spark, sf, "category", "territory", "expirydate")
+    return inventory.expired_value(lots, FIXTURE_AS_OF, "category", FIXTURE_EXCLUDED)
 
 
 def expired_by_store(spark, sf):
-    return inventory.expired_value(tables.lots(spark, sf), FIXTURE_AS_OF, "store", FIXTURE_EXCLUDED)
+    lots = _lots(spark, sf, "store", "territory", "expirydate")
+    return inventory.expired_value(lots, FIXTURE_AS_OF, "store", FIXTURE_EXCLUDED)
 
 
 def expiry_grid_by_category(spark, sf):
-    return inventory.expiry_grid(tables.lots(spark, sf), FIXTURE_AS_OF, "category")
+    return inventory.expiry_grid(_lots(spark, sf, "category", "expirydate"), FIXTURE_AS_OF, "category")
 
 
 # --- B18: customers ----------------------------------------------------------------
@@ -190,10 +238,13 @@ def customers_total(spark, sf):
 
 # --- B20: BI lot model -------------------------------------------------------------
 
-def _model(spark, sf, columns=None):
+def _model(spark, sf, columns=schemas.LOT_WIDE_COLUMNS):
     totals = tables.lots_wide(spark, sf, lot_model.TOTAL_COLUMNS)
-    lots = tables.lots_wide(spark, sf) if columns is None else tables.lots_wide(spark, sf, columns)
-    return lot_model.lot_model(lots, FIXTURE_AS_OF, total_from=totals)
+    return lot_model.lot_model(tables.lots_wide(spark, sf, columns), FIXTURE_AS_OF, totals, FIXTURE_FISCAL_YEARS)
+
+
+def _model_rows(spark, sf, columns):
+    return lot_model.lot_model_rows(tables.lots_wide(spark, sf, columns), FIXTURE_AS_OF, FIXTURE_FISCAL_YEARS)
 
 
 def lot_model_table(spark, sf):
@@ -201,15 +252,15 @@ def lot_model_table(spark, sf):
 
 
 def lot_expiry_bands(spark, sf):
-    return lot_model.expiry_bands(_model(spark, sf, lot_model.ROLLUP_INPUTS))
+    return lot_model.expiry_bands(_model_rows(spark, sf, lot_model.BAND_INPUTS))
 
 
 def lot_weighted_age(spark, sf):
-    return lot_model.weighted_age(_model(spark, sf, lot_model.ROLLUP_INPUTS))
+    return lot_model.weighted_age(_model(spark, sf, lot_model.WEIGHTED_AGE_INPUTS))
 
 
 def lot_fiscal_year(spark, sf):
-    return lot_model.fiscal_year_summary(_model(spark, sf, lot_model.ROLLUP_INPUTS))
+    return lot_model.fiscal_year_summary(_model_rows(spark, sf, lot_model.FISCAL_YEAR_INPUTS))
 
 
 # --- B19: wide layouts --------------------------------------------------------------
@@ -230,14 +281,19 @@ def scorecard_territory(spark, sf):
 
 
 def inventory_age_grid_wide(spark, sf):
-    return inventory.inventory_age_grid(
-        tables.lots(spark, sf), FIXTURE_AS_OF, "category", FIXTURE_EXCLUDED, wide=True
-    )
+    lots = _lots(spark, sf, "category", "territory", "invoicedate")
+    return inventory.inventory_age_grid(lots, FIXTURE_AS_OF, "category", FIXTURE_EXCLUDED, wide=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_windows": report_windows,
     "sale_line_economics": sale_line_economics,
+    "extract_sale_lines": extract_sale_lines,
+    "extract_invoices": extract_invoices,
+    "extract_targets": extract_targets,
+    "extract_lots": extract_lots,
+    "extract_lots_wide": extract_lots_wide,
+    "totals_unrounded": totals_unrounded,
     "achieved_revenue_by_window": achieved_revenue_by_window,
     "target_revenue_by_window": target_revenue_by_window,
     "actual_margin_by_window": actual_margin_by_window,

@@ -15,9 +15,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -68,21 +65,17 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when nothing is configured (local tests) is a private temporary
-    folder created and registered.
+    It must be a folder that the driver and all executors share; without the
+    setting (or a checkpoint directory set on the context) this is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir() or configured
-    local = tempfile.mkdtemp(prefix="storepulse-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        raise ValueError("no staging folder: set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(configured)
+    return spark.sparkContext.getCheckpointDir() or configured
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -102,19 +95,6 @@ def stage(df, name: str):
     return spark.read.parquet(path)
 
 
-def spread_scan(scan):
-    """Round-robin a plain file scan over the default parallelism if it has fewer splits.
-
-    Only for a scan with no exchange below it: counting its partitions just
-    lists and splits the files, it runs no job. An input of a few
-    unsplittable files (one big row group) would otherwise push every
-    narrow operator after it through a single task; a large input has far
-    more splits than cores and is returned unchanged (no shuffle added).
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def explain_text(df, mode: str = "formatted") -> str:
     """The physical plan as text (for plan checks in tests)."""
     import contextlib
@@ -124,10 +104,3 @@ def explain_text(df, mode: str = "formatted") -> str:
     with contextlib.redirect_stdout(buf):
         df.explain(mode)
     return buf.getvalue()
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default

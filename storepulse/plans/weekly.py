@@ -1,25 +1,30 @@
 """The weekly report job: every report from one pass over each input.
 
-The individual report functions each plan their own scan. When all reports
-run together, the inputs they share are built once:
+When all reports run together, each input is aggregated once, at the grain
+of category, store and territory:
 
-* sale lines of the reporting span (joins done once, then staged),
-* daily targets of the span, invoice rows for customer counts,
-* narrow lots with their values, and the enriched BI lot table.
+* sale lines of the reporting span: every measure by window,
+* daily targets of the span by window,
+* narrow lots: stock value by age and expiry bucket, and of expired lots,
 
-Staging writes each shared frame as parquet under the cluster's checkpoint
-folder (``spark.checkpoint.dir``) and reads it back. That cuts the lineage
-durably: a lost executor costs a re-read of the staged files, not a re-run
-of the joins, and every report reads only the staged columns it needs.
-Each run stages under its own ``<checkpoint dir>/staged/<run id>/`` and
-reports are written with overwrite, so a failed run can simply be run
-again; staged folders of finished runs are not read again and can be
-expired by the folder's retention policy.
+and every keyed report, total, grid and scorecard is a roll-up of those
+aggregates. Invoice rows feed the two customer counts. The enriched BI lot
+table is written once and its roll-ups read it back.
 
-Run from the command line::
+Staging writes the aggregates as parquet under the staging folder
+(``--staging``, or the cluster's ``spark.checkpoint.dir``; one of them is
+required and must be shared by all executors) and reads them back. That cuts the
+lineage durably: a lost executor costs a re-read, not a re-run of the joins.
+Each run stages under its own ``staged/<run id>/``; a run publishes into a
+folder of its own and its manifest last, so a failed run can simply be run
+again. Staged folders can be expired by the folder's retention policy.
+
+Run from the command line, from the tables or from landed extracts::
 
     python -m storepulse.plans.weekly --tables /path/to/tables --out /path/to/reports \\
         --as-of 2001-08-01T12:00:00 --exclude NATION_0,NATION_6
+    python -m storepulse.plans.weekly --sales sales.json --targets targets.json --lots lots.json \\
+        --lots-wide lots_wide.json --out /path/to/reports --as-of 2024-08-01
 """
 
 from __future__ import annotations
@@ -31,13 +36,12 @@ from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.constants import EXCLUDED_TERRITORIES
 from ..functions.dates import as_utc, reporting_windows, window_span
 from ..operators import customers, inventory, lot_model, sales
-from ..sinks.writers import publish, write_report
-from ..sources import tables
+from ..sinks.writers import new_run, publish, write_report
+from ..sources import readers, tables
 from .session import build_session, stage
 
 
@@ -62,6 +66,7 @@ class WeeklyConfig:
     as_of: dt.datetime
     end_policy: str = "main"
     excluded: Sequence[str] = field(default_factory=lambda: list(EXCLUDED_TERRITORIES))
+    fiscal_years: tuple[int, int] = lot_model.FISCAL_YEARS
 
 
 def inputs_from_tables(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -75,29 +80,60 @@ def inputs_from_tables(spark: SparkSession, sf_dir: str) -> Inputs:
     )
 
 
-def stage_inputs(inputs: Inputs, cfg: WeeklyConfig, run_id: str | None = None) -> Inputs:
-    """Restrict sales and targets to the reporting span, then stage what many reports share.
-
-    Lines feed fourteen reports, targets five, lots six; invoices feed two
-    light counts and are not staged. The BI lot table is not staged here:
-    it is itself a published report (see :func:`run_weekly`).
+def inputs_from_extracts(
+    spark: SparkSession,
+    sales: str,
+    targets: str,
+    lots: str,
+    lots_wide: str,
+    fmt: str = "json",
+    multiline: bool = False,
+    results: dict[str, str] | None = None,
+    invoices: DataFrame | None = None,
+) -> Inputs:
+    """Inputs from the landed extracts.
+
+    ``results`` names the list inside the response envelope, by extract
+    (``sales``, ``targets``, ``lots``, ``lots_wide``), for those that come in one.
+    An extract without any record is an error. A large sales extract is best
+    landed as parquet first (``sinks.landing``), where reports read only the leaves they need.
     """
+    named = results or {}
+    read = {
+        "sales": (readers.read_sales, sales),
+        "targets": (readers.read_targets, targets),
+        "lots": (readers.read_lots, lots),
+        "lots_wide": (readers.read_lots_wide, lots_wide),
+    }
+    frames = {n: reader(spark, path, fmt, multiline, named.get(n)) for n, (reader, path) in read.items()}
+    for name, df in frames.items():
+        if df.isEmpty():
+            raise readers.ExtractError(f"the {name} extract holds no record")
+    return Inputs(
+        lines=readers.sale_lines_frame(frames["sales"]),
+        targets=readers.targets_frame(frames["targets"]),
+        invoices=readers.invoice_frame(frames["sales"]) if invoices is None else invoices,
+        lots=readers.lots_frame(frames["lots"]),
+        lots_wide=readers.lots_wide_frame(frames["lots_wide"]),
+    )
+
+
+def stage_inputs(inputs: Inputs, cfg: WeeklyConfig, run_id: str | None = None) -> Inputs:
+    """Aggregate lines, targets and lots once each and stage the aggregates; the rest stays as it is."""
     run = run_id or uuid.uuid4().hex[:12]
-    lo, hi = window_span(reporting_windows(cfg.as_of, cfg.end_policy))
-    lines = inputs.lines.filter(F.col("invoicedate").between(F.lit(lo), F.lit(hi)))
-    tgt = inputs.targets.filter(F.col("Date").between(F.lit(lo), F.lit(hi)))
+    windows = reporting_windows(cfg.as_of, cfg.end_policy)
     return Inputs(
-        lines=stage(lines, f"{run}/lines"),
-        targets=stage(tgt, f"{run}/targets"),
+        lines=stage(sales.line_cube(inputs.lines, windows), f"{run}/lines"),
+        targets=stage(sales.target_cube(inputs.targets, windows), f"{run}/targets"),
         invoices=inputs.invoices,
-        lots=stage(inputs.lots, f"{run}/lots"),
+        lots=stage(inventory.lot_cube(inputs.lots, cfg.as_of), f"{run}/lots"),
         lots_wide=inputs.lots_wide,
         lot_totals=inputs.lot_totals,
     )
 
 
 def model_table(inputs: Inputs, cfg: WeeklyConfig) -> DataFrame:
-    return lot_model.lot_model(inputs.lots_wide, cfg.as_of, total_from=inputs.lot_totals)
+    return lot_model.lot_model(inputs.lots_wide, cfg.as_of, inputs.lot_totals, cfg.fiscal_years)
 
 
 def sales_and_stock_reports(inputs: Inputs, cfg: WeeklyConfig) -> dict[str, DataFrame]:
@@ -154,7 +190,7 @@ def run_weekly(
     out_root: str | None = None,
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
-    """Stage the shared inputs, build every report, publish them if ``out_root`` is given.
+    """Aggregate each input once, build every report, publish the batch if ``out_root`` is given.
 
     The BI lot table is written once (published, or staged when nothing is
     published) and its roll-ups read that written table back, so the wide
@@ -162,30 +198,47 @@ def run_weekly(
     """
     staged = stage_inputs(inputs, cfg)
     model = model_table(staged, cfg)
+    run, written = new_run(), {}
     if out_root and fmt == "parquet":
-        model = spark.read.parquet(write_report(model, f"{out_root.rstrip('/')}/lot_model", fmt, files=None))
+        written["lot_model"] = write_report(model, f"{out_root.rstrip('/')}/runs/{run}/lot_model", fmt, files=None)
+        model = spark.read.parquet(written["lot_model"])
     else:
         model = stage(model, f"model-{uuid.uuid4().hex[:12]}")
         if out_root:
-            write_report(model, f"{out_root.rstrip('/')}/lot_model", fmt, files=None)
+            written["lot_model"] = write_report(model, f"{out_root.rstrip('/')}/runs/{run}/lot_model", fmt, files=None)
     reports = {**sales_and_stock_reports(staged, cfg), **model_reports(model)}
     if out_root:
-        publish(reports, out_root, fmt)
+        publish(reports, out_root, fmt, run_id=run, written=written)
     return {**reports, "lot_model": model}
 
 
 def main(argv: Sequence[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description="Run the weekly retail KPI reports.")
-    ap.add_argument("--tables", required=True, help="folder with the star-schema parquet tables")
+    ap.add_argument("--tables", help="folder with the star-schema parquet tables")
+    for name in ("sales", "targets", "lots", "lots-wide"):
+        ap.add_argument(f"--{name}", help=f"landed {name} extract (instead of --tables, all four)")
+    ap.add_argument("--extract-format", default="json", choices=["json", "parquet"])
+    ap.add_argument("--results", default="", help="envelope list names, e.g. sales=invoices,lots=lots")
+    ap.add_argument("--staging", help="staging folder that all executors share (default: spark.checkpoint.dir)")
     ap.add_argument("--out", required=True, help="folder for the published reports")
     ap.add_argument("--as-of", required=True, help="report clock, ISO 8601 (UTC when no offset)")
     ap.add_argument("--end-policy", default="main", choices=["main", "monday", "full_week"])
     ap.add_argument("--exclude", default=",".join(EXCLUDED_TERRITORIES), help="comma-separated territories")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     args = ap.parse_args(argv)
+    extracts = [args.sales, args.targets, args.lots, args.lots_wide]
+    if bool(args.tables) == any(extracts) or (any(extracts) and not all(extracts)):
+        ap.error("give --tables, or all of --sales, --targets, --lots and --lots-wide")
     spark = build_session()
+    if args.staging:
+        spark.sparkContext.setCheckpointDir(args.staging)
     cfg = WeeklyConfig(as_of_utc(args.as_of), args.end_policy, [x for x in args.exclude.split(",") if x])
-    run_weekly(spark, inputs_from_tables(spark, args.tables), cfg, args.out, args.format)
+    if args.tables:
+        inputs = inputs_from_tables(spark, args.tables)
+    else:
+        results = dict(x.split("=", 1) for x in args.results.split(",") if x)
+        inputs = inputs_from_extracts(spark, *extracts, fmt=args.extract_format, results=results)
+    run_weekly(spark, inputs, cfg, args.out, args.format)
     spark.stop()
     return 0
 

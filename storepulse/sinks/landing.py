@@ -3,25 +3,30 @@
 Invoices and targets are landed under ``<path>/<partition_col>=yyyy-MM/``.
 A report reads them back with :func:`storepulse.sources.readers.read_landed`
 and the span of its windows, so whole months outside the span are pruned
-at planning time (no listing or opening of their files).
-
-Rows are not repartitioned by month before writing: each task writes its
-own rows into the month folders it touches, so a month holding a large
-share of the data is still written by many tasks. ``max_records_per_file``
-bounds file size. With ``replace_months=True`` the write uses dynamic
-partition overwrite: re-landing a month replaces that month only.
+at planning time (no listing or opening of their files). Months are UTC months, whatever
+the session's time zone.
+
+Rows are rebalanced by month before they are written: small months end up in few files, and
+adaptive execution splits a month holding a large share of the data over
+many tasks. ``max_records_per_file`` bounds file size. With
+``replace_months=True`` the write uses dynamic partition overwrite:
+re-landing a month replaces that month only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import MICROS_PER_DAY
+
 MONTH_FORMAT = "yyyy-MM"
 
 
-def month_of(ts_col: str):
-    return F.date_format(F.col(ts_col), MONTH_FORMAT)
+def month_of(ts_col: str) -> Column:
+    """UTC month of a timestamp, from its distance to the epoch."""
+    day = F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(MICROS_PER_DAY)).cast("int")
+    return F.date_format(F.date_from_unix_date(day), MONTH_FORMAT)
 
 
 def land_by_month(
@@ -33,7 +38,7 @@ def land_by_month(
     max_records_per_file: int = 5_000_000,
 ) -> str:
     """Write ``df`` as parquet partitioned by the month of ``ts_col``."""
-    out = df.withColumn(partition_col, month_of(ts_col))
+    out = df.withColumn(partition_col, month_of(ts_col)).hint("rebalance", partition_col)
     writer = (
         out.write.mode("overwrite" if replace_months else "append")
         .option("maxRecordsPerFile", max_records_per_file)

@@ -1,17 +1,21 @@
 """Publishing report frames.
 
-Each report is written as its own dataset with ``mode('overwrite')``;
-Spark's commit protocol makes the directory appear whole or not at all, so
-a batch of reports is published report by report, each atomically. Report
-frames are small aggregates, so they are coalesced to a few files; the
-per-lot tables keep their partitioning.
+A batch of reports is written under its own run folder,
+``<root>/runs/<run>/<report>``, and becomes the current one only when its
+manifest is added as the last step. A batch that fails leaves no manifest, so readers go
+on with the former batch. Reports are small: they are aggregated in
+parallel and the finished rows brought into one file, in the order of window and then
+key. Per-lot tables keep their partitioning.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -28,7 +32,8 @@ def write_report(
     """Write one report; ``files=None`` keeps the frame's partitioning."""
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
-    out = df if files is None else df.coalesce(files)
+    # A shuffle of finished rows: coalescing would also pull the last aggregation into these tasks.
+    out = df if files is None else df.repartition(files)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     writer = out.write.mode(mode).format(fmt)
@@ -40,18 +45,52 @@ def write_report(
     return path
 
 
-def publish(reports: Mapping[str, DataFrame], root: str, fmt: str = "parquet", large: Sequence[str] = ()) -> dict[str, str]:
-    """Write every report under ``root/<name>``.
+def report_order(columns: Sequence[str]) -> list[str]:
+    """Window first, then the key and what follows it."""
+    return sorted(columns, key=lambda c: c != "window_seq")
 
-    Small reports become one file each, rows ordered by their leading
-    columns (keys and window first, as the original sheets listed them);
-    names in ``large`` keep their partitions and order.
+
+def publish(
+    reports: Mapping[str, DataFrame],
+    root: str,
+    fmt: str = "parquet",
+    large: Sequence[str] = (),
+    run_id: str | None = None,
+    written: Mapping[str, str] | None = None,
+) -> dict[str, str]:
+    """Write every report of a batch under its run folder, then the batch's manifest; returns the paths.
+
+    Names in ``large`` keep their partitions and order. ``written`` names
+    reports of this batch that the caller has already written.
     """
-    root = root.rstrip("/")
-    out = {}
+    root, run = root.rstrip("/"), run_id or new_run()
+    out = dict(written or {})
     for name, df in reports.items():
+        path = f"{root}/runs/{run}/{name}"
         if name in large:
-            out[name] = write_report(df, f"{root}/{name}", fmt, files=None)
+            out[name] = write_report(df, path, fmt, files=None)
         else:
-            out[name] = write_report(df, f"{root}/{name}", fmt, files=1, sort_by=df.columns)
+            out[name] = write_report(df, path, fmt, files=1, sort_by=report_order(df.columns))
+    if out:
+        spark = next(iter(reports.values())).sparkSession
+        rows = [(run, name, path, fmt) for name, path in sorted(out.items())]
+        manifest = spark.createDataFrame(rows, "run string, report string, path string, format string")
+        manifest.coalesce(1).write.mode("errorifexists").json(f"{root}/manifests/{run}")
     return out
+
+
+def new_run() -> str:
+    """Run names sort by time."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def read_published(spark: SparkSession, root: str, report: str) -> DataFrame:
+    """The report of the last batch that was published whole."""
+    listed = spark.read.schema("run string, report string, path string, format string").json(f"{root.rstrip('/')}/manifests/*")
+    last = listed.filter(F.col("report") == report).orderBy(F.col("run").desc()).first()
+    if last is None:
+        raise ValueError(f"no published report {report!r} under {root}")
+    reader = spark.read.format(last["format"])
+    if last["format"] == "csv":
+        reader = reader.option("header", True).option("inferSchema", True)
+    return reader.load(last["path"])

@@ -1,9 +1,14 @@
 """Readers for landed extracts and their flat working frames.
 
-Extracts are JSON documents (one record per line, or a JSON array) or
-parquet, read with the explicit schemas of :mod:`schemas`. ``FAILFAST``
-rejects a malformed extract instead of silently producing nulls, which is
-the distributed form of "stop when the fetch did not succeed".
+Extracts are JSON documents (one record per line, or a JSON array), responses
+that wrap the records as ``{"data": {result: [...]}}``, or parquet, read with
+the explicit schemas of :mod:`schemas`. A failed extract stops the job that
+reads it: ``FAILFAST`` rejects malformed text, an envelope without its result is
+an error, and so is a record without the fields that identify it (an error
+document, or an envelope read as bare records, has none of them). Parquet
+extracts are also checked for the needed columns when they are opened.
+
+Multi-line JSON is one task per file; it is meant for small extracts.
 
 The ``*_frame`` functions turn the nested records into the flat frames the
 operators work on. They select only the leaves the reports need, so parquet
@@ -43,7 +48,7 @@ def _leaf_paths(schema: T.StructType, prefix: str = "") -> set[str]:
 
 
 def require_fields(df: DataFrame, paths: Iterable[str]) -> DataFrame:
-    """Fail early (on the driver, from the schema only) if a path is missing."""
+    """Fail early (on the driver) if the files' own schema lacks a path."""
     present = _leaf_paths(df.schema)
     missing = [p for p in paths if p not in present]
     if missing:
@@ -51,27 +56,63 @@ def require_fields(df: DataFrame, paths: Iterable[str]) -> DataFrame:
     return df
 
 
+def complete(df: DataFrame, identity: Iterable[str], what: str) -> DataFrame:
+    """``df``, whose reading fails at the first record without one of its ``identity`` fields."""
+    paths = list(identity)
+    there = F.lit(True)
+    for p in paths:
+        there = there & F.col(p).isNotNull()
+    error = F.raise_error(F.lit(f"{what}: a record without {' or '.join(paths)}; the extract failed or is no such extract"))
+    return df.filter(F.when(there, F.lit(True)).otherwise(error.cast("boolean")))
+
+
+def _envelope(schema: T.StructType, result: str) -> T.StructType:
+    records = T.StructField(result, T.ArrayType(schema, True), True)
+    return T.StructType([T.StructField("data", T.StructType([records]), True)])
+
+
+def unwrapped(responses: DataFrame, result: str) -> DataFrame:
+    """Records of parsed responses (``data.<result>``); a response without the result is an error."""
+    records = F.col(f"data.{result}")
+    error = F.raise_error(F.lit(f"a response without data.{result}; the fetch failed"))
+    kept = responses.filter(F.when(records.isNotNull(), F.lit(True)).otherwise(error.cast("boolean")))
+    return kept.select(F.inline(records))
+
+
+def parse_responses(texts: DataFrame, schema: T.StructType, result: str, column: str = "value") -> DataFrame:
+    """Records of responses held as text in ``column``."""
+    parsed = F.from_json(F.col(column), _envelope(schema, result), {"mode": "FAILFAST"})
+    return unwrapped(texts.select(parsed["data"].alias("data")), result)
+
+
 def read_extract(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
     fmt: str = "json",
     multiline: bool = False,
+    result: str | None = None,
+    identity: Iterable[str] = (),
 ) -> DataFrame:
-    """Read one landed extract with a declared schema."""
+    """Read one landed extract with a declared schema.
+
+    ``result`` names the list inside a response envelope; ``identity`` the
+    fields that every record must have.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
-    reader = spark.read.schema(schema)
+    if fmt == "parquet":
+        require_fields(spark.read.parquet(*([path] if isinstance(path, str) else path)), identity)
+    reader = spark.read.schema(_envelope(schema, result) if result else schema)
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST").option("multiLine", multiline)
-    return reader.format(fmt).load(path)
+    df = reader.format(fmt).load(path)
+    df = unwrapped(df, result) if result else df
+    return complete(df, identity, str(path)) if identity else df
 
 
-def read_sales(spark: SparkSession, path, fmt: str = "json", multiline: bool = False) -> DataFrame:
-    return require_fields(
-        read_extract(spark, path, schemas.SALES, fmt, multiline),
-        ["invoicedate", "product", "storeDetails.name", "storeDetails.territory.name"],
-    )
+def read_sales(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
+    return read_extract(spark, path, schemas.SALES, fmt, multiline, result, ("_id", "invoicedate"))
 
 
 def read_landed(
@@ -96,22 +137,16 @@ def read_landed(
     return df
 
 
-def read_targets(spark: SparkSession, path, fmt: str = "json", multiline: bool = False) -> DataFrame:
-    return require_fields(
-        read_extract(spark, path, schemas.TARGETS, fmt, multiline),
-        ["Store", "TM", "Category", "Date", "Daily_Target"],
-    )
+def read_targets(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
+    return read_extract(spark, path, schemas.TARGETS, fmt, multiline, result, ("Date", "Daily_Target"))
 
 
-def read_lots(spark: SparkSession, path, fmt: str = "json", multiline: bool = False) -> DataFrame:
-    return require_fields(
-        read_extract(spark, path, schemas.LOTS, fmt, multiline),
-        ["status", "rate", "subqty", "soldqty", "expirydate", "invoice.invoicedate"],
-    )
+def read_lots(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
+    return read_extract(spark, path, schemas.LOTS, fmt, multiline, result, ("rate", "subqty"))
 
 
-def read_lots_wide(spark: SparkSession, path, fmt: str = "json", multiline: bool = False) -> DataFrame:
-    return read_extract(spark, path, schemas.LOTS_WIDE, fmt, multiline)
+def read_lots_wide(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
+    return read_extract(spark, path, schemas.LOTS_WIDE, fmt, multiline, result, ("_id",))
 
 
 # --- nested -> flat -----------------------------------------------------------
@@ -214,8 +249,8 @@ def lots_wide_frame(lots: DataFrame) -> DataFrame:
         F.col("gst").alias("gst_pct"),
         F.col("rate").alias("purchasingprice_unit_xgst"),
         F.col("sellingprice").alias("sellingprice_unit_igst"),
-        F.col("subqty").cast("long").alias("subqty"),
-        F.col("soldqty").cast("long").alias("soldqty"),
+        F.bround("subqty").cast("long").alias("subqty"),
+        F.bround("soldqty").cast("long").alias("soldqty"),
         "status",
         "cnStockproduct",
         "transportCharges",

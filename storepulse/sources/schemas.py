@@ -144,8 +144,8 @@ LOTS_WIDE = _s(
     _f("rate", DBL),
     _f("landingrate", DBL),
     _f("sellingprice", DBL),
-    _f("subqty", LONG),
-    _f("soldqty", LONG),
+    _f("subqty", DBL),
+    _f("soldqty", DBL),
     _f("status", STR),
     _f("cnStockproduct", DBL),
     _f("transportCharges", DBL),

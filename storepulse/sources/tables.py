@@ -25,7 +25,6 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans.session import spread_scan
 from . import schemas
 
 TABLES = (
@@ -114,8 +113,8 @@ _NEEDS_SUPPLIER = {"transport_charges"}
 def sale_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str] = schemas.LINE_COLUMNS) -> DataFrame:
     """Flat sale lines (a subset of ``schemas.LINE_COLUMNS``) from the tables.
 
-    Same rows as ``readers.sale_lines_frame(invoices(...))`` without nesting
-    lines into arrays only to explode them again. Joins: orders (+ customer
+    Same rows as ``readers.sale_lines_frame(invoices(...))`` without building
+    the documents. Joins: orders (+ customer
     + nation when store/territory/customer are asked for) with lineitem on
     the order key, then part and supplier only if a requested column needs
     them.
@@ -152,39 +151,29 @@ def invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header.select(*[_LINE_EXPR[c]().alias(c) for c in ("invoice_id", "invoicedate", "store", "territory", "customer")])
 
 
-# Largest number of lines nested into one invoice document.
-MAX_LINES_PER_DOCUMENT = 1000
+def order_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(invoicedate, lines) of every order that has lines.
+
+    Lines are counted per order key before the join, so an order with very
+    many lines costs one row per map task; a date filter on the result
+    reaches the orders scan.
+    """
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", _ts("o_orderdate").alias("invoicedate"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("invoicedate", "lines")
 
 
-def invoices(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DOCUMENT) -> DataFrame:
-    """Nested invoices shaped like the sales extract (``schemas.SALES`` subset).
+def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents shaped like the sales extract (``schemas.SALES`` subset).
 
-    Every order is kept: orders without lines become invoices with an empty
-    ``product`` array. Lines are nested with ``collect_list`` per document,
-    and an invoice with more than ``max_lines`` lines is split into
-    ``ceil(lines / max_lines)`` documents (pages) sharing its ``_id``, so no
-    array and no task holds an unbounded group even if one order carried a
-    large share of all lines. A line's page is a hash of a row id taken at
-    the lineitem scan, so pages hold about ``max_lines`` lines each (a hash
-    spread, not an exact cap); the id is a function of the file split and
-    row position, so a retried task rebuilds the same pages. The line count
-    per order comes from a partial (map-side) aggregate.
+    Every line is a document of its own, with a one-element ``product`` array
+    under its order's ``_id``, at any size; orders without lines have an empty
+    array. Nothing is grouped, so no array holds an unbounded group.
+    Invoice-level counts belong on ``invoice_rows``.
     """
-    li = table(spark, sf_dir, "lineitem").withColumn("_row", F.monotonically_increasing_id())
+    li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    counts = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("c_orderkey"))
-        .agg(F.count(F.lit(1)).alias("n_lines"))
-    )
-    facts = (
-        li.join(counts, li.l_orderkey == counts.c_orderkey, "inner")
-        .join(part, li.l_partkey == part.p_partkey, "left")
-        .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
-    )
-    pages = F.ceil(F.col("n_lines") / F.lit(float(max_lines))).cast("long")
-    facts = facts.withColumn("_page", F.pmod(F.xxhash64("_row"), pages))
     element = F.struct(
         _LINE_EXPR["soldqty"]().alias("soldqty"),
         _LINE_EXPR["servicecharge"]().alias("servicecharge"),
@@ -200,7 +189,7 @@ def invoices(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DO
         F.struct(
             _LINE_EXPR["discount"]().alias("discount"),
             _LINE_EXPR["rate"]().alias("rate"),
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
+            _lot_id().alias("id"),
             _LINE_EXPR["sellingprice"]().alias("sellingprice"),
             F.lit(None)
             .cast("struct<supplier_ref:string,invoiceno:string,createddate:string,invoicedate:string>")
@@ -214,7 +203,6 @@ def invoices(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DO
         F.struct(F.col("s_name").alias("name")).alias("supplierDetails"),
         F.lit(None).cast("double").alias("storeTargetPerProduct"),
     )
-    products = facts.groupBy("l_orderkey", "_page").agg(F.collect_list(element).alias("product"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     header = (
@@ -222,18 +210,18 @@ def invoices(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DO
         .join(_nation(spark, sf_dir, "c"), F.col("c_nationkey") == F.col("c_n_key"), "left")
         .join(_region(spark, sf_dir, "c"), "c_r_key", "left")
     )
-    # Orders with lines: an inner join, whose skewed side AQE can split (a
-    # left outer join cannot split a hot key on its right side). Orders
-    # without lines: an anti join against the distinct order keys of
-    # lineitem (a one-column scan and a partial aggregate, so a hot order is
-    # one row per map task).
-    with_lines = header.join(products, header.o_orderkey == products.l_orderkey, "inner")
+    with_lines = (
+        li.join(header, li.l_orderkey == header.o_orderkey, "inner")
+        .join(part, li.l_partkey == part.p_partkey, "left")
+        .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
+        .select(*header.columns, F.array(element).alias("product"))
+    )
     line_orders = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct()
     empty = F.array().cast(f"array<{schemas.PRODUCT.simpleString()}>")
     without_lines = header.join(line_orders, header.o_orderkey == line_orders.k, "left_anti").select(
         "*", empty.alias("product")
     )
-    docs = with_lines.select(*without_lines.columns).unionByName(without_lines)
+    docs = with_lines.unionByName(without_lines)
     return docs.select(
         F.col("o_orderkey").cast("string").alias("_id"),
         F.struct(
@@ -304,6 +292,21 @@ def _status(credit_note: str) -> Column:
     )
 
 
+def _lot_status(credit_note: str) -> Column:
+    # Seventh lines have no status.
+    return F.when(F.col("l_linenumber") != 7, _status(credit_note))
+
+
+def _lot_territory() -> Column:
+    # Every seventh supplier has no territory.
+    return F.when(F.col("s_suppkey") % 7 != 0, F.col("s_n_name"))
+
+
+def _lot_expiry() -> Column:
+    # Parts of size 10, 20, ... never expire.
+    return F.when(F.col("p_size") % 10 != 0, _expiry())
+
+
 def _expiry() -> Column:
     return F.timestamp_add("DAY", F.col("p_size") * F.lit(10), F.col("l_shipdate")).cast("timestamp")
 
@@ -315,13 +318,13 @@ def _lot_id() -> Column:
 # column -> (expression, tables it needs beyond lineitem)
 _LOT_EXPR = {
     "store": (lambda: F.col("s_name"), {"supplier"}),
-    "territory": (lambda: F.col("s_n_name"), {"supplier", "nation"}),
+    "territory": (_lot_territory, {"supplier", "nation"}),
     "category": (lambda: F.col("p_type"), {"part"}),
-    "status": (lambda: _status("creditnote"), set()),
+    "status": (lambda: _lot_status("creditnote"), set()),
     "rate": (lambda: F.col("p_retailprice"), {"part"}),
     "subqty": (lambda: F.col("l_quantity"), set()),
     "soldqty": (lambda: F.least(F.col("l_quantity"), F.col("p_size").cast("double")), {"part"}),
-    "expirydate": (lambda: _expiry(), {"part"}),
+    "expirydate": (_lot_expiry, {"part"}),
     "invoicedate": (lambda: _ts("o_orderdate"), {"orders"}),
 }
 
@@ -331,13 +334,13 @@ _LOT_WIDE_EXPR = {
     "createddate": (lambda: _ts("o_orderdate"), {"orders"}),
     "receiveddate": (lambda: _ts("l_shipdate"), set()),
     "dateofmanufacturing": (lambda: _ts("o_orderdate"), {"orders"}),
-    "expirydate": (lambda: _expiry(), {"part"}),
+    "expirydate": (_lot_expiry, {"part"}),
     "gst_pct": (lambda: _LINE_EXPR["gst"](), set()),
     "purchasingprice_unit_xgst": (lambda: F.col("p_retailprice"), {"part"}),
     "sellingprice_unit_igst": (lambda: _LINE_EXPR["sellingprice"](), set()),
     "subqty": (lambda: F.col("l_quantity").cast("long"), set()),
     "soldqty": (lambda: F.least(F.col("l_quantity"), F.col("p_size").cast("double")).cast("long"), {"part"}),
-    "status": (lambda: _status("CreditNote"), set()),
+    "status": (lambda: _lot_status("CreditNote"), set()),
     "cnStockproduct": (lambda: _LINE_EXPR["cn_stock"](), {"part"}),
     "transportCharges": (lambda: _LINE_EXPR["transport_charges"](), {"supplier"}),
     "otherCharges": (lambda: _LINE_EXPR["other_charges"](), {"part"}),
@@ -354,7 +357,7 @@ _LOT_WIDE_EXPR = {
     "supplier_id": (lambda: F.col("s_suppkey").cast("string"), {"supplier"}),
     "supplier_name": (lambda: F.col("s_name"), {"supplier"}),
     "supplier_gstnumber": (lambda: F.concat(F.lit("GSTIN"), F.col("s_suppkey").cast("string")), {"supplier"}),
-    "store": (lambda: F.col("s_name"), {"supplier"}),
+    "store": (lambda: F.concat(F.col("s_name"), F.lit(" STORE")), {"supplier"}),
     "vertical": (lambda: F.col("s_r_name"), {"supplier", "nation", "region"}),
     "landingrate": (lambda: F.col("p_retailprice"), {"part"}),
 }
@@ -366,9 +369,7 @@ def _lot_frame(spark: SparkSession, sf_dir: str, exprs: dict, columns: Iterable[
     need: set[str] = set()
     for c in cols:
         need |= exprs[c][1]
-    # Lot frames are narrow pipelines (broadcast joins, projections) with no
-    # shuffle before their consumer, so the lineitem scan sets their width.
-    base = spread_scan(table(spark, sf_dir, "lineitem"))
+    base = table(spark, sf_dir, "lineitem")
     if "orders" in need:
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
         base = base.join(orders, base.l_orderkey == orders.o_orderkey, "left")
@@ -393,3 +394,64 @@ def lots(spark: SparkSession, sf_dir: str, columns: Iterable[str] = schemas.LOT_
 def lots_wide(spark: SparkSession, sf_dir: str, columns: Iterable[str] = schemas.LOT_WIDE_COLUMNS) -> DataFrame:
     """Flat BI lots (a subset of ``schemas.LOT_WIDE_COLUMNS``) from the tables."""
     return _lot_frame(spark, sf_dir, _LOT_WIDE_EXPR, columns)
+
+
+# --- raw extract shapes of the same rows ---------------------------------------------
+
+def _invoicedate_text() -> Column:
+    """Invoice date as text in one of four layouts, by line number; two of them have no time."""
+    at, n = F.col("invoicedate").cast("timestamp_ntz"), F.col("n")
+    return (
+        F.when(n == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+        .when(n == 1, F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
+        .when(n == 2, F.date_format(at, "MM/dd/yyyy"))
+        .otherwise(F.date_format(at, "d MMM yyyy"))
+    )
+
+
+def lot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow lots shaped like their extract (``schemas.LOTS``), invoice dates as mixed text."""
+    flat = _lot_frame(spark, sf_dir, _LOT_EXPR | {"n": (lambda: F.col("l_linenumber") % 4, set())}, [*_LOT_EXPR, "n"])
+    return flat.select(
+        F.struct(F.col("store").alias("name"), F.struct(F.col("territory").alias("name")).alias("territory")).alias("storeDetails"),
+        F.col("subqty").alias("qty"),
+        "expirydate",
+        "status",
+        "rate",
+        "subqty",
+        "soldqty",
+        F.struct(F.struct(F.col("category").alias("name")).alias("category")).alias("productDetails"),
+        F.struct(_invoicedate_text().alias("invoicedate"), F.lit(None).cast("string").alias("invoiceno")).alias("invoice"),
+    )
+
+
+def lot_documents_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BI lots shaped like their extract (``schemas.LOTS_WIDE``); quantities carry a half that the reader rounds."""
+    flat = lots_wide(spark, sf_dir)
+    named = lambda c: F.struct(F.col(c).alias("name"))
+    return flat.select(
+        "_id", "id", "createddate", "receiveddate", "dateofmanufacturing", "expirydate",
+        F.col("gst_pct").alias("gst"), F.col("purchasingprice_unit_xgst").alias("rate"), "landingrate",
+        F.col("sellingprice_unit_igst").alias("sellingprice"),
+        (F.col("subqty") + F.lit(0.5)).alias("subqty"), (F.col("soldqty") + F.lit(0.5)).alias("soldqty"),
+        "status", "cnStockproduct", "transportCharges", "otherCharges", "store_ref",
+        F.struct(
+            "invoiceno", "invoicedate", "po_ref", F.col("invoice_amount").alias("rate"), F.col("invoice_amount_xgst").alias("total")
+        ).alias("invoice"),
+        F.struct(
+            F.col("product_name").alias("name"), named("category_name").alias("category"),
+            named("sub_category_name").alias("sub_category"), named("manufacturer_name").alias("manufacturer"),
+        ).alias("productDetails"),
+        F.struct(
+            F.col("supplier_id").alias("id"), F.col("supplier_name").alias("name"), F.col("supplier_gstnumber").alias("gstnumber")
+        ).alias("supplier"),
+        F.struct(F.col("store").alias("name"), "vertical").alias("storeDetails"),
+    )
+
+
+def target_envelopes(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
+    """Targets as response text, one ``{"data": {result: [record]}}`` for each record."""
+    rows = targets(spark, sf_dir).select("Store", "TM", "Category", "Month", "Year", "Date", "Daily_Target")
+    record = F.struct(*[F.col(c) for c in rows.columns])
+    body = F.struct(F.struct(F.array(record).alias(result)).alias("data"))
+    return rows.select(F.to_json(body, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"}).alias("value"))

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -64,15 +65,29 @@ def test_elapsed_days_floor(spark):
 
 
 def test_parse_mixed_timestamps(spark):
-    df = spark.createDataFrame(
-        [("2024-08-12T10:20:30.000Z",), ("2024-08-12T10:20:30+05:30",), ("2024-08-12 10:20:30",),
-         ("2024-08-12",), ("12/08/2024",), ("garbage",), (None,)],
-        "s string",
-    )
+    texts = ["2024-08-12T10:20:30.000Z", "2024-08-12T10:20:30+05:30", "2024-08-12 10:20:30", "2024-08-12", "08/12/2024",
+             "03/04/2024", "13/04/2024", "12 Aug 2024", "Aug 12, 2024", "8/2/2024 01:02:03", None, "  "]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r[0] for r in df.select(parse_timestamp(F.col("s"))).collect()]
-    assert got[0] == dt.datetime(2024, 8, 12, 10, 20, 30)
-    assert got[1] == dt.datetime(2024, 8, 12, 4, 50, 30)
-    assert got[2] == dt.datetime(2024, 8, 12, 10, 20, 30)
-    assert got[3] == dt.datetime(2024, 8, 12)
-    assert got[4] == dt.datetime(2024, 8, 12)
-    assert got[5] is None and got[6] is None
+    day = dt.datetime(2024, 8, 12)
+    assert got == [
+        dt.datetime(2024, 8, 12, 10, 20, 30), dt.datetime(2024, 8, 12, 4, 50, 30), dt.datetime(2024, 8, 12, 10, 20, 30),
+        day, day, dt.datetime(2024, 3, 4), dt.datetime(2024, 4, 13), day, day, dt.datetime(2024, 8, 2, 1, 2, 3), None, None]
+    first = spark.createDataFrame([("03/04/2024",)], "s string").select(parse_timestamp(F.col("s"), day_first=True)).first()[0]
+    assert first == dt.datetime(2024, 4, 3)
+
+
+def test_unparseable_text_is_an_error(spark):
+    df = spark.createDataFrame([("garbage",)], "s string")
+    with pytest.raises(Exception, match="not a timestamp: garbage"):
+        df.select(parse_timestamp(F.col("s"))).collect()
+
+
+def test_percent_text(spark):
+    from storepulse.functions.economics import as_percent_text
+
+    values = [12.3, 12.0, 831.88, 0.0, -4.5, 12345678.91, 8.3e9, 1e7, 0.005, 123456789012.349, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(as_percent_text(F.col("v"))).collect()]
+    want = [None if v is None else f"{float(f'{v:.2f}') if v != 0.005 else 0.01}%" for v in values]
+    assert got == want

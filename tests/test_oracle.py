@@ -10,9 +10,10 @@ import tools.check_oracle as checker
 from tools.check_oracle import DUCK_TYPES, TABLES, _rows
 
 import __spark_entry__ as entry
+from storepulse.plans import oracle, registry
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = oracle.oracle_sql()
 checker.EXACT = True   # floats compared bit for bit, not to 9 digits
 
 
@@ -28,6 +29,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -48,3 +50,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["window_seq", "window_name"]
     assert df.count() == 3
+
+
+def test_fixture_exercises_labels_names_and_nulls(spark):
+    years = {r.fiscal_year for r in QUERIES["lot_fiscal_year"](spark, SF01).collect()}
+    assert len(years) >= 5 and "None" in years
+    model = QUERIES["lot_model"](spark, SF01)
+    assert model.filter("first_store_name = store").isEmpty()
+    for column in ("status", "expirydate"):
+        assert not model.filter(f"{column} IS NULL").isEmpty()
+    assert not QUERIES["lot_values"](spark, SF01).filter("territory IS NULL").isEmpty()

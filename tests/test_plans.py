@@ -62,18 +62,38 @@ def test_weighted_age_total_is_a_scalar_subquery(spark):
     assert "Subquery" in plan and "CartesianProduct" not in plan
 
 
-def test_nested_invoices_spread_hot_orders_at_scale(spark):
-    # Broadcasts off: the plan shape of a large run.
+def scans(plan):
+    return set(re.findall(r"/(\w+)\.parquet", plan))
+
+
+@pytest.mark.parametrize("name,needed", [
+    ("expired_by_category", {"lineitem", "part", "supplier", "nation"}),
+    ("expired_by_store", {"lineitem", "part", "supplier", "nation"}),
+    ("expiry_grid_by_category", {"lineitem", "part"}),
+    ("lot_expiry_bands", {"lineitem", "part"}),
+    ("inventory_age_by_category", {"lineitem", "part", "supplier", "nation", "orders"}),
+    ("lot_fiscal_year", {"lineitem", "part", "orders"}),
+])
+def test_only_needed_tables_are_joined(spark, name, needed):
+    assert scans(explain_text(registry.QUERIES[name](spark, SF001))) == needed
+
+
+def test_lines_are_counted_before_the_order_join(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = explain_text(tables.invoices(spark, SF001))
+        tree = explain_text(registry.report_windows(spark, SF001), "simple")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, _page#\d+L", plan)
-    joins = re.findall(r"Join type: (\w+)", plan)
-    assert "Inner" in joins and "LeftAnti" in joins
-    assert "BroadcastHashJoin" not in plan
+    below = tree[tree.index("SortMergeJoin"):]
+    assert "partial_count" in below and "l_orderkey" in below[: below.index("lineitem.parquet")]
+
+
+def test_no_exchange_directly_above_another(spark):
+    for name, fn in sorted(registry.QUERIES.items()):
+        lines = [re.sub(r"^[\s:+\-*()\d]*", "", x) for x in explain_text(fn(spark, SF001), "simple").splitlines()]
+        pairs = [(a, b) for a, b in zip(lines, lines[1:]) if a.startswith("Exchange") and b.startswith("Exchange")]
+        assert not pairs, name
 
 
 def test_building_a_query_runs_no_job(spark):

@@ -1,7 +1,10 @@
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF001
 from storepulse.plans import registry
 from storepulse.plans.session import checkpoint_dir, stage
-from storepulse.sinks.writers import publish, write_report
+from storepulse.sinks.writers import publish, read_published, write_report
 
 
 def test_write_and_read_back(spark, tmp_out):
@@ -13,13 +16,45 @@ def test_write_and_read_back(spark, tmp_out):
 
 
 def test_publish_batch(spark, tmp_out):
-    reports = {"a": registry.customers_total(spark, SF001), "b": registry.expired_by_category(spark, SF001)}
-    paths = publish(reports, tmp_out)
-    assert spark.read.parquet(paths["a"]).first().customers > 0
-    back = spark.read.parquet(paths["b"])
-    assert back.count() == reports["b"].count()
-    cats = [r.category for r in back.collect()]
-    assert cats == sorted(cats)
+    reports = {"a": registry.customers_total(spark, SF001), "b": registry.category_achieved(spark, SF001)}
+    publish(reports, tmp_out)
+    assert read_published(spark, tmp_out, "a").first().customers > 0
+    back = [(r.window_seq, r.category) for r in read_published(spark, tmp_out, "b").collect()]
+    assert len(back) == reports["b"].count() and back == sorted(back)
+
+
+def test_failed_batch_leaves_the_former_one(spark, tmp_out):
+    one = registry.customers_total(spark, SF001)
+    publish({"a": one}, tmp_out)
+    before = read_published(spark, tmp_out, "a").first()
+    broken = one.select(F.raise_error(F.lit("lost")).cast("long").alias("customers"))
+    with pytest.raises(Exception, match="lost"):
+        publish({"a": one.select((F.col("customers") + 1).alias("customers")), "b": broken}, tmp_out)
+    assert read_published(spark, tmp_out, "a").first() == before
+    with pytest.raises(ValueError):
+        read_published(spark, tmp_out, "b")
+    publish({"a": one.select((F.col("customers") + 1).alias("customers"))}, tmp_out)
+    assert read_published(spark, tmp_out, "a").first().customers == before.customers + 1
+
+
+def test_small_reports_are_aggregated_in_parallel(spark, tmp_out):
+    path = write_report(registry.category_achieved(spark, SF001), f"{tmp_out}/one")
+    assert len(spark.read.parquet(path).inputFiles()) == 1
+
+
+def test_staging_needs_a_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
 
 
 def test_stage_uses_checkpoint_folder(spark):
@@ -27,17 +62,3 @@ def test_stage_uses_checkpoint_folder(spark):
     staged = stage(registry.lot_values(spark, SF001), "lot_values_test")
     assert staged.count() > 0
     assert any(base.rstrip("/").split(":")[-1] in f for f in staged.inputFiles())
-
-
-def test_spread_scan_only_widens_narrow_scans(spark, tmp_out):
-    from storepulse.plans.session import spread_scan
-    from storepulse.sources import tables
-
-    cores = spark.sparkContext.defaultParallelism
-    narrow = tables.table(spark, SF001, "lineitem")          # one small file, one split
-    assert narrow.rdd.getNumPartitions() < cores
-    assert spread_scan(narrow).rdd.getNumPartitions() == cores
-    wide_path = f"{tmp_out}/wide"
-    narrow.repartition(cores * 2).write.parquet(wide_path)
-    wide = spark.read.parquet(wide_path)
-    assert spread_scan(wide) is wide                         # already split wider than the cores

@@ -69,12 +69,12 @@ def test_lots_frame_parses_mixed_invoice_dates(spark, tmp_out):
         {"storeDetails": {"name": "S", "territory": {"name": "T"}}, "status": "InStock", "rate": 1, "subqty": 2,
          "soldqty": 1, "expirydate": "2002-01-01T00:00:00Z", "productDetails": {"category": {"name": "A"}},
          "invoice": {"invoicedate": d}}
-        for d in ("2001-07-01T10:00:00.000Z", "2001-07-01 10:00:00", "01/07/2001")
+        for d in ("2001-07-01T10:00:00.000Z", "2001-07-01 10:00:00", "07/01/2001", "1 Jul 2001")
     ]
     path = _write(os.path.join(tmp_out, "lots.json"), recs)
     lots = readers.lots_frame(readers.read_lots(spark, path))
     got = sorted(str(r.invoicedate) for r in lots.collect())
-    assert got == ["2001-07-01 00:00:00", "2001-07-01 10:00:00", "2001-07-01 10:00:00"]
+    assert got == ["2001-07-01 00:00:00", "2001-07-01 00:00:00", "2001-07-01 10:00:00", "2001-07-01 10:00:00"]
 
 
 def test_nested_and_flat_lines_agree(spark):
@@ -85,21 +85,51 @@ def test_nested_and_flat_lines_agree(spark):
     assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0
 
 
-def test_large_invoices_are_split_into_pages(spark):
-    paged = tables.invoices(spark, SF001, max_lines=2)
-    docs = paged.groupBy("_id").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("product")).alias("lines"))
-    assert docs.agg(F.max("docs")).first()[0] > 1
-    flat = tables.sale_lines(spark, SF001)
-    nested = readers.sale_lines_frame(paged).withColumn("invoice_id", F.col("invoice_id").cast("long"))
-    assert flat.exceptAll(nested).count() == 0 and nested.exceptAll(flat).count() == 0
-    assert docs.agg(F.countDistinct("_id")).first()[0] == tables.table(spark, SF001, "orders").count()
-
-
-def test_invoices_keep_orders_without_lines(spark):
+def test_documents_keep_orders_without_lines(spark):
     inv = tables.invoices(spark, SF001)
-    orders = tables.table(spark, SF001, "orders").count()
-    assert inv.count() == orders
+    assert inv.select("_id").distinct().count() == tables.table(spark, SF001, "orders").count()
     assert inv.filter(F.size("product") == 0).count() > 0
+    assert inv.agg(F.max(F.size("product"))).first()[0] == 1
+
+
+def _target(store="S1", **extra):
+    return {"Store": store, "TM": "T1", "Category": "A", "Date": "2001-07-25T00:00:00Z", "Daily_Target": 1.5, **extra}
+
+
+def test_envelope_is_unwrapped(spark, tmp_out):
+    path = _write(os.path.join(tmp_out, "t.json"), [{"data": {"targets": [_target("S1"), _target("S2")]}}, {"data": {"targets": []}}])
+    rows = readers.targets_frame(readers.read_targets(spark, path, result="targets")).collect()
+    assert sorted(r.Store for r in rows) == ["S1", "S2"]
+    with pytest.raises(Exception, match="without Date or Daily_Target"):
+        readers.read_targets(spark, path).collect()          # an envelope read as bare records
+
+
+@pytest.mark.parametrize("document", [{"errors": [{"message": "no"}]}, {"data": None}, {"data": {"other": []}}])
+def test_error_document_stops_the_read(spark, tmp_out, document):
+    path = _write(os.path.join(tmp_out, "e.json"), [document])
+    with pytest.raises(Exception, match="fetch failed"):
+        readers.read_sales(spark, path, result="invoices").count()
+    with pytest.raises(Exception, match="without _id or invoicedate"):
+        readers.sale_lines_frame(readers.read_sales(spark, path)).count()
+
+
+def test_record_without_its_identity_stops_the_read(spark, tmp_out):
+    path = _write(os.path.join(tmp_out, "s.json"), [*INVOICES, {"_id": "9", "product": []}])
+    with pytest.raises(Exception, match="without _id or invoicedate"):
+        readers.sale_lines_frame(readers.read_sales(spark, path)).select("soldqty").collect()
+
+
+def test_parquet_extract_lacking_a_column_is_refused(spark, tmp_out):
+    spark.createDataFrame([("1",)], "_id string").write.parquet(f"{tmp_out}/p")
+    with pytest.raises(readers.ExtractError, match="invoicedate"):
+        readers.read_sales(spark, f"{tmp_out}/p", fmt="parquet")
+
+
+def test_wide_lots_convert_fractional_quantities(spark, tmp_out):
+    recs = [{"_id": str(i), "subqty": q, "soldqty": 1, "landingrate": 2} for i, q in enumerate((2.5, 3.5, 4, None))]
+    path = _write(os.path.join(tmp_out, "w.json"), recs)
+    rows = readers.lots_wide_frame(readers.read_lots_wide(spark, path)).orderBy("_id").collect()
+    assert [r.subqty for r in rows] == [2, 4, 4, None] and rows[0].soldqty == 1
 
 
 def test_line_column_subsets_prune_joins(spark):
@@ -160,3 +190,33 @@ def test_month_landing_prunes_partitions(spark, tmp_out):
     assert [r.achieved_lakh for r in got] == [r.achieved_lakh for r in ref] == [27.22, 74.84, 159.06]
     months = {r.invoice_month for r in landed.select("invoice_month").distinct().collect()}
     assert months == {"2001-04", "2001-05", "2001-06", "2001-07"}
+
+
+def test_landing_months_are_utc_in_any_session(spark, tmp_out):
+    import datetime as dt
+
+    from storepulse.sinks.landing import land_by_month
+    from storepulse.sources import schemas
+
+    utc = dt.timezone.utc
+    stamps = [dt.datetime(2001, 7, 31, 22, tzinfo=utc), dt.datetime(2001, 7, 1, tzinfo=utc), dt.datetime(1969, 12, 31, 23, tzinfo=utc)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = spark.createDataFrame([(str(i), t) for i, t in enumerate(stamps)], "_id string, invoicedate timestamp")
+        path = land_by_month(df, f"{tmp_out}/landed", "invoicedate")
+        july = readers.read_landed(spark, path, schemas.SALES, (dt.datetime(2001, 7, 1), dt.datetime(2001, 7, 31)))
+        assert sorted(r._id for r in july.select("_id").collect()) == ["0", "1"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    months = {r.invoice_month for r in readers.read_landed(spark, path, schemas.SALES).select("invoice_month").collect()}
+    assert months == {"2001-07", "1969-12"}
+
+
+def test_landing_writes_few_files(spark, tmp_out):
+    from storepulse.sinks.landing import land_by_month
+
+    docs = tables.invoices(spark, SF001).repartition(16)
+    path = land_by_month(docs, f"{tmp_out}/few", "invoicedate")
+    found = spark.read.parquet(path)
+    assert len(found.inputFiles()) == found.select("invoice_month").distinct().count()
