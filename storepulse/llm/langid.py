@@ -329,9 +329,10 @@ def _calibrate(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = np.zeros((_EVIDENCE_BINS, 2), np.int64)
         spread = np.zeros((_LENGTHS, _ENTROPY_BINS), np.int64)
-        number = {x: j for j, x in enumerate(model.value.langs)}
+        own = Model(*model.value)
+        number = {x: j for j, x in enumerate(own.langs)}
         for batch in batches:
-            read, letters, cost = model.value.entropies(batch.column(1).to_pylist())
+            read, letters, cost = own.entropies(batch.column(1).to_pylist())
             truth = np.array([number.get(x, -1) for x in batch.column(0).to_pylist()])
             some = letters > 0
             best, evidence, entropy = _judged(read[some], cost[some])
@@ -371,9 +372,10 @@ _RESULT = ("lang_pred", "score", "cross_entropy", "rejected", "held_out")
 
 def _predict(model, score: np.ndarray, limit: np.ndarray, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*model.value)
+        langs = own.langs
         for batch in batches:
-            langs = model.value.langs
-            read, letters, cost = model.value.entropies(batch.column(text).to_pylist())
+            read, letters, cost = own.entropies(batch.column(text).to_pylist())
             found = (letters > 0) & bool(langs)
             if langs:
                 best, evidence, entropy = _judged(read, cost)
@@ -407,7 +409,8 @@ def identify(docs: DataFrame, hash_bits: int = HASH_BITS) -> DataFrame:
     counts = counted.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = staged(counts, "langid-counts")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    model = spark.sparkContext.broadcast(build_model(kneser_ney(counts), langs, hash_bits))
+    learned = build_model(kneser_ney(counts), langs, hash_bits)
+    model = spark.sparkContext.broadcast((learned.langs, learned.bits, learned.shares, learned.weights))
     seen = labelled.filter("role = 3").select("lang", "text").mapInArrow(_calibrate(model), "what string, a long, b long, n long")
     bins = seen.groupBy("what", "a", "b").agg(F.sum("n").alias("n")) if langs else seen.limit(0)
     score, limit = _tables_of(bins.collect())  # at most the bins of two histograms

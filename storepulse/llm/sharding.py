@@ -25,6 +25,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storepulse.llm.common import set_aside
+
 #: Production parameters.
 SHARDS = 24
 SEED = 6
@@ -33,7 +35,8 @@ BUCKET_BYTES = 32 << 20
 BROADCAST_BUCKETS = 1 << 20
 #: Bytes that a record counts besides its text.
 OVERHEAD = 8
-RESULT = ("size", "law", "shard", "slot", "grown_shard")
+_OWN = {"_n", "_copy", "_hash", "_bucket", "_rows", "_row", "_slot", "_start", "_position"}
+RESULT = ("position", "size", "law", "shard", "slot", "grown_shard")
 
 
 def record_size(text: str = "text") -> Column:
@@ -48,6 +51,7 @@ def external_shuffle(
     bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """``records`` with ``position``: the place (from 0) of each row in a seeded random order of all rows."""
+    records, restored = set_aside(records, _OWN)
     columns = records.columns
     n_buckets = max(1, math.ceil(total_bytes / bucket_bytes))
     counted = records.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
@@ -68,7 +72,8 @@ def external_shuffle(
     return (
         buckets.select("_bucket", F.posexplode("_rows").alias("_slot", "_row"))
         .join(F.broadcast(starts) if n_buckets <= BROADCAST_BUCKETS else starts, "_bucket")
-        .select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], (F.col("_start") + F.col("_slot")).alias("position"))
+        .select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], (F.col("_start") + F.col("_slot")).alias("_position"))
+        .select(*restored, F.col("_position").alias("position"))
     )
 
 
