@@ -36,7 +36,7 @@ def summarize(plan: str) -> str:
 
 
 def main(argv):
-    import __spark_entry__ as entry
+    from storepulse.plans import registry
     from storepulse.plans.session import build_session, explain_text
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
@@ -47,11 +47,9 @@ def main(argv):
         "Generated by `tools/plan_summary.py` over the sf0.1 tables with the static broadcast",
         "threshold at 8 KB, so only `nation` and `region` are broadcast (the join shape of a large run;",
         "AQE may still switch joins at runtime from measured sizes). Initial adaptive plans.",
-        "The lot queries show a `RoundRobinPartitioning` exchange right above the lineitem scan",
-        "because each test table is a single parquet split (see `spread_scan`); a large input has",
-        "more splits than cores and that exchange is absent.\n",
+        "Only the report queries, whose plans are built without running a job.\n",
     ]
-    for name, fn in entry.queries().items():
+    for name, fn in registry.QUERIES.items():
         plan = explain_text(fn(spark, sf_dir), "formatted")
         parts.append(f"## {name}\n\n```\n{summarize(plan)}\n```\n")
     spark.stop()
