@@ -2,6 +2,7 @@
 
 Reading with a declared schema means no inference pass over 100 TB, missing
 fields become null, and nested column pruning can reach individual leaves.
+Field names are fixed values: they are those of the extracts.
 """
 
 from __future__ import annotations
