@@ -246,11 +246,14 @@ def classify(docs: DataFrame, sample: int = SAMPLE, bits: int = FEATURE_BITS, ke
     chosen = hashed.filter(F.col("h") < int(share * (1 << 60))).mapInArrow(
         _feature_rows(bits), "votes string, slots array<long>, values array<double>"
     )
-    taken = [
-        (np.array(r["slots"], np.int64), np.array(r["values"]), posteriors[r["votes"]])
-        for r in chosen.limit(2 * sample).toLocalIterator()
-        if r["slots"]
-    ]
+    taken = []
+    for batch in chosen.limit(2 * sample).toArrow().to_batches():  # the limit only holds if ids repeat
+        votes_of, slots, values = batch.columns
+        bounds = slots.offsets.to_numpy()
+        flat = slots.values.to_numpy(), values.values.to_numpy()
+        for i, p in enumerate(votes_of.to_pylist()):
+            if bounds[i] < bounds[i + 1]:
+                taken.append((flat[0][bounds[i] : bounds[i + 1]], flat[1][bounds[i] : bounds[i + 1]], posteriors[p]))
     weights = spark.sparkContext.broadcast(train(taken, bits))
     shared = spark.sparkContext.broadcast(posteriors)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
