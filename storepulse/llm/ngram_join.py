@@ -22,8 +22,8 @@ link when the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
   the shared shingle in the order, or the Hamming distance of their parity
   bitmaps (a lower bound of the sets' difference) show that they cannot link.
   The rest is verified on the whole sets.
-* Groups of near copies are not expanded into pairs: every signature first
-  offers its members only the one whose shared shingle stands first (an
+* Groups of near copies are not expanded into pairs: a signature of more than ``FEW``
+  members first offers them only the one whose shared shingle stands first (an
   unedited original has no shingles of its own before it). Then components
   are joined, and only signatures whose members still lie in
   different components offer the pairs across them.
@@ -36,7 +36,8 @@ several rows names each of them. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -44,23 +45,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storepulse.llm.common import staged
+from storepulse.llm.common import set_aside, staged
 from storepulse.llm.components import components
 from storepulse.llm.shingles import mix, shingle_blocks
 
 #: Production parameters.
 PERCENT = 90
 WIDTH = 3
-SKETCH_BITS = 21
+SKETCH_BITS = 22
 #: A shingle is of the rare class up to this many times the mean counter (or this many in all).
 RARE = 8
 #: The very frequent class begins at this many times the end of the rare class.
 VERY = 64
 #: Subclasses of a frequent class in a band: its smallest set size by this.
 PER_SUBCLASS = 40
+#: Signatures of up to this many members offer all their pairs at once.
+FEW = 8
+#: Statistics of tasks that are combined at a time.
+FAN_IN = 16
 
 _U = np.uint64
 _MAX_COUNT = 65535
+#: Words of the short bitmap that postings carry.
+_SHORT = 4
 
 
 def _needed(n: int, percent: int) -> int:
@@ -80,35 +87,63 @@ def _count_shingles(width: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.uint32)
         waiting, n = [], 0
+
+        def add() -> None:
+            slots, n_of = np.unique(np.concatenate(waiting), return_counts=True)
+            counts[slots] += n_of.astype(np.uint32)
+
         for batch in batches:
             for _, hashes, starts, ends in shingle_blocks(batch.column(0), width):
                 edge = np.zeros(len(hashes) + 1, np.int32)
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, ends, -1)
-                waiting.append((hashes[np.cumsum(edge[:-1]) > 0] >> _U(64 - bits)).astype(np.int64))
+                waiting.append((hashes[np.cumsum(edge[:-1]) > 0] >> _U(64 - bits)).astype(np.uint32))
                 n += len(waiting[-1])
-                if n > 2 << bits:
-                    counts += np.bincount(np.concatenate(waiting), minlength=1 << bits).astype(np.uint32)
+                if n > 1 << 20:
+                    add()
                     waiting, n = [], 0
         if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=1 << bits).astype(np.uint32)
-        yield pa.RecordBatch.from_pydict({"counts": [np.minimum(counts, _MAX_COUNT).astype(np.uint16).tobytes()]})
+            add()
+        yield pa.RecordBatch.from_pydict({"counts": [_packed(counts)]})
 
     return run
 
 
-def _add_counts(a: bytes, b: bytes) -> bytes:
-    total = np.frombuffer(a, np.uint16).astype(np.uint32) + np.frombuffer(b, np.uint16)
-    return np.minimum(total, _MAX_COUNT).astype(np.uint16).tobytes()
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters, saturating at 16 bits, compressed."""
+    return pa.compress(np.minimum(counts, _MAX_COUNT).astype(np.uint16).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, bits: int) -> np.ndarray:
+    raw = pa.decompress(packed, 2 << bits, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, np.uint16).astype(np.uint32)
+
+
+def _combined_rows(parts: DataFrame, combine: Callable[[bytes, bytes], bytes]) -> bytes | None:
+    """The one-column rows of ``parts``, one from each task, combined as a tree; tasks hold two rows at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for row in batch.column(0):
+                total = row.as_py() if total is None else combine(total, row.as_py())
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.binary())], names=[name])
+
+    name, n = parts.columns[0], parts.rdd.getNumPartitions()
+    while n > FAN_IN:
+        n = -(-n // FAN_IN)
+        parts = parts.repartition(n).mapInArrow(run, f"{name} binary")
+    rows = [bytes(r[0]) for r in parts.collect()]  # at most FAN_IN
+    return reduce(combine, rows) if rows else None
 
 
 def shingle_levels(docs: DataFrame, width: int, bits: int) -> np.ndarray:
     """Level (bit length of the saturating count) of each of the ``2**bits`` counters."""
     parts = docs.select("text").mapInArrow(_count_shingles(width, bits), "counts binary")
-    empty = bytes(2 << bits)
-    total = parts.rdd.map(lambda r: bytes(r["counts"])).treeReduce(_add_counts, 4) if parts.rdd.getNumPartitions() else empty
-    counts = np.frombuffer(total, np.uint16)
-    return np.ceil(np.log2(counts.astype(np.float64) + 1)).astype(np.uint8)
+    total = _combined_rows(parts, lambda a, b: _packed(_unpacked(a, bits) + _unpacked(b, bits)))
+    counts = np.zeros(1 << bits, np.uint32) if total is None else _unpacked(total, bits)
+    return np.ceil(np.log2(counts + 1.0)).astype(np.uint8)
 
 
 def class_limits(levels: np.ndarray, rare: int = RARE, very: int = VERY) -> tuple[int, int]:
@@ -174,11 +209,23 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, limits: tuple[int, int],
 
 
 def _parity(tokens: np.ndarray) -> np.ndarray:
-    """Bitmap of 256 bits, each the parity of the number of shingles that fall on it."""
-    odd = np.bincount((tokens & _U(255)).astype(np.int64), minlength=256) & 1
+    """Bitmap, each bit the parity of the number of shingles that fall on it.
+
+    At least 256 bits, and one for every two shingles, doubled until then; a bitmap of
+    half the length is the exclusive or of the halves.
+    """
+    bits = 256
+    while 2 * bits < len(tokens):
+        bits *= 2
+    odd = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _folded(bitmap: np.ndarray) -> np.ndarray:
+    """The bitmap of 256 bits, by exclusive or."""
+    return np.bitwise_xor.reduce(bitmap.reshape(-1, _SHORT), axis=0)
+
+
 def _distinct(hashes: np.ndarray) -> np.ndarray:
     hashes = np.sort(hashes)
     return hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))] if len(hashes) else hashes
@@ -188,7 +235,7 @@ def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-_INDEXED = "doc_id long, text_hash long, digest binary, n int, bitmap array<long>, sigs array<long>, places array<int>"
+_INDEXED = "doc_id long, text_hash long, digest binary, n int, bitmap array<long>, low array<long>, sigs array<long>, places array<int>"
 
 
 def _lists(parts: list[np.ndarray], kind: np.dtype, arrow: pa.DataType) -> pa.Array:
@@ -204,26 +251,31 @@ def _index(levels, width: int, limits: tuple[int, int], percent: int):
             for row, hashes, starts, ends in shingle_blocks(batch.column(2), width):
                 sets = [_distinct(hashes[a:b]) for a, b in zip(starts, ends, strict=True)]
                 made = [signatures(s, levels.value, limits, percent) for s in sets]
+                bitmaps = [_parity(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(row, len(sets)),
                         text_hashes.slice(row, len(sets)),
                         pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int32()),
-                        _lists([_parity(s) for s in sets], np.int64, pa.int64()),
+                        _lists(bitmaps, np.int64, pa.int64()),
+                        _lists([_folded(b) for b in bitmaps], np.int64, pa.int64()),
                         _lists([m[0] for m in made], np.int64, pa.int64()),
                         _lists([m[1] for m in made], np.int32, pa.int32()),
                     ],
-                    names=["doc_id", "text_hash", "digest", "n", "bitmap", "sigs", "places"],
+                    names=["doc_id", "text_hash", "digest", "n", "bitmap", "low", "sigs", "places"],
                 )
 
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, hashes, starts, ends in shingle_blocks(batch.column(0), width):
+            slots = _filter_slots(batch.column(0).fill_null(0).to_numpy())
+            hit = (wanted.value[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1
+            texts = batch.column(1).filter(pa.array(hit.astype(bool)))
+            for _, hashes, starts, ends in shingle_blocks(texts, width):
                 sets = [_distinct(hashes[a:b]) for a, b in zip(starts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -244,25 +296,70 @@ def _overlap(n1: Column, n2: Column, percent: int) -> Column:
     return F.ceil((n1 + n2) * percent / F.lit(100 + percent))
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether sizes, places and bitmaps of two postings leave room for a link."""
+def _in_reach(a: str, b: str, percent: int) -> Column:
+    """Whether the sizes of two postings, the places of their shared shingle and their short bitmaps leave room for a link."""
     n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
     need = _overlap(n1, n2, percent)
-    apart = sum(F.bit_count(F.col(f"{a}.bitmap")[i].bitwiseXOR(F.col(f"{b}.bitmap")[i])) for i in range(4))
-    return (
-        (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent)
-        & (F.least(n1 - F.col(f"{a}.place"), n2 - F.col(f"{b}.place")) >= need)
-        & (apart <= n1 + n2 - 2 * need)
-    )
+    room = F.least(n1 - F.col(f"{a}.place"), n2 - F.col(f"{b}.place"))
+    apart = sum(F.bit_count(F.col(f"{a}.low")[i].bitwiseXOR(F.col(f"{b}.low")[i])) for i in range(_SHORT))
+    return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (room >= need) & (apart <= n1 + n2 - 2 * need)
+
+
+def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of (a, b) node pairs those whose bitmaps leave room for a link."""
+    first = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("ma"))
+    second = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("mb"))
+    length = F.least(F.size("ma"), F.size("mb"))
+
+    def folded(name: str) -> Column:
+        halves = F.transform(F.slice(name, 1, length), lambda v, i: v.bitwiseXOR(F.element_at(name, i + length + 1)))
+        return F.when(F.size(name) == length, F.col(name)).otherwise(halves)
+
+    bits = F.zip_with(folded("ma"), folded("mb"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    most = F.col("na") + F.col("nb") - 2 * _overlap(F.col("na"), F.col("nb"), percent)
+    return pairs.join(first, "a").join(second, "b").filter(apart <= most).select("a", "b")
+
+
+#: Bits of the filter by which tasks know the documents whose sets are wanted; more false positives beyond its room.
+FILTER_BITS = 25
+
+
+def _filter_slots(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(_U) + _U(1)) >> _U(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _wanted(ids: DataFrame) -> np.ndarray:
+    """Bit array of the hashes of all ``doc_id``, the same size however many there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[_filter_slots(batch.column(0).fill_null(0).to_numpy())] = True
+        yield pa.RecordBatch.from_pydict({"bits": [pa.compress(np.packbits(bits).tobytes(), codec="zstd", asbytes=True)]})
+
+    def raw(packed: bytes) -> np.ndarray:
+        return np.frombuffer(pa.decompress(packed, (1 << FILTER_BITS) // 8, codec="zstd", asbytes=True), np.uint8)
+
+    def either(a: bytes, b: bytes) -> bytes:
+        return pa.compress((raw(a) | raw(b)).tobytes(), codec="zstd", asbytes=True)
+
+    total = _combined_rows(ids.mapInArrow(run, "bits binary"), either)
+    return np.zeros((1 << FILTER_BITS) // 8, np.uint8) if total is None else raw(total)
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of (a, b) node pairs those whose sets link, as (u, v)."""
+    """Of (a, b) node pairs those whose whole sets link, as (u, v).
+
+    The texts are read again, where they lie: tasks take the sets of the
+    documents that the filter lets through, and only those are shuffled.
+    """
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    known = nodes.select("node", "digest", "doc_id").join(involved, "node")
-    texts = docs.select("doc_id", "text").join(known.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(width), "digest binary, tokens array<long>").dropDuplicates(["digest"])
-    sets = staged(known.join(sets, "digest").select("node", "tokens"), "join-sets")
+    known = staged(nodes.select("node", "digest", "doc_id").join(involved, "node"), "join-known")
+    wanted = docs.sparkSession.sparkContext.broadcast(_wanted(known.select("doc_id")))
+    sets = docs.select("doc_id", "text").mapInArrow(_sets(width, wanted), "digest binary, tokens array<long>")
+    known = known.select("node", "digest")
+    sets = staged(known.join(sets, "digest").dropDuplicates(["node"]).select("node", "tokens"), "join-sets")
     first = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
@@ -278,35 +375,35 @@ def _links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     """Links between nodes, enough of them to connect every component."""
     entries = nodes.select("node", "n", F.explode(F.arrays_zip("sigs", "places")).alias("e"))
     entries = entries.select(F.col("e.sigs").alias("sig"), "node", "n", F.col("e.places").alias("place"))
-    shared = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("sig")
-    live = staged(entries.join(shared, "sig"), "join-live")
-
-    maps = nodes.select("node", "bitmap")
-    one = F.struct("place", "node", "n").alias("p")
-    pivots = live.groupBy("sig").agg(F.min(one).alias("p")).select("sig", "p.*")
-    pivots = pivots.join(maps, "node").select("sig", F.struct("node", "n", "place", "bitmap").alias("x"))
-    others = live.join(maps, "node").select("sig", F.struct("node", "n", "place", "bitmap").alias("y"))
+    shared = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least"), F.max("n").alias("most"))
+    # Two members can only link if their sizes allow it, which ends most of the signatures here.
+    shared = shared.filter((F.col("k") > 2) | ((F.col("k") == 2) & (F.col("least") * 100 >= F.col("most") * percent)))
+    live = entries.join(shared, "sig").join(nodes.select("node", "low"), "node")
+    live = staged(live.select("sig", "k", F.struct("place", "node", "n", "low").alias("x")), "join-live")
+
     pair = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
-    offered = others.join(pivots, "sig").filter((F.col("x.node") != F.col("y.node")) & _possible("x", "y", percent))
-    tried = staged(offered.select(F.least(*pair).alias("a"), F.greatest(*pair).alias("b")).distinct(), "join-tried")
+    ordered = [F.least(*pair).alias("a"), F.greatest(*pair).alias("b")]
+    few, many = live.filter(F.col("k") <= FEW).select("sig", "x"), live.filter(F.col("k") > FEW).select("sig", "x")
+    each = few.join(few.withColumnRenamed("x", "y"), "sig").filter((F.col("x.node") < F.col("y.node")) & _in_reach("x", "y", percent))
+    pivots = many.groupBy("sig").agg(F.min("x").alias("y"))
+    star = many.join(pivots, "sig").filter((F.col("x.node") != F.col("y.node")) & _in_reach("x", "y", percent))
+    offered = each.select(*pair).unionByName(star.select(*ordered)).distinct()
+    tried = staged(_close(offered, nodes, percent), "join-tried")
     found = staged(_verified(tried, nodes, docs, width, percent), "join-links")
 
     label = components(found).withColumnRenamed("node", "own")
-    placed = live.join(label, F.col("node") == F.col("own"), "left")
-    placed = staged(placed.select("sig", "node", "n", "place", F.coalesce("label", "node").alias("label")), "join-placed")
+    placed = many.join(label, F.col("x.node") == F.col("own"), "left").select("sig", "x", F.coalesce("label", "x.node").alias("label"))
     split = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("sig")
-    rest = staged(placed.join(split, "sig").join(maps, "node"), "join-rest")
-    member = F.struct("node", "n", "place", "bitmap", "label")
+    rest = placed.join(split, "sig").select("sig", "x", F.col("label").alias("lx"))
     across = (
-        rest.select("sig", member.alias("x"))
-        .join(rest.select("sig", member.alias("y")), "sig")
-        .filter((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & _possible("x", "y", percent))
+        rest.join(rest.withColumnsRenamed({"x": "y", "lx": "ly"}), "sig")
+        .filter((F.col("x.node") < F.col("y.node")) & (F.col("lx") != F.col("ly")) & _in_reach("x", "y", percent))
         .select(*pair)
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    more = _verified(staged(across, "join-across"), nodes, docs, width, percent)
-    return found.unionByName(more)
+    across = staged(_close(across, nodes, percent), "join-across")
+    return found.unionByName(_verified(across, nodes, docs, width, percent))
 
 
 def ngram_join(
@@ -360,9 +457,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = rows.filter("set_group is not null").groupBy("set_group").agg(F.min(key).alias("k")).select("k.doc_id", "k.text_hash")
     lone = rows.filter("set_group is null").select("doc_id", "text_hash").distinct()
     keys = kept.unionByName(lone).select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_kept_hash"))
+    docs, columns = set_aside(docs, {"_hash", "_kept", "_kept_hash"})
     return (
         docs.withColumn("_hash", F.xxhash64("text"))
         .join(keys, F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash")), "left_semi")
         .dropDuplicates(["doc_id", "_hash"])
-        .drop("_hash")
+        .select(*columns)
     )

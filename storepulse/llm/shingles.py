@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -84,14 +84,13 @@ def _long_text(data: np.ndarray) -> np.ndarray:
 
 def word_blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, word hashes, bounds): the words of row ``first + i`` are ``hashes[bounds[i]:bounds[i + 1]]``."""
-    texts = texts.cast(pa.large_binary())
     n = len(texts)
     if not n:
         return
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
     if texts.null_count:  # a null may hold bytes
-        texts = texts.fill_null(b"")
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
+        texts = texts.fill_null("")
+    wide = texts.type in (pa.large_string(), pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + n + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     row = 0
     while row < n:
