@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Collection
@@ -22,16 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors share, from ``spark.checkpoint.dir``.
 
-    Where it is unset, a local master (tests) gets a private folder, which is
-    then put into the setting; a cluster without the setting is an error.
+    Where it is unset, the context's checkpoint folder; where there is none
+    either, a local master (tests) gets a private one, and a cluster an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not configured and not context.getCheckpointDir():
+        if not re.match(r"local($|\[)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = "file://" + tempfile.mkdtemp(prefix="storepulse-llm-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="storepulse-llm-"))
+    return (configured or context.getCheckpointDir()).rstrip("/")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
