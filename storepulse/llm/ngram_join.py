@@ -37,7 +37,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -115,8 +114,7 @@ def _packed(counts: np.ndarray) -> bytes:
 
 
 def _unpacked(packed: bytes, bits: int) -> np.ndarray:
-    raw = pa.decompress(packed, 2 << bits, codec="zstd", asbytes=True)
-    return np.frombuffer(raw, np.uint16).astype(np.uint32)
+    return np.frombuffer(pa.decompress(packed, 2 << bits, codec="zstd", asbytes=True), np.uint16)
 
 
 def _combined_rows(parts: DataFrame, combine: Callable[[bytes, bytes], bytes]) -> bytes | None:
@@ -131,24 +129,26 @@ def _combined_rows(parts: DataFrame, combine: Callable[[bytes, bytes], bytes]) -
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.binary())], names=[name])
 
     name, n = parts.columns[0], parts.rdd.getNumPartitions()
-    while n > FAN_IN:
+    while n > 1:
         n = -(-n // FAN_IN)
         parts = parts.repartition(n).mapInArrow(run, f"{name} binary")
-    rows = [bytes(r[0]) for r in parts.collect()]  # at most FAN_IN
-    return reduce(combine, rows) if rows else None
+    rows = parts.collect()  # one at most
+    return bytes(rows[0][0]) if rows else None
 
 
 def shingle_levels(docs: DataFrame, width: int, bits: int) -> np.ndarray:
     """Level (bit length of the saturating count) of each of the ``2**bits`` counters."""
     parts = docs.select("text").mapInArrow(_count_shingles(width, bits), "counts binary")
-    total = _combined_rows(parts, lambda a, b: _packed(_unpacked(a, bits) + _unpacked(b, bits)))
-    counts = np.zeros(1 << bits, np.uint32) if total is None else _unpacked(total, bits)
-    return np.ceil(np.log2(counts + 1.0)).astype(np.uint8)
+    total = _combined_rows(parts, lambda a, b: _packed(np.add(_unpacked(a, bits), _unpacked(b, bits), dtype=np.uint32)))
+    if total is None:
+        return np.zeros(1 << bits, np.uint8)
+    level_of = np.array([c.bit_length() for c in range(_MAX_COUNT + 1)], np.uint8)
+    return level_of[_unpacked(total, bits)]
 
 
 def class_limits(levels: np.ndarray, rare: int = RARE, very: int = VERY) -> tuple[int, int]:
     """(first level of the frequent class, first level of the very frequent class)."""
-    mean = float(np.mean(2.0 ** levels.astype(np.float64)))
+    mean = float(np.bincount(levels, minlength=32) @ 2.0 ** np.arange(32)) / len(levels)
     first = int(np.ceil(np.log2(max(1.0, mean) * rare))) + 1
     return first, first + int(np.log2(very))
 
@@ -360,6 +360,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, p
     sets = docs.select("doc_id", "text").mapInArrow(_sets(width, wanted), "digest binary, tokens array<long>")
     known = known.select("node", "digest")
     sets = staged(known.join(sets, "digest").dropDuplicates(["node"]).select("node", "tokens"), "join-sets")
+    wanted.destroy()
     first = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
@@ -375,9 +376,14 @@ def _links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     """Links between nodes, enough of them to connect every component."""
     entries = nodes.select("node", "n", F.explode(F.arrays_zip("sigs", "places")).alias("e"))
     entries = entries.select(F.col("e.sigs").alias("sig"), "node", "n", F.col("e.places").alias("place"))
-    shared = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least"), F.max("n").alias("most"))
-    # Two members can only link if their sizes allow it, which ends most of the signatures here.
-    shared = shared.filter((F.col("k") > 2) | ((F.col("k") == 2) & (F.col("least") * 100 >= F.col("most") * percent)))
+    room = F.min(F.col("n") - F.col("place"))
+    shared = entries.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("k"), F.min("n").alias("least"), F.max("n").alias("most"), room.alias("room")
+    )
+    # Whether two members can link shows in these figures already, which ends most signatures here.
+    least, most = F.col("least"), F.col("most")
+    two = (least * 100 >= most * percent) & (F.col("room") >= _overlap(least, most, percent))
+    shared = shared.filter((F.col("k") > 2) | ((F.col("k") == 2) & two)).select("sig", "k")
     live = entries.join(shared, "sig").join(nodes.select("node", "low"), "node")
     live = staged(live.select("sig", "k", F.struct("place", "node", "n", "low").alias("x")), "join-live")
 
@@ -425,6 +431,7 @@ def ngram_join(
     limits = class_limits(levels, rare, very)
     shared_levels = spark.sparkContext.broadcast(levels)  # 2**sketch_bits bytes
     indexed = staged(docs.mapInArrow(_index(shared_levels, width, limits, percent), _INDEXED), "join-indexed")
+    shared_levels.destroy()
     some = indexed.filter(F.size("sigs") > 0).dropDuplicates(["digest"])
     nodes = staged(some.withColumn("node", F.monotonically_increasing_id()), "join-nodes")
     label = components(_links(nodes, docs, width, percent))
@@ -453,14 +460,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows that repeat doc_id and text are one document.
     """
     rows = ngram_join(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    kept = rows.filter("set_group is not null").groupBy("set_group").agg(F.min(key).alias("k")).select("k.doc_id", "k.text_hash")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    kept = rows.filter("set_group is not null").groupBy("set_group").agg(F.min(first).alias("k")).select("k.doc_id", "k.text_hash")
     lone = rows.filter("set_group is null").select("doc_id", "text_hash").distinct()
-    keys = kept.unionByName(lone).select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_kept_hash"))
-    docs, columns = set_aside(docs, {"_hash", "_kept", "_kept_hash"})
-    return (
-        docs.withColumn("_hash", F.xxhash64("text"))
-        .join(keys, F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash")), "left_semi")
-        .dropDuplicates(["doc_id", "_hash"])
-        .select(*columns)
-    )
+    keys = kept.unionByName(lone)
+    docs, columns = set_aside(docs, {"_id", "_unnamed", "_hash"})
+
+    def keyed(df: DataFrame, text_hash: Column) -> DataFrame:
+        """Three columns without nulls, so that the join and the distinct rows share one shuffle."""
+        return df.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_unnamed": F.col("doc_id").isNull(), "_hash": text_hash})
+
+    key = ["_id", "_unnamed", "_hash"]
+    wanted = keyed(keys, F.col("text_hash")).select(*key)
+    return keyed(docs, F.xxhash64("text")).join(wanted, key, "left_semi").dropDuplicates(key).select(*columns)
