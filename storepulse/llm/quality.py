@@ -18,10 +18,10 @@ Extra columns pass through; result columns replace those of the same name.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
-from itertools import pairwise
-from operator import eq
+from collections.abc import Callable, Iterator
+from operator import and_, eq, ne
 
 import numpy as np
 import pyarrow as pa
@@ -51,25 +51,55 @@ def _vote(looks: bool, good: bool, bad: bool) -> str:
 LABELLERS = ("prose pairs", "repetition", "variety", "symbols", "bars", "capitals", "letters", "sentences")
 
 
-def votes(text: str | None) -> str:
+_EDGES = ".,;:?!\"'()¿¡"
+
+
+def _look(word: str) -> tuple[bool, int, int, int]:
+    """(plain, letters, capitals, length) of a word."""
+    core = word.strip(_EDGES)
+    alpha = core.isalpha()
+    plain = alpha and not (len(word) > 2 and word.endswith(("!!", "??", ",,")))
+    letters = len(core) if alpha else sum(map(str.isalpha, word))
+    return plain, letters, 0 if word.islower() else sum(map(str.isupper, word)), len(word)
+
+
+class Remembered(dict):
+    """What ``make`` finds for a word; forgets all of it when it has grown large."""
+
+    def __init__(self, make: Callable[[str], tuple]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> tuple:
+        found = self[word] = self.make(word)
+        return found
+
+    def columns(self, words: list[str]) -> list[tuple]:
+        if len(self) > 200_000:
+            self.clear()
+        return list(zip(*map(self.__getitem__, words)))
+
+
+def votes(text: str | None, words: list[str] | None = None, looked: list[tuple] | None = None) -> str:
     """One character for each of ``LABELLERS``. Those that look for one fault abstain where they don't find it."""
-    words = (text or "").split()
+    words = (text or "").split() if words is None else words
     n = len(words)
     if not n:
         return _BLIND * len(LABELLERS)
-    plain = [w.strip(".,;:?!\"'()¿¡").isalpha() and not (len(w) > 2 and w.endswith(("!!", "??", ",,"))) for w in words]
-    pairs = sum(a and b and x != y for a, b, x, y in zip(plain, plain[1:], words, words[1:]))
+    plain, letters, upper, lengths = looked or list(zip(*map(_look, words)))
+    again = sum(map(eq, words, words[1:]))
+    pairs = sum(map(and_, map(and_, plain, plain[1:]), map(ne, words, words[1:])))
     variety = sum(len(set(words[i : i + 50])) for i in range(0, n, 50)) / n
-    letters = sum(map(str.isalpha, text))
+    letters, capitals = sum(letters), sum(upper)
     ends = sum(map(text.count, (". ", ".\n", "! ", "? ")))
     return "".join((
-        _vote(n > 4, pairs > 0.85 * (n - 1), pairs < 0.6 * (n - 1)),
-        _vote(n > 4, False, sum(map(eq, words, words[1:])) > 0.15 * n),
+        _vote(n > 4, pairs > 0.85 * (n - 1), n >= 12 and pairs < 0.6 * (n - 1)),
+        _vote(n > 4, False, again > 0.15 * n),
         _vote(n >= 12, variety > 0.7, variety < 0.45),
         _vote(n > 4, False, len(_SYMBOLS.findall(text)) > 0.15 * n),
         _vote(n > 4, False, text.count("|") > 0.05 * n),
-        _vote(n > 4, False, sum(map(str.isupper, text)) > 0.6 * max(1, letters)),
-        _vote(n >= 30, False, letters < 0.75 * sum(map(len, words))),
+        _vote(n > 4, False, capitals > 0.6 * max(1, letters)),
+        _vote(n >= 30, False, letters < 0.75 * sum(lengths)),
         _vote(n >= 40, 0.02 * n < ends < 0.4 * n, ends < 0.004 * n),
     ))
 
@@ -102,69 +132,68 @@ def estimate(patterns: dict[str, int], rounds: int = ROUNDS) -> tuple[np.ndarray
 
 # ---- hashed linear scorer -------------------------------------------------------------
 
-_SHAPE = [(re.compile(r"[^\W\d_]*[^\W\d_A-ZÀ-Þ][^\W\d_]*"), "x"), (re.compile(r"[^\W\d_]+"), "X"), (re.compile(r"\d+"), "9")]
 _RUN = re.compile(r"(.)\1+")
 
 
-def shape(word: str) -> str:
-    """Letters, capitals, digits and repeated signs of a word."""
-    for pattern, letter in _SHAPE:
-        word = pattern.sub(letter, word)
-    return _RUN.sub(r"\1\1", word)
+class _Kinds(dict):
+    """Translation of characters: x for letters, X for capitals, 9 for digits, the rest as they are."""
+
+    def __missing__(self, code: int) -> str:
+        ch = chr(code)
+        kind = self[code] = "X" if ch.isupper() else "x" if ch.isalpha() else "9" if ch.isdigit() else ch
+        return kind
+
+
+_KINDS = _Kinds()
+
+
+def shapes_of(text: str) -> list[str]:
+    """Letters, capitals, digits and signs of each word; a repeated one stands twice."""
+    return _RUN.sub(r"\1\1", text.translate(_KINDS)).split()
 
 
 def _slot(feature: str, bits: int) -> int:
-    h = 1469598103934665603
-    for byte in feature.encode("utf-8", "surrogatepass"):
-        h = (h ^ byte) * 1099511628211 & 0xFFFFFFFFFFFFFFFF
-    return (h ^ h >> 29) * 0xBF58476D1CE4E5B9 >> 20 & (1 << bits) - 1
+    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) & (1 << bits) - 1
 
 
-class _Features:
-    """Feature vectors; remembers the shapes and slots of recent words."""
+def features(text: str, words: list[str], bits: int, pair_slots: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, values): each kind of feature has length one, so that long texts weigh no more."""
+    n = len(words)
+    shapes = shapes_of(text)
+    pairs: Counter = Counter()
+    for pair, count in Counter(zip(["", *shapes], shapes)).items():
+        slot = pair_slots.get(pair)
+        if slot is None:
+            slot = pair_slots[pair] = _slot(f"s:{pair[0]}:{pair[1]}", bits)
+        pairs[slot] += count
+    same = sum(map(eq, words, words[1:])) / n
+    own = np.fromiter(map(zlib.crc32, text.lower().encode("utf-8", "surrogatepass").split()), np.int64)
+    parts = [
+        np.unique(own & (1 << bits) - 1, return_counts=True),
+        (np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs))),
+        (np.array([_slot(f"r:{int(same * 10)}", bits)]), np.ones(1)),
+        (np.array([_slot(f"v:{int(10 * len(set(words)) / n)}:{min(n, 1000).bit_length()}", bits)]), np.ones(1)),
+    ]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] / max(1e-9, np.sqrt(float(p[1] @ p[1]))) for p in parts])
+
+
+class Reader:
+    """Votes and features of texts; remembers words and, bounded too, pairs of shapes."""
 
     def __init__(self, bits: int):
-        self.bits = bits
-        self.known: dict[str, tuple[str, int]] = {}
-        self.pairs: dict[tuple[str, str], int] = {}
-
-    def _of(self, word: str) -> tuple[str, int]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            found = self.known[word] = (shape(word)[:12], _slot(f"w:{word[:40].lower()}", self.bits))
-        return found
+        self.bits, self.pair_slots, self.seen = bits, {}, Remembered(_look)
 
-    def _pair(self, pair: tuple[str, str]) -> int:
-        if len(self.pairs) > 200_000:
-            self.pairs.clear()
-        if pair not in self.pairs:
-            self.pairs[pair] = _slot(f"s:{pair[0]}:{pair[1]}", self.bits)
-        return self.pairs[pair]
+    def votes(self, text: str | None) -> str:
+        words = (text or "").split()
+        return votes(text, words, self.seen.columns(words))
 
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(slots, values): each kind of feature has length one, so that long texts weigh no more."""
+    def __call__(self, text: str | None) -> tuple[str, np.ndarray, np.ndarray]:
+        if len(self.pair_slots) > 200_000:
+            self.pair_slots.clear()
         words = (text or "").split()
         if not words:
-            return np.zeros(0, np.int64), np.zeros(0)
-        of = [self._of(w) for w in words]
-        n = len(words)
-        kinds = [
-            Counter(slot for _, slot in of),
-            Counter(map(self._pair, pairwise(["", *(s for s, _ in of)]))),
-        ]
-        same = sum(map(eq, words, words[1:])) / n
-        kinds += [
-            Counter([_slot(f"r:{int(same * 10)}", self.bits)]),
-            Counter([_slot(f"v:{int(10 * len(set(words)) / n)}:{min(n, 1000).bit_length()}", self.bits)]),
-        ]
-        slots, values = [], []
-        for kind in kinds:
-            counts = np.fromiter(kind.values(), float, len(kind))
-            slots.append(np.fromiter(kind, np.int64, len(kind)))
-            values.append(counts / np.sqrt(counts @ counts))
-        return np.concatenate(slots), np.concatenate(values)
+            return votes(text), np.zeros(0, np.int64), np.zeros(0)
+        return votes(text, words, self.seen.columns(words)), *features(text, words, self.bits, self.pair_slots)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, float]], bits: int, epochs: int = EPOCHS) -> np.ndarray:
@@ -188,22 +217,22 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], bits: int, epochs: i
 
 
 def _vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    read = Reader(FEATURE_BITS)
     for batch in batches:
-        made = pa.array([votes(t) for t in batch.column("text").to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("h"), made], names=["h", "votes"])
+        made = pa.array([read.votes(t) for t in batch.column(0).to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([made], names=["votes"])
 
 
 def _feature_rows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = _Features(bits)
+        read = Reader(bits)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            made = [features(t) for t in texts]
+            made = [read(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([votes(t) for t in texts], pa.string()),
-                    pa.array([m[0] for m in made], pa.list_(pa.int64())),
-                    pa.array([m[1] for m in made], pa.list_(pa.float64())),
+                    pa.array([m[0] for m in made], pa.string()),
+                    pa.array([m[1] for m in made], pa.list_(pa.int64())),
+                    pa.array([m[2] for m in made], pa.list_(pa.float64())),
                 ],
                 names=["votes", "slots", "values"],
             )
@@ -213,13 +242,12 @@ def _feature_rows(bits: int):
 
 def _score_rows(weights, posteriors, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, w = _Features(bits), weights.value
+        read, w = Reader(bits), weights.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            patterns = [votes(t) for t in texts]
-            scores = []
-            for text in texts:
-                slots, values = features(text)
+            patterns, scores = [], []
+            for text in batch.column("text").to_pylist():
+                pattern, slots, values = read(text)
+                patterns.append(pattern)
                 scores.append(float(1 / (1 + np.exp(-np.clip(w[slots] @ values + w[-1], -30, 30)))) if len(slots) else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -237,7 +265,7 @@ def classify(docs: DataFrame, sample: int = SAMPLE, bits: int = FEATURE_BITS, ke
     spark = docs.sparkSession
     rows = docs.drop(*[c for c in docs.columns if c.lower() in _RESULT])
     hashed = docs.select("text", seeded_hash(SEED, "doc_id").alias("h"))
-    voted = staged(hashed.mapInArrow(_vote_rows, "h long, votes string"), "quality-votes")
+    voted = staged(docs.select("text").mapInArrow(_vote_rows, "votes string"), "quality-votes")
     counted = voted.groupBy("votes").count().collect()  # at most 4**8 patterns
     _, _, posteriors = estimate({r["votes"]: r["count"] for r in counted})
     total = sum(r["count"] for r in counted)
