@@ -1,8 +1,8 @@
 """Sharding by a two-pass external shuffle, with DataFrame operations only.
 
 Pass one scatters the records uniformly into buckets that fit in memory: the
-bucket is a seeded hash of the record's key and of its number among identical
-rows, so that rows repeated without end do not meet in one bucket. Pass
+bucket is a seeded hash of the whole record and of its number among identical
+rows, so that neither rows with one key nor rows repeated without end meet in one bucket. Pass
 two reads one bucket per task, sorts it, permutes it by Fisher-Yates
 (``shuffle`` with a seed) and numbers it. The buckets one after another are a
 random order of the whole table, which is cut into shards of equal length:
@@ -12,8 +12,8 @@ The order is a function of the rows, the seed and the bucket size alone:
 buckets are sorted before they are permuted, and the bucket number is the
 partition number. A retried task gives the same rows.
 
-Nulls: null text counts 8 bytes and has a null checksum; a null key hashes
-like any other value. Columns of the input with names of result columns are
+Nulls: null text counts 8 bytes and has a null checksum; null columns add
+nothing to the hash. Columns of the input with names of result columns are
 replaced. An empty table gives no rows. Map columns cannot be compared, which
 counting identical rows needs; convert them first.
 """
@@ -46,7 +46,6 @@ def record_size(text: str = "text") -> Column:
 def external_shuffle(
     records: DataFrame,
     total_bytes: int,
-    key: str = "doc_id",
     seed: int = SEED,
     bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
@@ -56,7 +55,7 @@ def external_shuffle(
     n_buckets = max(1, math.ceil(total_bytes / bucket_bytes))
     counted = records.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     scattered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-    scattered = scattered.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(key), F.col("_copy")))
+    scattered = scattered.withColumn("_hash", F.xxhash64(F.lit(seed), *columns, "_copy"))
     scattered = scattered.withColumn("_bucket", F.pmod("_hash", F.lit(n_buckets)).cast("int"))
     # One row for each bucket, so this sort sees a row for every bucket_bytes of input.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,7 +87,7 @@ def shard_rows(
     keep = [c for c in columns if c.lower() not in (*RESULT, "text_crc32")]
     records = docs.select(*keep, record_size().alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
     n, total = records.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    shuffled = external_shuffle(records, total, "doc_id", seed, bucket_bytes)
+    shuffled = external_shuffle(records, total, seed, bucket_bytes)
     shard = F.expr(f"position * {shards}L div {max(n, 1)}L")
     first = F.expr(f"(shard * {n}L + {shards - 1}L) div {shards}L")
     return (

@@ -139,6 +139,15 @@ def test_repeated_rows_spread_over_buckets(spark):
     check_law(out.collect(), 300)
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_texts_of_one_key_spread_over_buckets(spark, hot):
+    rows = [(hot if i % 3 == 0 else 1000 + i, prose(i, 20)) for i in range(900)]
+    out = sharding.shard_rows(documents(spark, rows), ["doc_id"], bucket_bytes=1000).collect()
+    check_law(out, 900)
+    of_key = [sum(r.doc_id == hot for r in out if r.shard == s) for s in range(24)]  # 12.5 on average
+    assert sum(of_key) == 300 and min(of_key) >= 1 and max(of_key) <= 26
+
+
 def test_shards_of_nothing_and_clashes(spark):
     assert sharding.shard_rows(documents(spark, []), ["doc_id"]).collect() == []
     df = clashing(documents(spark, odd_documents()))
