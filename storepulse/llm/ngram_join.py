@@ -2,9 +2,10 @@
 
 A document's set is its distinct word shingles (hashed to 64 bits); documents
 link when the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
+``WIDTH`` and ``PERCENT`` are op10's; callers may pass others.
 
 * Documents with equal sets are one node. Two different sets of fewer than nine
-  shingles cannot reach 0.9, so only larger ones go further.
+  shingles cannot reach 0.9 (of fewer than four 0.8), so only larger ones go further.
 * A sketch of counts over all shingles of the corpus (``2**SKETCH_BITS``
   counters, whatever the size) gives every shingle a level, the binary
   logarithm of its counter. Shingles are ordered by level and hash, rare ones
@@ -453,13 +454,13 @@ def ngram_join(
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest doc_id.
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component (shingles of ``width`` words), that of the smallest doc_id.
 
     Documents without words have no set and link with nothing, so each stays;
     rows that repeat doc_id and text are one document.
     """
-    rows = ngram_join(docs)
+    rows = ngram_join(docs, percent, width)
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     kept = rows.filter("set_group is not null").groupBy("set_group").agg(F.min(first).alias("k")).select("k.doc_id", "k.text_hash")
     lone = rows.filter("set_group is null").select("doc_id", "text_hash").distinct()

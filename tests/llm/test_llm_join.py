@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -133,6 +134,24 @@ def test_components(spark):
     assert got == {x: label[x] for x in linked}
 
 
+def test_pipeline_stage_drops_copies_between_the_thresholds(spark):
+    rows = []
+    for g in range(8):  # one word of 55 changed: 0.82 on five words, 0.89 on three; two far apart: 0.67 on five
+        base = prose(500 + g, 55).split()
+        one, two = list(base), list(base)
+        one[27] = f"edit{g}"
+        two[13], two[41] = f"left{g}", f"right{g}"
+        rows += [(10 * g, " ".join(base)), (10 * g + 1, " ".join(one)), (10 * g + 2, " ".join(two))]
+    rows += [(100, prose(600, 40)), (101, prose(600, 40).replace(prose(600, 40).split()[20], "other", 1))]
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    sets, thin = ({i: shingle_set(t, width) for i, t in rows} for width in (5, 3))
+    near = [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8]
+    between = [(a, b) for a, b in near if jaccard(thin[a], thin[b]) < 0.9]
+    assert len(between) >= 8
+    kept = {r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, documents(spark, rows), "").collect()}
+    assert kept == set(sets) - {b for _, b in near} and {2, 100, 101} <= kept
+
+
 def test_one_of_each_keeps_columns(spark):
     # 7 equals 6, 8 stands twice and links with 9
     df = clashing(documents(spark, odd_documents()))
