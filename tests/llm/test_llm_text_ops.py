@@ -129,6 +129,31 @@ def test_article_in_pieces_and_broken_markup():
     assert html_text.main_text(f"<article><p>{long}</p></article>") == long
 
 
+@pytest.mark.parametrize("marked", [True, False])
+def test_comment_articles_go_and_closing_paragraph_stays(marked):
+    body, closing = prose(1, 60), "Read on tomorrow."
+    tag = "article" if marked else "div"
+    comment = f"<article class='comment' id=comment-7><p>{prose(2, 40)}</p></article>"
+    story = f"<{tag}><p>{body}</p><div class=ad>buy</div><p>{closing}</p></{tag}>"
+    for section in (f"<section class=comments>{comment}<div>{comment}</div></section>", f"<section>{comment}</section>"):
+        assert html_text.main_text(f"<body>{story}{section}</body>") == f"{body}\n{closing}"
+    assert html_text.main_text(f"<aside>{prose(3, 30)}<article>{prose(4, 30)}</article></aside>{story}") == f"{body}\n{closing}"
+
+
+def test_windows_decide_inside_articles():
+    ad, long = "<div class=ad>x</div>", prose(5, 60)
+    page = f"<article><p>{long}</p>{ad}<p>beside</p>{ad}<p>far</p>{ad}<p>alone</p></article><article><p>teaser</p></article>"
+    assert html_text.main_text(page) == f"{long}\nbeside"
+
+
+def test_articles_in_misnamed_frames_are_found():
+    text = prose(6, 40)
+    assert html_text.main_text(f"<div class=with-sidebar><article>{text}</article></div>") == text
+    assert html_text.main_text(f"<article class=notice>{text}</article>") == text
+    assert html_text.main_text(f"<article class='post comments-open'>{text}</article><p>{prose(7, 40)}</p>") == text
+    assert html_text.main_text(f"<nav><a>x</a></nav><div class=menu>x<main>{text}</main></div>") == text
+
+
 def test_pages_odd(spark):
     rows = [(1, None, None), (2, "u", ""), (None, "u", "<article>t</article>"), (3, "u", "<nav>x</nav>"), (3, "u", "<nav>x</nav>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'own' AS text", "1 AS extra")
