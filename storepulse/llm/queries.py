@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storepulse.llm import decontamination, html_text, langid, licenses, mixing, ngram_join, pii, quality, sharding, topk
+from storepulse.llm import (
+    collocations, conversations, decontamination, html_text, langid, licenses, mixing, ngram_join, pii, quality,
+    quality_rules, sharding, topk,
+)
 from storepulse.llm.common import table
 
 
@@ -61,6 +64,22 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, F.col("present"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = quality_rules.apply_policy(quality_rules.ledger(docs))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select("doc_id", *base, quality_rules.base_failed().alias("base_failed"), "kept", "fails", "policy")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +99,9 @@ QUERIES = {
         op8_water_filling,
         op9_benchmark_leaks,
         op10_ngram_join,
+        op11_collocations,
+        op12_conversation_repair,
+        op13_quality_rules,
         pipeline,
     )
 }

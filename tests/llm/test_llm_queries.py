@@ -25,7 +25,7 @@ def con():
 
 def test_registered():
     assert set(queries.QUERIES) <= set(entry.queries()) and set(oracle.SQL) <= set(entry.oracle_sql())
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
 
 
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
