@@ -8,7 +8,9 @@ an error, and so is a record without the fields that identify it (an error
 document, or an envelope read as bare records, has none of them). Parquet
 extracts are also checked for the needed columns when they are opened.
 
-Multi-line JSON is one task per file; it is meant for small extracts.
+A file that is one JSON document (``multiline``: an array of records, or one
+envelope around it) is split by byte ranges (:mod:`json_split`), so a response of any size is
+read by many tasks.
 
 The ``*_frame`` functions turn the nested records into the flat frames the
 operators work on. They select only the leaves the reports need, so parquet
@@ -26,6 +28,7 @@ from pyspark.sql import types as T
 from ..functions.dates import parse_timestamp
 from ..functions.economics import clean_double
 from . import schemas
+from .json_split import read_records
 
 FORMATS = ("json", "parquet")
 
@@ -103,11 +106,12 @@ def read_extract(
         raise ValueError(f"fmt must be one of {FORMATS}")
     if fmt == "parquet":
         require_fields(spark.read.parquet(*([path] if isinstance(path, str) else path)), identity)
-    reader = spark.read.schema(_envelope(schema, result) if result else schema)
-    if fmt == "json":
-        reader = reader.option("mode", "FAILFAST").option("multiLine", multiline)
-    df = reader.format(fmt).load(path)
-    df = unwrapped(df, result) if result else df
+    if fmt == "json" and multiline:
+        df = read_records(spark, path, schema, result)
+    else:
+        reader = spark.read.schema(_envelope(schema, result) if result else schema)
+        df = reader.format(fmt).option("mode", "FAILFAST").load(path)
+        df = unwrapped(df, result) if result else df
     return complete(df, identity, str(path)) if identity else df
 
 
