@@ -119,31 +119,47 @@ def timestamp_lit(value: dt.datetime | dt.date | str) -> Column:
     return F.lit(as_utc(value))
 
 
-def parse_timestamp(col: Column, formats: Sequence[str] | None = None, day_first: bool = False) -> Column:
+def parse_timestamp(col: Column, formats: Sequence[str] | None = None, day_first: bool = False, strict: bool = True) -> Column:
     """Parse text timestamps written in any of several layouts.
 
-    Spark's ISO-8601 parsing (offsets and ``Z`` included) is tried first, then
-    the layouts in order; slashed dates are month first unless ``day_first``, the
-    other reading is left for what cannot be read that way. Null and blank text
-    gives null; other text that no layout fits is an error.
+    The text's shape says its layout, so each row is parsed once: ISO-8601 (offsets and
+    ``Z`` included), names of months, or slashes. Slashed dates are month first
+    unless ``day_first``; the other reading is left for those whose numbers
+    cannot be read that way. Null and blank text gives null; other text that no
+    layout fits is an error, or null unless ``strict``. Explicit ``formats`` are tried in order, after ISO-8601.
     """
-    slashed = ("d/M/yyyy", "M/d/yyyy") if day_first else ("M/d/yyyy", "d/M/yyyy")
-    timed = [f"{d} HH:mm:ss" for d in slashed]
-    fmts = list(formats) if formats is not None else [*DEFAULT_TIMESTAMP_FORMATS, *timed, *slashed]
     text = F.trim(col.cast("string"))
-    parsed = F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in fmts])
+    if formats is not None:
+        parsed = F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    else:
+        parsed = _parsed_by_shape(text, day_first)
+    if not strict:
+        return parsed
     error = F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp")
     return F.when(text.isNull() | (text == F.lit("")), F.lit(None).cast("timestamp")).otherwise(F.coalesce(parsed, error))
 
 
-# Text layouts accepted by ``parse_timestamp`` after ISO-8601, before slashed dates.
-DEFAULT_TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy",
-    "MMM d, yyyy",
-    "d-MMM-yyyy",
+#: Shape of a text and its layout; tried in this order, without a time of day and with one.
+_NAMED_LAYOUTS = (
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}", "d MMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}", "d-MMM-yyyy"),
 )
+_TIME = " HH:mm:ss"
+
+
+def _parsed_by_shape(text: Column, day_first: bool) -> Column:
+    """The timestamp by the one layout that fits the text's shape; null where none does."""
+    timed = F.substring(text, -3, 1) == F.lit(":")
+
+    def by(layout: str) -> Column:
+        return F.when(timed, F.try_to_timestamp(text, F.lit(layout + _TIME))).otherwise(F.try_to_timestamp(text, F.lit(layout)))
+
+    leading, second = F.substring_index(text, "/", 1), F.substring_index(F.substring_index(text, "/", 2), "/", -1)
+    first_over, second_over = (F.try_to_number(F.lpad(n, 2, "0"), F.lit("99")) > 12 for n in (leading, second))
+    day_leads = ~F.coalesce(second_over, F.lit(False)) if day_first else F.coalesce(first_over, F.lit(False))
+    parsed = F.when(F.substring(text, 5, 1) == F.lit("-"), F.try_to_timestamp(text))
+    parsed = parsed.when(F.instr(text, "/") > 0, F.when(day_leads, by("d/M/yyyy")).otherwise(by("M/d/yyyy")))
+    for shape, layout in _NAMED_LAYOUTS:
+        parsed = parsed.when(text.rlike(shape), by(layout))
+    return parsed.otherwise(F.try_to_timestamp(text))

@@ -29,6 +29,7 @@ from ..functions.constants import (
 )
 from ..functions.dates import elapsed_days, timestamp_lit
 from ..functions.economics import to_lakh
+from ..functions.exact import exact_sum, exact_total, exact_value
 from ..functions.filters import not_excluded
 
 #: Columns of a lot that its stock value needs.
@@ -80,20 +81,20 @@ def lot_cube(lots: DataFrame, as_of: dt.datetime) -> DataFrame:
     sums = []
     for name, days, open_low in (("age_days", "age_days", False), ("expiry_days", "expiry_days", True)):
         seq = bucket_seq(F.col(days), AGE_BUCKET_EDGES, open_low=open_low)
-        sums += [F.sum(F.when(seq == F.lit(i + 1), F.col("value"))).alias(f"{name}__b{i + 1}") for i in range(len(AGE_BUCKET_LABELS))]
+        sums += [exact_total(F.when(seq == F.lit(i + 1), F.col("value"))).alias(f"{name}__b{i + 1}") for i in range(len(AGE_BUCKET_LABELS))]
     expired = F.col("expiry_days") <= F.lit(0)
-    sums += [F.sum(F.when(expired, F.col("value"))).alias("expired__value"), F.count(F.when(expired, F.lit(1))).alias("expired__rows")]
+    sums += [exact_total(F.when(expired, F.col("value"))).alias("expired__value"), F.count(F.when(expired, F.lit(1))).alias("expired__rows")]
     return valued.groupBy("category", "store", "territory").agg(*sums)
 
 
 def _grid_wide(lots: DataFrame, as_of: dt.datetime, key: str, days: str, open_low: bool, edges, labels) -> DataFrame:
     if f"{days}__b1" in lots.columns:  # a lot_cube
-        parts = [F.col(f"{days}__b{i + 1}") for i in range(len(labels))]
+        parts = [exact_value(F.sum(f"{days}__b{i + 1}")) for i in range(len(labels))]
     else:
         lots = with_lot_values(lots, as_of)
         seq = bucket_seq(F.col(days), edges, open_low=open_low)
-        parts = [F.when(seq == F.lit(i + 1), F.col("value")) for i in range(len(labels))]
-    aggs = [F.coalesce(F.sum(p), F.lit(0.0)).alias(f"b{i + 1}") for i, p in enumerate(parts)]
+        parts = [exact_sum(F.when(seq == F.lit(i + 1), F.col("value"))) for i in range(len(labels))]
+    aggs = [F.coalesce(p, F.lit(0.0)).alias(f"b{i + 1}") for i, p in enumerate(parts)]
     return lots.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 
@@ -181,8 +182,10 @@ def expired_value(
     """
     kept = lots if excluded is None else lots.filter(not_excluded("territory", excluded))
     if "expired__rows" in kept.columns:  # a lot_cube
-        expired = kept.filter(F.col("expired__rows") > 0).withColumn("value", F.col("expired__value"))
+        expired = kept.filter(F.col("expired__rows") > 0)
+        total = exact_value(F.sum("expired__value"))
     else:
         expired = with_lot_values(kept, as_of).filter(F.col("expiry_days") <= F.lit(0))
-    total = F.coalesce(F.sum("value"), F.lit(0.0))
+        total = exact_sum(F.col("value"))
+    total = F.coalesce(total, F.lit(0.0))
     return expired.filter(F.col(key).isNotNull()).groupBy(key).agg(to_lakh(total, digits).alias("expired_lakh"))

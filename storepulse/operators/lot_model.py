@@ -24,6 +24,7 @@ from ..functions.buckets import before_last_space, expiry_band_label, expiry_ban
 from ..functions.constants import FISCAL_YEAR_FIRST, FISCAL_YEAR_LAST, STATUS_CREDITNOTE_MODEL, STATUS_STOCK_MARKER
 from ..functions.dates import as_utc
 from ..functions.economics import clean_double
+from ..functions.exact import exact_sum
 
 # The published column names, in their order.
 MODEL_COLUMNS = (
@@ -204,7 +205,7 @@ def expiry_bands(model: DataFrame) -> DataFrame:
     return model.groupBy("exp_seq", "expiry_filter").agg(
         F.count(F.lit(1)).alias("lots"),
         F.sum("available_qty").alias("available_qty"),
-        F.round(F.sum("current_inventory_value"), 2).alias("current_inventory_value"),
+        F.round(exact_sum(F.col("current_inventory_value")), 2).alias("current_inventory_value"),
     )
 
 
@@ -212,8 +213,8 @@ def fiscal_year_summary(model: DataFrame) -> DataFrame:
     """Lots and stock value per fiscal-year label of the invoice date."""
     return model.groupBy("fiscal_year").agg(
         F.count(F.lit(1)).alias("lots"),
-        F.round(F.sum("current_inventory_value"), 2).alias("current_inventory_value"),
-        F.round(F.sum("sold_inventory_value"), 2).alias("sold_inventory_value"),
+        F.round(exact_sum(F.col("current_inventory_value")), 2).alias("current_inventory_value"),
+        F.round(exact_sum(F.col("sold_inventory_value")), 2).alias("sold_inventory_value"),
     )
 
 
@@ -224,6 +225,6 @@ def weighted_age(model: DataFrame, key: str = "category_name") -> DataFrame:
     value-weighted age; per key it is that key's share of it.
     """
     return model.groupBy(key).agg(
-        F.round(F.sum("average_inventory_age"), 6).alias("weighted_age_days"),
-        F.round(F.sum("current_inventory_value"), 2).alias("current_inventory_value"),
+        F.round(exact_sum(F.col("average_inventory_age")), 6).alias("weighted_age_days"),
+        F.round(exact_sum(F.col("current_inventory_value")), 2).alias("current_inventory_value"),
     )

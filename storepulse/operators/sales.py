@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import economics as econ
 from ..functions.constants import EXCLUDED_TERRITORIES, LAKH_DIGITS
 from ..functions.dates import ReportWindow
+from .day_cube import Clocks, clock_span, day_cube, range_totals
 from .windowed import Exclusion, window_cube, windowed_totals, window_sums, wide_form
 
 SALE_TS = "invoicedate"
@@ -196,6 +197,32 @@ def target_by(
     return out.withColumnRenamed(col, key)
 
 
+# --- several report clocks -------------------------------------------------------
+
+def history(
+    lines: DataFrame,
+    clocks: Clocks,
+    measures: Sequence[str],
+    key: str | None = None,
+    excluded: Sequence[str] | None = None,
+    running: bool = False,
+    digits: int | None = LAKH_DIGITS,
+) -> DataFrame:
+    """Line measures of every window of several reports (``as_of``), by ``key`` if given, from one day cube."""
+    keys = [key] if key else []
+    cube = day_cube(lines, SALE_TS, _measures(*measures), keys, clock_span(clocks), _exclusion("territory", excluded))
+    return range_totals(cube, clocks, list(measures), keys, running, digits)
+
+
+def target_history(
+    targets: DataFrame, clocks: Clocks, key: str, excluded: Sequence[str] | None = None, digits: int | None = LAKH_DIGITS
+) -> DataFrame:
+    """Targets by ``key`` of every window of several reports, from one day cube."""
+    col = TARGET_KEYS[key]
+    cube = day_cube(targets, TARGET_TS, {"target": F.col("Daily_Target")}, [col], clock_span(clocks), _exclusion("TM", excluded))
+    return range_totals(cube, clocks, ["target"], [col], digits=digits).withColumnRenamed(col, key)
+
+
 # --- wide scorecards ------------------------------------------------------------
 
 def _merge_wide(frames: Sequence[DataFrame], key: str) -> DataFrame:

@@ -7,7 +7,8 @@ the parquet scan), then each window contributes a conditional sum
 the same ``groupBy``. Rows are never replicated per window and no join with
 a window table is planned. The aggregation is partial (map side) and final,
 so a key holding a third of all rows sends one small row per map task to
-the shuffle.
+the shuffle. Sums are exact (:mod:`..functions.exact`), so no result
+depends on the partitioning of a run.
 
 Semantics follow the original per-window frames:
 
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import LAKH_DIGITS
 from ..functions.dates import ReportWindow, window_span
 from ..functions.economics import to_lakh
+from ..functions.exact import exact_sum, exact_total, exact_value
 from ..functions.filters import all_not_null, not_excluded
 
 
@@ -67,8 +69,7 @@ def window_sums(
         rows = df if exclude is None else df.filter(not_excluded(exclude.column, exclude.names))
         rows = rows.filter(all_not_null(keys)) if keys else rows
         parts = [_count_col(w.seq) for w in windows] + [_sum_col(m, w.seq) for w in windows for m in measures]
-        sums = [F.sum(c).alias(c) for c in parts]
-        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) if c.startswith("rows__") else s for c, s in zip(parts, sums)]
+        sums = [(F.coalesce(F.sum(c), F.lit(0)) if c.startswith("rows__") else exact_value(F.sum(c))).alias(c) for c in parts]
         return (rows.groupBy(*keys) if keys else rows.groupBy()).agg(*sums)
     lo, hi = window_span(windows)
     rows = df.filter(F.col(ts).between(F.lit(lo), F.lit(hi)))
@@ -84,7 +85,7 @@ def window_sums(
         inside = w.contains(F.col("__ts"))
         aggs.append(F.count(F.when(inside, F.lit(1))).alias(_count_col(w.seq)))
         for name in measures:
-            aggs.append(F.sum(F.when(inside, F.col(values[name]))).alias(_sum_col(name, w.seq)))
+            aggs.append(exact_sum(F.when(inside, F.col(values[name]))).alias(_sum_col(name, w.seq)))
     grouped = rows.groupBy(*keys) if keys else rows.groupBy()
     return grouped.agg(*aggs)
 
@@ -100,7 +101,7 @@ def window_cube(
     for w in windows:
         inside = w.contains(F.col("__ts"))
         aggs.append(F.count(F.when(inside, F.lit(1))).alias(_count_col(w.seq)))
-        aggs += [F.sum(F.when(inside, F.col(f"__m_{n}"))).alias(_sum_col(n, w.seq)) for n in measures]
+        aggs += [exact_total(F.when(inside, F.col(f"__m_{n}"))).alias(_sum_col(n, w.seq)) for n in measures]
     return rows.groupBy(*keys).agg(*aggs)
 
 

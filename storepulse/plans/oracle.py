@@ -144,6 +144,51 @@ def _keyed(key: str, out_key: str, measure: str, alias: str, exclude_col: str |
     )
 
 
+# The windows of eight weekly reports: the fixture's clock and the same instant of the weeks before.
+CLOCK_WINDOWS = f"""clk AS (SELECT {AS_OF} - to_days(CAST(7 * k AS INTEGER)) AS as_of FROM range(8) t(k)),
+clk_mon AS (SELECT as_of, date_trunc('week', as_of)::DATE AS latest FROM clk),
+clk_bounds AS (
+  SELECT as_of, latest - 7 AS week_start, date_trunc('month', latest - 7)::DATE AS month_start,
+         make_date(year(latest - 7) - CASE WHEN month(latest - 7) < 4 THEN 1 ELSE 0 END, 4, 1) AS fy_start,
+         latest + 1 + TIME '23:59:59' AS we
+  FROM clk_mon),
+win AS (
+  SELECT as_of, 1 AS window_seq, 'week' AS window_name, week_start::TIMESTAMP AS ws, we FROM clk_bounds
+  UNION ALL SELECT as_of, 2, 'month', month_start::TIMESTAMP, we FROM clk_bounds
+  UNION ALL SELECT as_of, 3, 'fy', fy_start::TIMESTAMP, we FROM clk_bounds)"""
+
+
+def _history(key: str | None, out_key: str, measures: dict[str, str], excluded: bool, source: str = "econ", ts: str = "invoicedate") -> str:
+    sums = ", ".join(f"round(coalesce(sum({m}), 0) / 100000.0, 2) AS {a}" for a, m in measures.items())
+    if key is None:
+        return (
+            f"SELECT w.as_of, w.window_seq, w.window_name, {sums} FROM win w LEFT JOIN {source} e ON e.{ts} BETWEEN w.ws AND w.we\n"
+            "GROUP BY ALL"
+        )
+    kept = f" AND {_kept('e.territory')}" if excluded else ""
+    return (
+        f"SELECT e.{key} AS {out_key}, w.as_of, w.window_seq, w.window_name, {sums}\n"
+        f"FROM win w JOIN {source} e ON e.{ts} BETWEEN w.ws AND w.we WHERE e.{key} IS NOT NULL{kept} GROUP BY ALL"
+    )
+
+
+def _running_history() -> str:
+    return (
+        "per AS (SELECT e.category AS k, w.as_of, w.window_seq, sum(e.margin) AS s\n"
+        f"  FROM win w JOIN econ e ON e.invoicedate BETWEEN w.ws AND w.we WHERE e.category IS NOT NULL AND {_kept('e.territory')} GROUP BY ALL)\n"
+        "SELECT p.k AS category, w.as_of, w.window_seq, w.window_name, round(sum(coalesce(p.s, 0)) / 100000.0, 2) AS margin_lakh\n"
+        "FROM win w JOIN per p ON p.as_of = w.as_of AND p.window_seq <= w.window_seq GROUP BY ALL"
+    )
+
+
+# Lots of 7 or 11 pieces carry a date that is none; those of 13 have no rate.
+FAULTY_LOTS = """faulty AS (
+  SELECT *, CASE WHEN store IS NULL THEN 'no storeDetails.name' WHEN category IS NULL THEN 'no productDetails.category.name'
+                 WHEN subqty IN (7, 11) THEN 'unreadable invoice.invoicedate' END AS reject_reason,
+         CASE WHEN subqty <> 13 THEN value END AS kept_value
+  FROM lot_vals)"""
+
+
 def _running_margin(key: str) -> str:
     return _with(WINDOWS, HDR, LINES, ECON) + ", " + (
         "per AS (\n"
@@ -340,7 +385,28 @@ def oracle_sql() -> dict[str, str]:
         "extract_sale_lines": _with(HDR, LINES) + "SELECT * FROM lines",
         "extract_invoices": _with(HDR) + "SELECT invoice_id, invoicedate, store, territory, customer FROM hdr",
         "extract_targets": _with(HDR, TARGETS)
-        + 'SELECT "Store", "TM", "Category", "Date", round("Daily_Target", 4) AS "Daily_Target" FROM targets',
+        + 'SELECT "Store", "TM", "Category", "Date", CASE WHEN day("Date") <> 13 THEN round("Daily_Target", 4) END AS "Daily_Target" FROM targets',
+        # Orders of up to 64 lines: documents of four lines each.
+        "extract_documents": "WITH c AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY ALL)\n"
+        "SELECT CAST(o_orderkey AS VARCHAR) AS invoiceno, greatest(1, (coalesce(n, 0) + 3) // 4) AS documents, coalesce(n, 0) AS lines,\n"
+        "  CAST(least(4, coalesce(n, 0)) AS INTEGER) AS most_lines, CAST(coalesce(n, 0) AS INTEGER) AS reassembled_lines\n"
+        "FROM orders LEFT JOIN c ON o_orderkey = l_orderkey",
+        "extract_rejects": inv + ", " + FAULTY_LOTS + "\n"
+        "SELECT 'sales' AS extract, CASE WHEN o_orderkey % 101 = 0 THEN 'no _id' WHEN o_orderkey % 103 = 0 OR o_orderdate IS NULL THEN 'no invoicedate' END AS reject_reason,\n"
+        "  count(*) AS records FROM orders GROUP BY ALL\n"
+        "UNION ALL SELECT 'lots', reject_reason, count(*) FROM faulty GROUP BY ALL",
+        "extract_accepted_value": inv + ", " + FAULTY_LOTS + "\n"
+        "SELECT category, count(*) AS lots, count(kept_value) AS valued, round(sum(kept_value) / 100000.0, 2) AS value_lakh\n"
+        "FROM faulty WHERE reject_reason IS NULL GROUP BY category",
+        "sales_history": _with(CLOCK_WINDOWS, HDR, LINES, ECON)
+        + _history(None, "", {"achieved_lakh": "e.sale_value", "margin_lakh": "e.margin", "purchase_lakh": "e.purchase_gross"}, False),
+        "category_history": _with(CLOCK_WINDOWS, HDR, LINES, ECON) + _history("category", "category", {"achieved_lakh": "e.sale_value"}, True),
+        "category_margin_history": _with(CLOCK_WINDOWS, HDR, LINES, ECON) + ", " + _running_history(),
+        "store_target_history": _with(CLOCK_WINDOWS, HDR, TARGETS)
+        + _history('"Store"', "store", {"target_lakh": 'e."Daily_Target"'}, False, "targets", '"Date"'),
+        "customers_summary": _with(HDR)
+        + f"SELECT territory, false AS is_total, count(DISTINCT customer) AS customers FROM hdr WHERE {_kept('territory')} AND territory IS NOT NULL GROUP BY territory\n"
+        + f"UNION ALL SELECT NULL, true, count(DISTINCT customer) FROM hdr WHERE {_kept('territory')}",
         "extract_lots": "WITH " + LOTS.replace("o.o_orderdate AS invoicedate", _DATED_BY_LAYOUT)
         + "SELECT store, territory, category, status, rate, subqty, soldqty, expirydate, invoicedate FROM lots",
         "extract_lots_wide": _with(LOTS_WIDE)

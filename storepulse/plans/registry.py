@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from ..functions import economics as econ
 from ..functions.dates import UTC, ReportWindow, reporting_windows
+from ..functions.exact import exact_sum
 from ..operators import customers, inventory, lot_model, sales, windowed
-from ..sources import readers, schemas, tables
+from ..sources import readers, rejects, schemas, tables
 
 # --- fixed values of the fixture run -------------------------------------------
 FIXTURE_AS_OF = dt.datetime(2001, 8, 1, 12, 0, 0, tzinfo=UTC)
@@ -73,17 +74,46 @@ def sale_line_economics(spark: SparkSession, sf: str) -> DataFrame:
 
 def extract_sale_lines(spark, sf):
     """Nested sales documents, exploded into lines."""
-    lines = readers.sale_lines_frame(tables.invoices(spark, sf))
+    lines = readers.sale_lines_frame(tables.invoices(spark, sf), "invoiceno")
     return present(lines.withColumn("invoice_id", F.col("invoice_id").cast("long")))
 
 
 def extract_invoices(spark, sf):
-    """Invoice attributes from the nested sales documents, one row per invoice."""
-    docs = readers.complete(tables.invoices(spark, sf), ("_id", "invoicedate"), "sales")
-    rows = readers.invoice_frame(docs).distinct()
+    """Invoice attributes from the headers of the sales documents, one row per invoice."""
+    docs = readers.complete(tables.invoices(spark, sf, lines=False), readers.IDENTITY["sales"], "sales")
+    rows = readers.invoice_frame(docs.withColumn("_id", F.col("invoiceno")))
     return present(rows.withColumn("invoice_id", F.col("invoice_id").cast("long")))
 
 
+def extract_documents(spark, sf):
+    """Per invoice: its documents, their lines and its most lines in one, and the lines after they are put together again."""
+    docs = tables.invoices(spark, sf)
+    whole = readers.reassembled(docs).select(F.col("invoiceno").alias("no"), F.size("product").alias("reassembled_lines"))
+    parts = docs.groupBy("invoiceno").agg(
+        F.countDistinct("_id").alias("documents"), F.sum(F.size("product")).alias("lines"), F.max(F.size("product")).alias("most_lines")
+    )
+    return parts.join(whole, F.col("invoiceno") == F.col("no")).select("invoiceno", "documents", "lines", "most_lines", "reassembled_lines")
+
+
+def extract_rejects(spark, sf):
+    """Records of extracts with planted faults by reason (null: accepted); a null rate is no fault."""
+    sales_docs = readers.identified(tables.faulty_invoices(spark, sf), readers.IDENTITY["sales"], "sales")
+    found = [
+        rejects.counts(df, readers.reject_rules(name)).select(F.lit(name).alias("extract"), rejects.REASON, "records")
+        for name, df in (("sales", sales_docs), ("lots", tables.faulty_lots(spark, sf)))
+    ]
+    return found[0].unionByName(found[1])
+
+
+def extract_accepted_value(spark, sf):
+    """Stock value by category of the accepted lots of an extract with planted faults; null rates are skipped."""
+    lots = rejects.accepted(tables.faulty_lots(spark, sf), readers.reject_rules("lots"))
+    frame = inventory.with_lot_values(readers.lots_frame(lots, strict=False), FIXTURE_AS_OF)
+    return frame.groupBy("category").agg(
+        F.count(F.lit(1)).alias("lots"), F.count("value").alias("valued"), econ.to_lakh(exact_sum(F.col("value"))).alias("value_lakh")
+    )
+
+
 def extract_targets(spark, sf):
     """Targets from response envelopes held as text."""
     texts = tables.target_envelopes(spark, sf, "targets")
@@ -181,6 +211,40 @@ def territory_target(spark, sf):
     return sales.target_by(tables.targets(spark, sf), fixture_windows(), "territory")
 
 
+# --- several report clocks in one pass ---------------------------------------------------
+
+#: Weekly reports that the history queries give, the fixture's clock the last.
+HISTORY_WEEKS = 8
+
+
+def history_clocks(weeks: int = HISTORY_WEEKS) -> list[tuple[dt.datetime, list[ReportWindow]]]:
+    clocks = [FIXTURE_AS_OF - dt.timedelta(weeks=k) for k in reversed(range(weeks))]
+    return [(c, reporting_windows(c, FIXTURE_END_POLICY)) for c in clocks]
+
+
+def sales_history(spark, sf):
+    """Achieved, margin and purchase of the windows of several weekly reports, from one scan."""
+    lines, clocks = _lines(spark, sf, ["achieved", "margin", "purchase"]), history_clocks()
+    return present(sales.history(lines, clocks, ["achieved", "margin", "purchase"]))
+
+
+def category_history(spark, sf):
+    """Achieved by category for several weekly reports, from one scan."""
+    lines = _lines(spark, sf, ["achieved"], "category", True)
+    return present(sales.history(lines, history_clocks(), ["achieved"], "category", FIXTURE_EXCLUDED))
+
+
+def category_margin_history(spark, sf):
+    """Running margin by category for several weekly reports, from one scan."""
+    lines = _lines(spark, sf, ["margin"], "category", True)
+    return present(sales.history(lines, history_clocks(), ["margin"], "category", FIXTURE_EXCLUDED, running=True))
+
+
+def store_target_history(spark, sf):
+    """Targets by store for several weekly reports, from one scan."""
+    return present(sales.target_history(tables.targets(spark, sf), history_clocks(), "store"))
+
+
 # --- B14-B17: inventory --------------------------------------------------------------
 
 def lot_values(spark, sf):
@@ -236,6 +300,10 @@ def customers_total(spark, sf):
     return customers.customers_total(tables.invoice_rows(spark, sf), FIXTURE_EXCLUDED)
 
 
+def customers_summary(spark, sf):
+    return customers.customers_summary(tables.invoice_rows(spark, sf), FIXTURE_EXCLUDED)
+
+
 # --- B20: BI lot model -------------------------------------------------------------
 
 def _model(spark, sf, columns=schemas.LOT_WIDE_COLUMNS):
@@ -290,6 +358,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_line_economics": sale_line_economics,
     "extract_sale_lines": extract_sale_lines,
     "extract_invoices": extract_invoices,
+    "extract_documents": extract_documents,
+    "extract_rejects": extract_rejects,
+    "extract_accepted_value": extract_accepted_value,
     "extract_targets": extract_targets,
     "extract_lots": extract_lots,
     "extract_lots_wide": extract_lots_wide,
@@ -309,6 +380,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "territory_margin": territory_margin,
     "territory_achieved": territory_achieved,
     "territory_target": territory_target,
+    "sales_history": sales_history,
+    "category_history": category_history,
+    "category_margin_history": category_margin_history,
+    "store_target_history": store_target_history,
     "lot_values": lot_values,
     "inventory_age_by_category": inventory_age_by_category,
     "inventory_age_by_territory": inventory_age_by_territory,
@@ -317,6 +392,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expiry_grid_by_category": expiry_grid_by_category,
     "customers_by_territory": customers_by_territory,
     "customers_total": customers_total,
+    "customers_summary": customers_summary,
     "lot_model": lot_model_table,
     "lot_expiry_bands": lot_expiry_bands,
     "lot_weighted_age": lot_weighted_age,

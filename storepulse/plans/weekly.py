@@ -41,7 +41,7 @@ from ..functions.constants import EXCLUDED_TERRITORIES
 from ..functions.dates import as_utc, reporting_windows, window_span
 from ..operators import customers, inventory, lot_model, sales
 from ..sinks.writers import new_run, publish, write_report
-from ..sources import readers, tables
+from ..sources import readers, rejects, tables
 from .session import build_session, stage
 
 
@@ -90,9 +90,15 @@ def inputs_from_extracts(
     multiline: bool = False,
     results: dict[str, str] | None = None,
     invoices: DataFrame | None = None,
+    landing: str | None = None,
+    most_rejects: float = 0.01,
 ) -> Inputs:
     """Inputs from the landed extracts.
 
+    With ``landing`` each extract is first written there once, rejects apart
+    (:mod:`..sources.rejects`): a record without its key or date, or with a date that can't be read, is left
+    out and counted, up to ``most_rejects`` of an extract. Without it such a record stops the job.
+
     ``results`` names the list inside the response envelope, by extract
     (``sales``, ``targets``, ``lots``, ``lots_wide``), for those that come in one.
     An extract without any record is an error. A large sales extract is best
@@ -105,7 +111,10 @@ def inputs_from_extracts(
         "lots": (readers.read_lots, lots),
         "lots_wide": (readers.read_lots_wide, lots_wide),
     }
-    frames = {n: reader(spark, path, fmt, multiline, named.get(n)) for n, (reader, path) in read.items()}
+    frames = {n: reader(spark, path, fmt, multiline, named.get(n), whole=landing is None) for n, (reader, path) in read.items()}
+    if landing is not None:
+        run = f"{landing.rstrip('/')}/{uuid.uuid4().hex[:12]}"
+        frames = {n: rejects.land(df, readers.reject_rules(n), f"{run}/{n}", n, most_rejects).records for n, df in frames.items()}
     for name, df in frames.items():
         if df.isEmpty():
             raise readers.ExtractError(f"the {name} extract holds no record")

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,18 @@ from ..functions.dates import parse_timestamp
 from ..functions.economics import clean_double
 from . import schemas
 from .json_split import read_records
+from .rejects import missing
 
 FORMATS = ("json", "parquet")
 
+#: Keys and dates by which a record is known. Measures are none of them: a null measure is skipped by the sums.
+IDENTITY = {
+    "sales": ("_id", "invoicedate"),
+    "targets": ("Store", "Date"),
+    "lots": ("storeDetails.name", "productDetails.category.name"),
+    "lots_wide": ("_id",),
+}
+
 
 class ExtractError(ValueError):
     """The extract does not carry the fields a report needs."""
@@ -69,6 +78,16 @@ def complete(df: DataFrame, identity: Iterable[str], what: str) -> DataFrame:
     return df.filter(F.when(there, F.lit(True)).otherwise(error.cast("boolean")))
 
 
+def identified(df: DataFrame, identity: Iterable[str], what: str) -> DataFrame:
+    """``df``, whose reading fails at the first record that has none of its ``identity`` fields."""
+    paths = list(identity)
+    some = F.lit(False)
+    for p in paths:
+        some = some | F.col(p).isNotNull()
+    error = F.raise_error(F.lit(f"{what}: a record without any of {', '.join(paths)}; the extract failed or is no such extract"))
+    return df.filter(F.when(some, F.lit(True)).otherwise(error.cast("boolean")))
+
+
 def _envelope(schema: T.StructType, result: str) -> T.StructType:
     records = T.StructField(result, T.ArrayType(schema, True), True)
     return T.StructType([T.StructField("data", T.StructType([records]), True)])
@@ -96,11 +115,12 @@ def read_extract(
     multiline: bool = False,
     result: str | None = None,
     identity: Iterable[str] = (),
+    whole: bool = True,
 ) -> DataFrame:
     """Read one landed extract with a declared schema.
 
     ``result`` names the list inside a response envelope; ``identity`` the
-    fields that every record must have.
+    fields that every record must have (``whole``), or at least one of (else: the reject channel sees to the others).
     """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
@@ -112,11 +132,15 @@ def read_extract(
         reader = spark.read.schema(_envelope(schema, result) if result else schema)
         df = reader.format(fmt).option("mode", "FAILFAST").load(path)
         df = unwrapped(df, result) if result else df
-    return complete(df, identity, str(path)) if identity else df
+    if not identity:
+        return df
+    return complete(df, identity, str(path)) if whole else identified(df, identity, str(path))
 
 
-def read_sales(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
-    return read_extract(spark, path, schemas.SALES, fmt, multiline, result, ("_id", "invoicedate"))
+def read_sales(
+    spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None, whole: bool = True
+) -> DataFrame:
+    return read_extract(spark, path, schemas.SALES, fmt, multiline, result, IDENTITY["sales"], whole)
 
 
 def read_landed(
@@ -141,16 +165,32 @@ def read_landed(
     return df
 
 
-def read_targets(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
-    return read_extract(spark, path, schemas.TARGETS, fmt, multiline, result, ("Date", "Daily_Target"))
+def read_targets(
+    spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None, whole: bool = True
+) -> DataFrame:
+    return read_extract(spark, path, schemas.TARGETS, fmt, multiline, result, IDENTITY["targets"], whole)
 
 
-def read_lots(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
-    return read_extract(spark, path, schemas.LOTS, fmt, multiline, result, ("rate", "subqty"))
+def read_lots(
+    spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None, whole: bool = True
+) -> DataFrame:
+    return read_extract(spark, path, schemas.LOTS, fmt, multiline, result, IDENTITY["lots"], whole)
 
 
-def read_lots_wide(spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None) -> DataFrame:
-    return read_extract(spark, path, schemas.LOTS_WIDE, fmt, multiline, result, ("_id",))
+def read_lots_wide(
+    spark: SparkSession, path, fmt: str = "json", multiline: bool = False, result: str | None = None, whole: bool = True
+) -> DataFrame:
+    return read_extract(spark, path, schemas.LOTS_WIDE, fmt, multiline, result, IDENTITY["lots_wide"], whole)
+
+
+def reject_rules(name: str) -> dict[str, Column]:
+    """The rules by which records of an extract are rejected rather than fail the job."""
+    rules = missing(*IDENTITY[name])
+    if name == "lots":
+        text = F.col("invoice.invoicedate")
+        blank = F.coalesce(F.trim(text) == F.lit(""), F.lit(True))
+        rules["unreadable invoice.invoicedate"] = ~blank & parse_timestamp(text, strict=False).isNull()
+    return rules
 
 
 # --- nested -> flat -----------------------------------------------------------
@@ -171,9 +211,12 @@ _LINE_LEAVES = (
 )
 
 
-def sale_lines_frame(invoices: DataFrame) -> DataFrame:
+def sale_lines_frame(invoices: DataFrame, id_field: str = "_id") -> DataFrame:
     """One row per invoice line, carrying its own invoice's attributes.
 
+    ``id_field`` names the invoice: documents that hold a part of an invoice
+    each share its ``invoiceno``.
+
     ``arrays_zip`` of just the needed leaves before ``explode`` keeps the
     parquet read schema to those leaves (exploding whole ``product``
     elements would read every field). An invoice with an empty or null
@@ -181,7 +224,7 @@ def sale_lines_frame(invoices: DataFrame) -> DataFrame:
     """
     zipped = F.arrays_zip(*[F.col(f"product.{p}").alias(a) for p, a in _LINE_LEAVES])
     exploded = invoices.select(
-        F.col("_id").alias("invoice_id"),
+        F.col(id_field).alias("invoice_id"),
         F.col("invoicedate"),
         F.col("storeDetails.name").alias("store"),
         F.col("storeDetails.territory.name").alias("territory"),
@@ -213,6 +256,19 @@ def invoice_frame(invoices: DataFrame) -> DataFrame:
     )
 
 
+def reassembled(invoices: DataFrame) -> DataFrame:
+    """One document for each ``invoiceno`` of documents that hold parts of invoices (``_id``: ``<invoiceno>-<group>-<run>``).
+
+    Products keep their order. An invoice's parts meet in one row, so this is for
+    what is bounded by an invoice; reports read the parts as they are.
+    """
+    part = F.transform(F.split(F.substring_index("_id", "-", -2), "-"), lambda n: n.cast("long"))
+    same = [c for c in invoices.columns if c not in ("_id", "invoiceno", "product")]
+    parts = F.sort_array(F.collect_list(F.struct(part.alias("part"), F.col("product"))))
+    whole = invoices.groupBy("invoiceno").agg(*[F.first(c).alias(c) for c in same], parts.alias("parts"))
+    return whole.select(F.col("invoiceno").alias("_id"), "invoiceno", *same, F.flatten("parts.product").alias("product"))
+
+
 def targets_frame(targets: DataFrame) -> DataFrame:
     return targets.select(
         F.col("Store"),
@@ -223,11 +279,15 @@ def targets_frame(targets: DataFrame) -> DataFrame:
     )
 
 
-def lots_frame(lots: DataFrame, timestamp_formats=None) -> DataFrame:
-    """Flat narrow lot frame; the invoice date text is parsed from mixed layouts."""
+def lots_frame(lots: DataFrame, timestamp_formats=None, strict: bool = True) -> DataFrame:
+    """Flat narrow lot frame; the invoice date text is parsed from mixed layouts.
+
+    ``strict=False`` for accepted records of the same plan: the planner may parse a
+    record's date before it drops the record, and a date that can't be read must not raise there.
+    """
     inv = F.col("invoice.invoicedate")
     parsed = inv if isinstance(lots.schema["invoice"].dataType["invoicedate"].dataType, T.TimestampType) \
-        else parse_timestamp(inv, timestamp_formats)
+        else parse_timestamp(inv, timestamp_formats, strict=strict)
     return lots.select(
         F.col("storeDetails.name").alias("store"),
         F.col("storeDetails.territory.name").alias("territory"),

@@ -25,6 +25,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_sum
 from . import schemas
 
 TABLES = (
@@ -163,15 +164,36 @@ def order_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("invoicedate", "lines")
 
 
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Lines that one document of an invoice holds at most.
+LINES_PER_DOCUMENT = 4
+#: Lines of an order that are numbered together; an order of more is dealt to several groups.
+LINES_PER_GROUP = 64
+
+
+def _numbered_lines(li: DataFrame) -> DataFrame:
+    """Lines with the group and the document (``run``) of their order that they belong to.
+
+    An order of any number of lines is dealt to groups of about ``LINES_PER_GROUP`` by a
+    hash of the line, so that no task numbers or collects a whole order.
+    """
+    counted = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LINES_PER_GROUP)
+    large = counted.select(F.col("l_orderkey").alias("large_key"), F.ceil(F.col("n") / LINES_PER_GROUP).alias("groups"))
+    dealt = li.join(large, li.l_orderkey == large.large_key, "left").drop("large_key")
+    dealt = dealt.withColumn("line_group", F.coalesce(F.pmod(F.xxhash64(*li.columns), F.col("groups")), F.lit(0))).drop("groups")
+    order = Window.partitionBy("l_orderkey", "line_group").orderBy("l_linenumber", F.xxhash64(*li.columns))
+    return dealt.withColumn("run", F.floor((F.row_number().over(order) - 1) / LINES_PER_DOCUMENT))
+
+
+def invoices(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
     """Documents shaped like the sales extract (``schemas.SALES`` subset).
 
-    Every line is a document of its own, with a one-element ``product`` array
-    under its order's ``_id``, at any size; orders without lines have an empty
-    array. Nothing is grouped, so no array holds an unbounded group.
-    Invoice-level counts belong on ``invoice_rows``.
+    A document holds ``LINES_PER_DOCUMENT`` lines of an order at most, by line number,
+    so its ``product`` array is bounded however many lines the order has. Its ``_id`` is
+    ``<order>-<group>-<run>``, unique; ``invoiceno`` is the order's. Orders without lines have one document with an empty array.
+    ``lines=False`` gives the headers alone, a document for each order,
+    from which invoices are read without a pass over the lines.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = _numbered_lines(table(spark, sf_dir, "lineitem"))
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     element = F.struct(
@@ -210,20 +232,21 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(_nation(spark, sf_dir, "c"), F.col("c_nationkey") == F.col("c_n_key"), "left")
         .join(_region(spark, sf_dir, "c"), "c_r_key", "left")
     )
-    with_lines = (
-        li.join(header, li.l_orderkey == header.o_orderkey, "inner")
-        .join(part, li.l_partkey == part.p_partkey, "left")
-        .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
-        .select(*header.columns, F.array(element).alias("product"))
-    )
-    line_orders = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct()
+    if lines:
+        parts = (
+            li.join(part, li.l_partkey == part.p_partkey, "left")
+            .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
+            .select("l_orderkey", "line_group", "run", F.struct("l_linenumber", element.alias("e")).alias("line"))
+            .groupBy("l_orderkey", "line_group", "run")
+            .agg(F.sort_array(F.collect_list("line")).alias("some"))
+            .select("l_orderkey", "line_group", "run", F.col("some.e").alias("product"))
+        )
+        docs = header.join(parts, header.o_orderkey == parts.l_orderkey, "left")
+    else:
+        docs = header.select("*", F.lit(0).alias("line_group"), F.lit(0).alias("run"), F.lit(None).cast(f"array<{schemas.PRODUCT.simpleString()}>").alias("product"))
     empty = F.array().cast(f"array<{schemas.PRODUCT.simpleString()}>")
-    without_lines = header.join(line_orders, header.o_orderkey == line_orders.k, "left_anti").select(
-        "*", empty.alias("product")
-    )
-    docs = with_lines.unionByName(without_lines)
     return docs.select(
-        F.col("o_orderkey").cast("string").alias("_id"),
+        F.concat_ws("-", *[F.coalesce(F.col(c), F.lit(0)).cast("string") for c in ("o_orderkey", "line_group", "run")]).alias("_id"),
         F.struct(
             F.col("c_name").alias("name"),
             F.col("c_custkey").cast("string").alias("customer_uid"),
@@ -237,7 +260,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("storeDetails"),
         F.col("o_orderkey").cast("string").alias("invoiceno"),
         _ts("o_orderdate").alias("invoicedate"),
-        F.col("product"),
+        F.coalesce("product", empty).alias("product"),
         F.col("o_totalprice").alias("grosstotal"),
     )
 
@@ -267,7 +290,7 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         _LINE_EXPR["store"]().alias("Store"),
         F.col("c_n_name").alias("TM"),
         F.col("p_type").alias("Category"),
-    ).agg((F.sum("l_extendedprice") * F.lit(1.1)).alias("Daily_Target"))
+    ).agg((exact_sum(F.col("l_extendedprice")) * F.lit(1.1)).alias("Daily_Target"))
     month = Window.partitionBy("Store", "TM", "Category", F.year("Date"), F.month("Date"))
     return daily.select(
         "Store",
@@ -450,8 +473,33 @@ def lot_documents_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_envelopes(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
-    """Targets as response text, one ``{"data": {result: [record]}}`` for each record."""
+    """Targets as response text, one ``{"data": {result: [record, ...]}}`` for each store and month.
+
+    A response is bounded by the month's days and the categories. Every thirteenth day's
+    ``Daily_Target`` is null.
+    """
     rows = targets(spark, sf_dir).select("Store", "TM", "Category", "Month", "Year", "Date", "Daily_Target")
+    rows = rows.withColumn("Daily_Target", F.when(F.dayofmonth("Date") != 13, F.col("Daily_Target")))
     record = F.struct(*[F.col(c) for c in rows.columns])
-    body = F.struct(F.struct(F.array(record).alias(result)).alias("data"))
-    return rows.select(F.to_json(body, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"}).alias("value"))
+    months = rows.groupBy("Store", "Year", "Month").agg(F.collect_list(record).alias(result))
+    body = F.struct(F.struct(F.col(result)).alias("data"))
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "ignoreNullFields": "false"}
+    return months.select(F.to_json(body, options).alias("value"))
+
+
+# --- extracts with planted faults ----------------------------------------------
+
+def faulty_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice headers, some without their ``_id`` (orders divisible by 101) or else their date (by 103)."""
+    docs, key = invoices(spark, sf_dir, lines=False), F.col("invoiceno").cast("long")
+    return docs.withColumns({"_id": F.when(key % 101 != 0, F.col("_id")), "invoicedate": F.when((key % 103 != 0) | (key % 101 == 0), F.col("invoicedate"))})
+
+
+def faulty_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow lots, those of 7 or 11 pieces with a date that is none, those of 13 without a rate."""
+    docs = lot_documents(spark, sf_dir)
+    text = F.when(F.col("qty").isin(7.0, 11.0), F.lit("not known")).otherwise(F.col("invoice.invoicedate"))
+    return docs.withColumns({
+        "invoice": F.struct(text.alias("invoicedate"), F.col("invoice.invoiceno").alias("invoiceno")),
+        "rate": F.when(F.col("qty") != 13.0, F.col("rate")),
+    })

@@ -91,3 +91,25 @@ def test_percent_text(spark):
     got = [r[0] for r in df.select(as_percent_text(F.col("v"))).collect()]
     want = [None if v is None else f"{float(f'{v:.2f}') if v != 0.005 else 0.01}%" for v in values]
     assert got == want
+
+
+def test_layout_by_shape_equals_trying_every_layout(spark):
+    import random
+
+    rng, texts = random.Random(6), ["2024", "2024-08", "2024-8-2", "31/31/2024", "00/12/2024", "2/30/2024", "5/1", "12-Aug-2024", "1 Foo 2024",
+                                    "Aug 5, 2024 10:11:12", "2024-08-12T10:20", "2024-02-30", "12 Aug 2024 25:00:00", "12/Aug/2024", "x"]
+    layouts = ["%Y-%m-%dT%H:%M:%S.123Z", "%Y-%m-%dT%H:%M:%S+05:30", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y",
+               "%d/%m/%Y %H:%M:%S", "%m/%d/%Y %H:%M:%S", "%d %b %Y", "%d %b %Y %H:%M:%S", "%b %d, %Y", "%d-%b-%Y"]
+    for _ in range(400):
+        t = dt.datetime(1990, 1, 1) + dt.timedelta(seconds=rng.randint(0, 10**9))
+        texts.append(t.strftime(rng.choice(layouts)))
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for day_first in (False, True):
+        slashed = ["d/M/yyyy", "M/d/yyyy"] if day_first else ["M/d/yyyy", "d/M/yyyy"]
+        each = ["yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "d MMM yyyy HH:mm:ss", "d MMM yyyy",
+                "MMM d, yyyy", "d-MMM-yyyy", *[f"{s} HH:mm:ss" for s in slashed], *slashed]
+        tried = F.coalesce(F.try_to_timestamp("s"), *[F.try_to_timestamp("s", F.lit(f)) for f in each])
+        rows = df.select("s", parse_timestamp(F.col("s"), day_first=day_first, strict=False).alias("a"), tried.alias("b")).collect()
+        # The shape reads a few layouts more (a time behind a month's name); it never reads one differently.
+        assert all(r.a == r.b or r.b is None for r in rows), [r for r in rows if r.a != r.b]
+        assert sum(r.a is not None for r in rows) >= 400
