@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storepulse.llm.common import staged
+from storepulse.llm.shingles import mix
 
 #: Production parameters.
 LEAST = 10
@@ -57,7 +58,7 @@ _MARKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = bytes(0x0A if b in _MARKS else 0x20 if b == 0x09 else b for b in range(256))
 
 PART = "lang string, part string, own int, n long"
-GRAM = "lang string, gram string, k int, n long"
+GRAM = "lang string, gram string, n long"
 
 
 # ---- parse ---------------------------------------------------------------------
@@ -149,10 +150,9 @@ class _Words:
         self.weight = rows.column("n").to_numpy()[row]
 
     def of(self, code: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(distinct codes, their total weight) over the places ``at`` that this part counts."""
-        at = at[self.counts[at]]
-        order = np.argsort(code[at], kind="stable")
-        ranked = code[at][order]
+        """(distinct codes, their total weight), where ``code`` has those of the places ``at``."""
+        order = np.argsort(code, kind="stable")
+        ranked = code[order]
         if not len(ranked):
             return ranked, ranked
         first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
@@ -175,10 +175,8 @@ class _Words:
         return self.langs.take(pa.array(codes)), pc.binary_join_element_wise(*reversed(words), " ")
 
 
-def _rows(lang: pa.Array, gram: pa.Array, k: int, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    whole = pa.RecordBatch.from_arrays(
-        [lang, gram, pa.array(np.full(len(n), k, np.int32)), pa.array(n)], names=["lang", "gram", "k", "n"]
-    )
+def _rows(lang: pa.Array, gram: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays([lang, gram, pa.array(n)], names=["lang", "gram", "n"])
     for i in range(0, len(n), _ROWS):
         yield whole.slice(i, _ROWS)
 
@@ -198,42 +196,60 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
 def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and pairs of the parts."""
     for t in _tables(batches):
-        for k, code, at in ((1, t.single(), np.arange(len(t.word))), (2, t.pair(), np.flatnonzero(t.left >= 2))):
-            codes, n = t.of(code, at)
-            yield from _rows(*t.grams(codes, k), k, n)
+        for k, code in ((1, t.single()), (2, t.pair())):
+            at = np.flatnonzero(t.counts & (t.left >= k))
+            codes, n = t.of(code[at], at)
+            yield from _rows(*t.grams(codes, k), n)
 
 
-def _slot(lang: str, gram: str, bits: int) -> int:
-    return zlib.crc32(f"{lang} {gram}".encode("utf-8", "surrogatepass")) >> (32 - bits)
+def _codes(texts: pa.Array) -> np.ndarray:
+    """A hash of each text that every task computes alike."""
+    return mix(np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts.to_pylist()], np.uint64))
+
+
+def _slots(lang: np.ndarray, first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """The filter's slots of pairs, from the hashes of their languages and words."""
+    return (mix(mix(lang + first) + second) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _triples(frequent, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value
         for t in _tables(batches):
-            at = np.flatnonzero(t.left >= 2)
+            word, lang = _codes(t.words)[t.word], _codes(t.langs)[t.lang]
+            slots = _slots(lang[:-1], word[:-1], word[1:], bits)
+            passed = np.append((known[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1, False)
+            at = np.flatnonzero(t.counts & (t.left >= 3) & passed & np.append(passed[1:], False))
             codes, which = np.unique(t.pair()[at], return_inverse=True)
-            slots = [_slot(la, g, bits) for la, g in zip(*(x.to_pylist() for x in t.grams(codes, 2)), strict=True)]
-            slots = np.array(slots, np.int64)
-            passed = (known[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
-            pair = np.full(len(t.word), -1, np.int64)
-            pair[at] = np.where(passed[which], which, -1) if len(at) else which
-            at = np.flatnonzero((t.left >= 3) & (pair >= 0) & (np.append(pair[1:], -1) >= 0))
             v = len(t.words)
-            found, n = t.of(pair * v + np.append(t.word[2:], [0, 0])[: len(pair)], at)
+            found, n = t.of(which * v + t.word[at + 2], at)
             lang, two = t.grams(codes[found // v], 2)
-            yield from _rows(lang, pc.binary_join_element_wise(two, t.words.take(pa.array(found % v)), " "), 3, n)
+            yield from _rows(lang, pc.binary_join_element_wise(two, t.words.take(pa.array(found % v)), " "), n)
+
+    return run
+
+
+def _marks(bits: int):
+    """Words of the filter (place, mask) that pairs set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = _codes(pc.list_flatten(pc.split_pattern(batch.column(1), " "))).reshape(-1, 2)
+            slots = np.unique(_slots(_codes(batch.column(0)), word[:, 0], word[:, 1], bits))
+            first = np.flatnonzero(np.concatenate(([True], slots[1:] >> 6 != slots[:-1] >> 6)))
+            masks = np.bitwise_or.reduceat(np.uint64(1) << (slots & 63).astype(np.uint64), first)
+            yield pa.RecordBatch.from_arrays([pa.array(slots[first] >> 6), pa.array(masks.view(np.int64))], names=["word", "mask"])
 
     return run
 
 
 def _filter(pairs: DataFrame) -> tuple[np.ndarray, int]:
     """(bits, their binary logarithm): the filter of these pairs, at most 2**MAX_FILTER_BITS bits."""
-    n = pairs.count()
-    bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, (16 * n).bit_length()))
-    slot = F.shiftright(F.crc32(F.concat_ws(" ", "lang", "gram")), 32 - bits)
-    mask = F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))")
-    words = pairs.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(mask.alias("mask")).toArrow()
+    bits = min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, (16 * pairs.count()).bit_length()))
+    marks = pairs.select("lang", "gram").mapInArrow(_marks(bits), "word long, mask long")
+    words = marks.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()  # 2**bits / 64 rows at most
     found = np.zeros((1 << bits) // 64, np.int64)
     found[words.column("word").to_numpy()] = words.column("mask").to_numpy()
     return found.view(np.uint8), bits
@@ -245,7 +261,8 @@ def counts(docs: DataFrame, least: int = LEAST, trigger: int = TRIGGER) -> tuple
     parsed = staged(dictionary(docs, trigger), "phrase-parts")
 
     def total(grams: DataFrame) -> DataFrame:
-        return grams.groupBy("lang", "gram", "k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        found = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        return found.select("lang", "gram", F.size(F.split("gram", " ")).alias("k"), "n")
 
     words = parsed.groupBy("lang").agg(F.sum(F.col("own") * F.col("n")).alias("n"))
     short = staged(total(parsed.mapInArrow(_short, GRAM)), "phrase-short")
