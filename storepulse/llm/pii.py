@@ -20,9 +20,10 @@ same entity (coreference), two entities of a form never share one
 
 The permutation is ``P^-1(P(x) + 1)`` for a Feistel network ``P`` keyed with the
 secret, the type and the form. ``surrogates`` first checks the corpus for
-collisions (two entities of a type with one surrogate, which a 64-bit
-digest or a change of the forms could bring) and uses the next tweak of the key until there
-are none.
+collisions (two entities of a type with one surrogate, by 128-bit digests) and uses the
+next tweak of the key if there are any; collisions under ``TWEAKS`` keys are an error that
+names their types. Spellings of one address (``01.2.3.4``, ``1.2.3.4``) are one entity.
+Text without a character that a surrogate could change (``________`` for a password) is none.
 
 Null text stays null and has no entities; empty text stays empty. Text outside
 entities is unchanged. Repeated rows get the same result. Extra columns
@@ -41,6 +42,8 @@ from pyspark.sql import functions as F
 
 #: Production parameters. The key is a stand-in: pass a secret one.
 KEY = "storepulse-surrogates"
+#: Tweaks of the key that are tried.
+TWEAKS = 4
 
 # ---- detection: fixed patterns ----------------------------------------------------
 
@@ -107,7 +110,7 @@ def entities(text: str | None) -> list[tuple[int, int, str]]:
             found.append((*m.span(m.lastgroup), "name"))
     out, at = [], 0
     for start, end, kind in sorted(found):
-        if start >= at:
+        if start >= at and any(c in _CLASS_OF for c in text[start:end].lower()):
             out.append((start, end, kind))
             at = end
     return out
@@ -284,35 +287,40 @@ def tweaked(key: str, tweak: int) -> bytes:
     return hashlib.blake2b(f"{tweak}:{key}".encode(), digest_size=32).digest()
 
 
-def _digest(*parts: str) -> int:
-    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode(), digest_size=8).digest(), "big", signed=True)
+def canonical(kind: str, entity: str) -> str:
+    """The entity that a mention is one of."""
+    return ".".join(str(int(p)) for p in entity.split(".")) if kind == "ip" else entity.lower()
+
+
+def _digest(*parts: str) -> bytes:
+    return hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def _pairs(key: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = {
-                (kind, _digest(kind, entity.lower()), _digest(kind, new.lower()))
+                (kind, _digest(kind, canonical(kind, entity)), _digest(kind, canonical(kind, new)))
                 for text in batch.column(0).to_pylist()
                 if text
                 for kind, entity, new in replaced(text, key)[1]
             }
             kinds, was, now = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds, pa.string()), pa.array(was, pa.int64()), pa.array(now, pa.int64())],
+                [pa.array(kinds, pa.string()), pa.array(was, pa.binary()), pa.array(now, pa.binary())],
                 names=["kind", "entity", "surrogate"],
             )
 
     return run
 
 
-def collisions(docs: DataFrame, key: bytes) -> int:
-    """Number of surrogates in the corpus that stand for more than one entity, or entities that kept their value."""
-    pairs = docs.select("text").mapInArrow(_pairs(key), "kind string, entity long, surrogate long")
+def collisions(docs: DataFrame, key: bytes) -> dict[str, int]:
+    """By type, the surrogates in the corpus that stand for more than one entity or for themselves."""
+    pairs = docs.select("text").mapInArrow(_pairs(key), "kind string, entity binary, surrogate binary")
     by_surrogate = pairs.groupBy("kind", "surrogate").agg(
         F.min("entity").alias("lo"), F.max("entity").alias("hi"), F.bool_or(F.col("entity") == F.col("surrogate")).alias("kept")
     )
-    return by_surrogate.filter("lo < hi or kept").count()
+    return {r["kind"]: r["n"] for r in by_surrogate.filter("lo < hi or kept").groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a type
 
 
 def _replace(key: bytes):
@@ -331,9 +339,12 @@ def _replace(key: bytes):
 
 def surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with entities in ``text`` replaced, and ``n_entities`` (mentions replaced)."""
-    tweak = 0
-    while collisions(docs, tweaked(key, tweak)):
-        tweak += 1
+    for tweak in range(TWEAKS):
+        found = collisions(docs, tweaked(key, tweak))
+        if not found:
+            break
+    else:
+        raise ValueError(f"surrogates collide under {TWEAKS} tweaks of the key, by type: {found}")
     rows = docs.drop(*[c for c in docs.columns if c.lower() == "n_entities"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(_replace(tweaked(key, tweak)), f"{schema}, n_entities long")

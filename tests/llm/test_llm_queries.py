@@ -88,3 +88,16 @@ def test_quality_agrees_with_labels(spark):
     out = queries.op1_weak_label_quality(spark, SF01).join(labels, "doc_id").collect()
     assert sum(r.keep == (r.quality == 1) for r in out) / len(out) > 0.97
     assert sum(not r.keep for r in out if r.quality == 1) <= 0.01 * len(out)
+
+
+def test_sql_and_join_agree_on_every_kind_of_white_space(spark):
+    from storepulse.llm import ngram_join
+
+    base = prose(31, 60).split()
+    rows = [(i, sep.join(base[: 60 - (i > 4)])) for i, sep in enumerate([" ", "\r\n", "\x0b", "\x0c", "\r", "\t", " \r\n "])]
+    docs = documents(spark, [*rows, (50, prose(32, 60)), (51, None), (52, "\r\n")])
+    c = duckdb.connect()
+    c.register("documents", docs.toPandas())
+    got = sorted(map(tuple, ngram_join.ngram_join(docs).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == sorted(c.sql(oracle.SQL["op10_ngram_join"]).fetchall())
+    assert [g[2] for g in got[:7]] == [0] * 7

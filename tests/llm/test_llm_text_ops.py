@@ -217,13 +217,38 @@ def test_pii_table(spark):
         got.setdefault(r.doc_id, []).append((r.text, r.n_entities, r.score))
     assert got[1] == [(None, 0, "own score")] and got[2][0][0] == "" and got[5][0][0] == prose(1, 60_000)
     assert got[60][0][1] == 2 and got[61][0] == got[61][1] and got[61][0][0] in got[60][0][0]
-    assert pii.collisions(documents(spark, rows), KEY) == 0
+    assert pii.collisions(documents(spark, rows), KEY) == {}
     assert pii.surrogates(documents(spark, [])).collect() == []
 
 
 def test_collisions_are_found(spark, monkeypatch):
     monkeypatch.setattr(pii, "surrogate", lambda kind, entity, key: "1.1.1.1")
-    assert pii.collisions(documents(spark, [(1, "8.8.8.8 9.9.9.9")]), KEY) == 1
+    assert pii.collisions(documents(spark, [(1, "8.8.8.8 9.9.9.9")]), KEY) == {"ip": 1}
+    with pytest.raises(ValueError, match="collide under"):
+        pii.surrogates(documents(spark, [(1, "8.8.8.8 9.9.9.9")]))
+
+
+def test_pii_ends_on_text_that_no_surrogate_changes(spark):
+    rows = [(1, "password: ________"), (2, "token=-------- and secret: __--__--__"), (3, "from 01.2.3.4 to 1.2.3.4"), (4, "password: hunter2hunter2")]
+    out = {r.doc_id: (r.text, r.n_entities) for r in pii.surrogates(documents(spark, rows)).collect()}
+    assert out[1] == (rows[0][1], 0) and out[2] == (rows[1][1], 0)
+    made = re.findall(r"[\d.]{7,}", out[3][0])
+    assert len(made) == 2 and len(set(made)) == 1 and made[0] != "1.2.3.4"
+    assert out[4][1] == 1 and "hunter2" not in out[4][0]
+
+
+def test_pii_distinct_over_a_table_by_brute_force(spark):
+    import os
+
+    from conftest import SF01
+
+    docs = spark.read.parquet(os.path.join(SF01, "documents.parquet")).select("doc_id", "text")
+    known, by = {}, {}
+    for r in docs.collect():
+        for kind, entity, new in pii.replaced(r.text or "", pii.tweaked(pii.KEY, 0))[1]:
+            was, now = pii.canonical(kind, entity), pii.canonical(kind, new)
+            assert was != now and known.setdefault((kind, was), now) == now and by.setdefault((kind, now), was) == was
+    assert len(known) > 50 and pii.collisions(docs, pii.tweaked(pii.KEY, 0)) == {}
 
 
 # ---- quality ---------------------------------------------------------------------
