@@ -8,8 +8,9 @@ continuation counts ask. Every order has one absolute discount from its counts
 of ones and twos.
 
 For scoring, the probabilities of all languages stand in matrices beside one sorted
-array of gram hashes for each order. A hash has ``HASH_BITS`` bits, which bounds
-the arrays, and so the broadcast, whatever the corpus; grams with the same hash share a row.
+array of gram hashes for each order. Spark folds the grams to hashes of at most ``HASH_BITS`` bits,
+fewer where the model would have over ``MAX_CELLS`` cells, and only the folded table is fetched, so the
+driver and the broadcast are bounded whatever the corpus; grams with the same hash add up.
 
 A document's language has the lowest cross-entropy (nats a character over
 the whole text). Calibration uses training documents that the counts left out: the
@@ -29,6 +30,7 @@ Equal cross-entropies fall to the first language in code-point order.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,6 +46,9 @@ from storepulse.llm.shingles import mix
 #: Production parameters.
 ORDER = 4  # four characters of 16 bits make one 64-bit gram
 HASH_BITS = 24
+#: Distinct hashes x languages that the driver fetches at most; fewer hash bits beyond, not below the least.
+MAX_CELLS = 1 << 24
+MIN_BITS = 16
 REJECT = 0.001
 MARGIN = 1.0
 UNKNOWN = "und"
@@ -286,13 +291,41 @@ def places(distinct: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return at
 
 
+def _fold_grams(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            j, size, kind, gram, value = batch.columns
+            hashes = fold(gram.to_numpy(zero_copy_only=False).astype(np.int64).view(_U), bits)
+            share = pa.array(np.asarray(kind.to_numpy(zero_copy_only=False) == "a", bool))
+            hashes = pa.array(np.ascontiguousarray(hashes).astype(_U).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [j.cast(pa.int32()), size.cast(pa.int32()), share, hashes, value],
+                names=["j", "size", "share", "hash", "value"],
+            )
+
+    return run
+
+
 def build_model(table: DataFrame, langs: list[str], bits: int = HASH_BITS) -> Model:
-    """Fetch the probability table; folding to ``2**bits`` hashes for each size bounds it."""
+    """Fetch the probability table, folded in Spark to as many hash bits (``bits`` at most) as keep it under ``MAX_CELLS``.
+
+    Values that fall on one hash add up as whole numbers, so the model is the same in any order of the rows.
+    """
     lang_no = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1 if langs else F.lit(0)
-    rows = table.select(lang_no.alias("j"), "size", "kind", "gram", "value").toArrow()
-    column = {c: rows.column(c).to_numpy() for c in ("j", "size", "gram", "value")}
-    is_share = np.asarray(rows.column("kind").to_numpy(zero_copy_only=False) == "a", bool)
-    hashes = fold(column["gram"].astype(np.int64).view(_U), bits)
+    table = staged(table.select(lang_no.alias("j"), "size", "kind", "gram", "value"), "langid-table")
+    while True:
+        folded = table.mapInArrow(_fold_grams(bits), "j int, size int, share boolean, hash long, value double")
+        keys = folded.select("size", "share", "hash").distinct().count()
+        if bits <= MIN_BITS or keys * max(1, len(langs)) <= MAX_CELLS:
+            break
+        bits -= max(1, math.ceil(math.log2(keys * max(1, len(langs)) / MAX_CELLS)))
+        bits = max(bits, MIN_BITS)
+    together = F.least(F.lit(1.0), F.sum(F.round(F.col("value") * 2.0**40).cast("long")) / 2.0**40)
+    value = F.when(F.count(F.lit(1)) == 1, F.max("value")).otherwise(together)
+    rows = folded.groupBy("j", "size", "share", "hash").agg(value.alias("value")).toArrow()
+    column = {c: rows.column(c).to_numpy() for c in ("j", "size", "value")}
+    is_share = np.asarray(rows.column("share").to_numpy(zero_copy_only=False), bool)
+    hashes = rows.column("hash").to_numpy().astype(np.int64).view(_U)
     made: list[dict] = []
     for kind, missing in ((is_share, 0.0), (~is_share, 1.0)):
         by_size = {}

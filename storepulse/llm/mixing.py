@@ -124,8 +124,11 @@ def mix(
 
 
 def _partly(seed: int) -> Column:
-    """Seeded draw by which a fractional repetition becomes a whole one in the corpus."""
-    return seeded_hash(seed + 1, "doc_id") * 1.0 / float(1 << 60) < F.col("part") / F.col("size")
+    """Seeded draw by which a fractional repetition becomes a whole one in the corpus.
+
+    By doc_id and text, so that documents that share an id, or have none, are drawn each for itself.
+    """
+    return (F.col("part") > 0) & (seeded_hash(seed + 1, "doc_id", "text") * 1.0 / float(1 << 60) < F.col("part") / F.col("size"))
 
 
 def repeated(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:

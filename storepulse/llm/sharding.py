@@ -33,9 +33,11 @@ SEED = 6
 BUCKET_BYTES = 32 << 20
 #: The start of each bucket (16 bytes) is broadcast up to this many buckets, joined beyond.
 BROADCAST_BUCKETS = 1 << 20
+#: Identical rows that one task writes out; more are dealt to several.
+COPIES = 1 << 16
 #: Bytes that a record counts besides its text.
 OVERHEAD = 8
-_OWN = {"_n", "_copy", "_hash", "_bucket", "_rows", "_row", "_slot", "_start", "_position"}
+_OWN = {"_n", "_part", "_copy", "_hash", "_bucket", "_rows", "_row", "_slot", "_start", "_position"}
 RESULT = ("position", "size", "law", "shard", "slot", "grown_shard")
 
 
@@ -54,7 +56,11 @@ def external_shuffle(
     columns = records.columns
     n_buckets = max(1, math.ceil(total_bytes / bucket_bytes))
     counted = records.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    scattered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    dealt = counted.filter(F.col("_n") > COPIES).withColumn("_part", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {COPIES}L"))))
+    dealt = dealt.repartition(F.col("_part"), F.xxhash64(*columns))
+    dealt = counted.filter(F.col("_n") <= COPIES).withColumn("_part", F.lit(0).cast("long")).unionByName(dealt)
+    copies = F.sequence(F.expr(f"_part * {COPIES}L + 1"), F.least("_n", F.expr(f"(_part + 1) * {COPIES}L")))
+    scattered = dealt.withColumn("_copy", F.explode(copies)).drop("_part")
     scattered = scattered.withColumn("_hash", F.xxhash64(F.lit(seed), *columns, "_copy"))
     scattered = scattered.withColumn("_bucket", F.pmod("_hash", F.lit(n_buckets)).cast("int"))
     # One row for each bucket, so this sort sees a row for every bucket_bytes of input.

@@ -1,6 +1,7 @@
 """Language ID: probabilities against a plain Kneser-Ney, predictions by held-out accuracy."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -129,3 +130,18 @@ def test_empty_and_unlabelled(spark):
     assert langid.identify(documents(spark, [])).collect() == []
     out = langid.identify(documents(spark, [(1, "some text", None), (2, "more", None)])).collect()
     assert {r.lang_pred for r in out} == {"und"} and all(r.rejected for r in out)
+
+
+def test_model_is_bounded_and_equal_under_other_partitionings(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_CELLS", 300)
+    monkeypatch.setattr(langid, "MIN_BITS", 4)
+    rng = random.Random(3)
+    counts = [(la, key("".join(rng.choice("abcdefgh") for _ in range(4))), rng.randint(1, 9)) for la in ("aa", "bb") for _ in range(400)]
+    frame = spark.createDataFrame(sorted(set(counts)), "lang string, gram long, n long").groupBy("lang", "gram").sum("n")
+    table = langid.kneser_ney(frame.toDF("lang", "gram", "n"))
+    one, two = (langid.build_model(table.repartition(n), ["aa", "bb"]) for n in (1, 13))
+    assert 4 <= one.bits < 24 and one.bits == two.bits
+    for a, b in ((one.shares, two.shares), (one.weights, two.weights)):
+        for size in a:
+            assert (a[size][0] == b[size][0]).all() and (a[size][1] == b[size][1]).all()
+    assert sum(v.size for part in (one.shares, one.weights) for _, v in part.values()) <= 300

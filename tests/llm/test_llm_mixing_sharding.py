@@ -91,6 +91,15 @@ def test_corpus_rows(spark):
         assert low <= counts[i] <= sum(1 if size == 0 else b for _, b, size in own)
 
 
+def test_documents_without_ids_are_drawn_each_for_itself(spark):
+    rows = [(None, f"{prose(i, 30)} end{i}", "en", "hot") for i in range(300)]
+    rows += [(i, prose(1000 + i, 30), "en", f"s{i % 2}") for i in range(600)]
+    df = documents(spark, rows)
+    target = next(r.target for r in mixing.mix(df).select("source", "target").distinct().collect() if r.source == "hot")
+    taken = sum(size_of(r.text) for r in mixing.repeated(df).filter("source = 'hot'").collect())
+    assert abs(taken - target) <= 0.05 * target
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
     out = mixing.mix(documents(spark, [(1, None, None, None), (2, "", "en", "a")])).collect()
@@ -139,6 +148,14 @@ def test_repeated_rows_spread_over_buckets(spark):
     check_law(out.collect(), 300)
 
 
+def test_equal_rows_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    rows = [(1, "the same", "en", "a")] * 50 + [(i, prose(i, 5), "en", "a") for i in range(2, 100)]
+    out = sharding.shard_rows(documents(spark, rows), ["doc_id"], shards=5, bucket_bytes=200).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    assert sorted(Counter(r.shard for r in out).values()) == [29, 29, 30, 30, 30]
+
+
 @pytest.mark.parametrize("hot", [None, 7])
 def test_texts_of_one_key_spread_over_buckets(spark, hot):
     rows = [(hot if i % 3 == 0 else 1000 + i, prose(i, 20)) for i in range(900)]
