@@ -25,9 +25,11 @@ link when the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
   The rest is verified on the whole sets.
 * Groups of near copies are not expanded into pairs: a signature of more than ``FEW``
   members first offers them only the one whose shared shingle stands first (an
-  unedited original has no shingles of its own before it). Then components
-  are joined, and only signatures whose members still lie in
-  different components offer the pairs across them.
+  unedited original has no shingles of its own before it), their pivot. Then components
+  are joined. Signatures of up to ``SMALL`` members that still lie in
+  different components offer the pairs across them. The members of larger
+  ones are compared by their differences from the pivot (``_across_large``), so
+  that a template with very many fillings offers only those that agree further.
 
 Null and word-less texts have an empty set and link with nothing, not even
 with each other. Repeated rows are equal sets; a doc_id that stands on
@@ -61,6 +63,8 @@ VERY = 64
 PER_SUBCLASS = 40
 #: Signatures of up to this many members offer all their pairs at once.
 FEW = 8
+#: Signatures of up to this many members offer all pairs of members that still lie in different components.
+SMALL = 32
 #: Statistics of tasks that are combined at a time.
 FAN_IN = 16
 
@@ -349,19 +353,28 @@ def _wanted(ids: DataFrame) -> np.ndarray:
     return np.zeros((1 << FILTER_BITS) // 8, np.uint8) if total is None else raw(total)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of (a, b) node pairs those whose whole sets link, as (u, v).
+def _tokens(involved: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, tokens) of the distinct nodes ``involved``.
 
     The texts are read again, where they lie: tasks take the sets of the
     documents that the filter lets through, and only those are shuffled.
     """
-    involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     known = staged(nodes.select("node", "digest", "doc_id").join(involved, "node"), "join-known")
     wanted = docs.sparkSession.sparkContext.broadcast(_wanted(known.select("doc_id")))
     sets = docs.select("doc_id", "text").mapInArrow(_sets(width, wanted), "digest binary, tokens array<long>")
     known = known.select("node", "digest")
     sets = staged(known.join(sets, "digest").dropDuplicates(["node"]).select("node", "tokens"), "join-sets")
     wanted.destroy()
+    return sets
+
+
+def _ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.col(a).alias("node")).unionByName(pairs.select(F.col(b).alias("node"))).distinct()
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of (a, b) node pairs those whose whole sets link, as (u, v)."""
+    sets = _tokens(_ends(pairs, "a", "b"), nodes, docs, width)
     first = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     second = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
@@ -373,6 +386,55 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, p
     )
 
 
+def _across_large(spokes: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) candidates of different components among the members of each pivot, given as (node, pivot).
+
+    Members x and y whose sets differ in at most H shingles have differences Dx and Dy from the
+    pivot that differ in at most H as well. They share a shingle there: were they disjoint, |Dx| + |Dy|
+    would be H at most, so one of them would link with the pivot, and sizes leave no room for the other one
+    not to. With the shingles of the differences in one order, the smaller difference shares one of
+    its first ``H / 2 + 1`` with the first ``H + 1`` of the larger. The order is by frequency among the pivot's members, so
+    what all of them have, or lack, stands last and offers no pairs.
+    """
+    member = F.col("node") == F.col("own")
+    placed = spokes.join(label, member, "left").select("node", "pivot", F.coalesce("label", "node").alias("l"))
+    lone = F.coalesce("label", "pivot").alias("lp")
+    placed = placed.join(label, F.col("pivot") == F.col("own"), "left").select("node", "pivot", "l", lone)
+    split = placed.filter("l <> lp").select("pivot").distinct()
+    placed = staged(placed.join(split, "pivot").select("node", "pivot", "l"), "join-members")
+
+    sets = _tokens(_ends(placed, "node", "pivot"), nodes, docs, width)
+    own = sets.select("node", "tokens")
+    centre = sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("centre"))
+    apart = F.concat(F.array_except("tokens", "centre"), F.array_except("centre", "tokens"))
+    differing = placed.join(own, "node").join(centre, "pivot").select("pivot", "node", "l", F.size("tokens").alias("n"), apart.alias("d"))
+    single = staged(differing.select("pivot", "node", F.explode("d").alias("token")), "join-differences")
+    shared = single.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    listed = single.join(shared, ["pivot", "token"]).groupBy("pivot", "node").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("df", "token"))), lambda s: s["token"]).alias("common")
+    )
+    sizes = differing.select("pivot", "node", "l", "n", F.size("d").alias("d"))
+    # Shingles that no other member's difference has stand first and offer nothing; places count them.
+    lists = staged(sizes.join(listed, ["pivot", "node"]), "join-lists")
+    most = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / F.lit(100 + percent)).cast("int")
+    alone = F.col("d") - F.size("common")
+
+    def first(length: Column, name: str) -> DataFrame:
+        taken = F.slice("common", 1, F.greatest(F.lit(0), length - alone))
+        at = lists.select("pivot", F.struct("node", "l", "n", "d", alone.alias("alone")).alias(name), F.posexplode(taken).alias("i", "token"))
+        return at.select("pivot", "token", F.col(name).withField("place", F.col(f"{name}.alone") + F.col("i")).alias(name))
+
+    x, y = F.col("x"), F.col("y")
+    need = _overlap(x["n"], y["n"], percent)
+    differ = x["n"] + y["n"] - 2 * need
+    room = 2 * F.least(x["d"] - x["place"], y["d"] - y["place"]) >= x["d"] + y["d"] - differ
+    reach = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent
+    order = F.struct(x["d"], x["node"]) < F.struct(y["d"], y["node"])
+    met = first(F.floor(most / 2).cast("int") + 1, "x").join(first(most + 1, "y"), ["pivot", "token"])
+    met = met.filter((x["l"] != y["l"]) & order & reach & room)
+    return met.select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")).distinct()
+
+
 def _links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between nodes, enough of them to connect every component."""
     entries = nodes.select("node", "n", F.explode(F.arrays_zip("sigs", "places")).alias("e"))
@@ -390,25 +452,28 @@ def _links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
 
     pair = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
     ordered = [F.least(*pair).alias("a"), F.greatest(*pair).alias("b")]
-    few, many = live.filter(F.col("k") <= FEW).select("sig", "x"), live.filter(F.col("k") > FEW).select("sig", "x")
+    few, many = live.filter(F.col("k") <= FEW).select("sig", "x"), live.filter(F.col("k") > FEW)
     each = few.join(few.withColumnRenamed("x", "y"), "sig").filter((F.col("x.node") < F.col("y.node")) & _in_reach("x", "y", percent))
     pivots = many.groupBy("sig").agg(F.min("x").alias("y"))
-    star = many.join(pivots, "sig").filter((F.col("x.node") != F.col("y.node")) & _in_reach("x", "y", percent))
+    spokes = many.join(pivots, "sig").filter(F.col("x.node") != F.col("y.node"))
+    star = spokes.filter(_in_reach("x", "y", percent))
     offered = each.select(*pair).unionByName(star.select(*ordered)).distinct()
     tried = staged(_close(offered, nodes, percent), "join-tried")
     found = staged(_verified(tried, nodes, docs, width, percent), "join-links")
 
-    label = components(found).withColumnRenamed("node", "own")
-    placed = many.join(label, F.col("x.node") == F.col("own"), "left").select("sig", "x", F.coalesce("label", "x.node").alias("label"))
+    label = staged(components(found).withColumnRenamed("node", "own"), "join-labels")
+    small = many.filter(F.col("k") <= SMALL).select("sig", "x")
+    placed = small.join(label, F.col("x.node") == F.col("own"), "left").select("sig", "x", F.coalesce("label", "x.node").alias("label"))
     split = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("sig")
     rest = placed.join(split, "sig").select("sig", "x", F.col("label").alias("lx"))
     across = (
         rest.join(rest.withColumnsRenamed({"x": "y", "lx": "ly"}), "sig")
         .filter((F.col("x.node") < F.col("y.node")) & (F.col("lx") != F.col("ly")) & _in_reach("x", "y", percent))
         .select(*pair)
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
     )
+    large = spokes.filter(F.col("k") > SMALL).select(F.col("x.node").alias("node"), F.col("y.node").alias("pivot")).distinct()
+    across = across.unionByName(_across_large(large, label, nodes, docs, width, percent)).distinct()
+    across = across.join(tried, ["a", "b"], "left_anti")
     across = staged(_close(across, nodes, percent), "join-across")
     return found.unionByName(_verified(across, nodes, docs, width, percent))
 

@@ -158,3 +158,51 @@ def test_one_of_each_keeps_columns(spark):
     kept = nj.one_of_each(df)
     assert kept.columns == df.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [None, 1, 2, 3, 4, 5, 6, 8, 10]))
+
+
+def fillings(seed, members, words, edits):
+    """One template with so many words replaced by ones of its own in each member, and some copies of members."""
+    rng, base, rows = random.Random(seed), prose(seed, words).split(), []
+    for doc in range(members):
+        own = list(base)
+        for at in rng.sample(range(words), edits):
+            own[at] = f"own{doc}x{at}"
+        rows.append((doc, " ".join(own)))
+    for doc in range(0, members, 9):  # within reach of one member only
+        rows.append((members + doc, rows[doc][1] + " tail"))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("edits", [2, 4, 5])
+def test_templates_around_the_threshold(spark, monkeypatch, edits):
+    monkeypatch.setattr(nj, "SMALL", 8)
+    rows = fillings(edits, 80, 150, edits)
+    assert joined(documents(spark, rows)) == brute(rows)
+
+
+def test_template_below_the_threshold_offers_few_pairs(spark, monkeypatch):
+    offered = []
+    plain = nj._across_large
+    monkeypatch.setattr(nj, "_across_large", lambda *a: offered.append(plain(*a)) or offered[-1])
+    rows = fillings(5, 120, 150, 5)
+    assert joined(documents(spark, rows)) == brute(rows)
+    assert offered[0].count() <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fillings_of_one_template_that_share_some(spark, monkeypatch, seed):
+    """Members lie around the threshold; all signatures are large, so links off the pivot are found by differences alone."""
+    monkeypatch.setattr(nj, "FEW", 1)
+    monkeypatch.setattr(nj, "SMALL", 1)
+    rng, base = random.Random(seed), prose(seed, 150).split()
+    pool, rows = [(at, f"fill{k}") for k, at in enumerate(rng.sample(range(150), 30))], []
+    for doc in range(90):
+        own = list(base)
+        for at, word in rng.sample(pool, rng.choice((2, 3, 4))):
+            own[at] = word
+        rows.append((doc, " ".join(own)))
+    assert joined(documents(spark, rows)) == brute(rows)
+    without = nj._across_large
+    monkeypatch.setattr(nj, "_across_large", lambda *a: without(*a).limit(0))
+    assert joined(documents(spark, rows)) != brute(rows)
