@@ -37,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storepulse.llm.common import set_aside, staged
@@ -200,25 +200,25 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     to the shorter history.
     """
     tables, grams = [], counts
+    one_context = Window.partitionBy("lang", "context")
     for size in range(ORDER, 0, -1):
         ones_twos = grams.groupBy("lang").agg(
             F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")
         )
-        ratio = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1))
-        discount = ones_twos.select(F.col("lang").alias("l"), F.least(F.greatest(ratio, F.lit(0.1)), F.lit(0.95)).alias("d"))
-        in_context = grams.withColumn("context", _shifted("gram"))
-        totals = in_context.groupBy(F.col("lang").alias("l"), F.col("context").alias("c")).agg(
-            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
+        known = {r["lang"]: r["n1"] / max(r["n1"] + 2 * r["n2"], 1) for r in ones_twos.collect()}  # one row a language
+        discounts = [F.lit(x) for lang, ratio in known.items() for x in (lang, min(max(ratio, 0.1), 0.95))]
+        discount = F.element_at(F.create_map(*discounts), F.col("lang")) if known else F.lit(0.0)
+        # A context has as many grams as the alphabet has characters, at most.
+        in_context = grams.withColumn("context", _shifted("gram")).select(
+            "lang", "gram", "n", "context", discount.alias("d"), F.sum("n").over(one_context).alias("total"),
+            F.count(F.lit(1)).over(one_context).alias("kinds"), F.min("gram").over(one_context).alias("first"),
         )
-        totals = totals.join(discount, "l")
-        share = in_context.join(totals, (F.col("lang") == F.col("l")) & (F.col("context") == F.col("c"))).select(
-            "lang", F.lit(size).alias("size"), F.lit("a").alias("kind"), "gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("value")
+        share = F.struct(F.lit("a").alias("kind"), F.col("gram"), ((F.col("n") - F.col("d")) / F.col("total")).alias("value"))
+        weight = F.struct(
+            F.lit("b").alias("kind"), F.col("context").alias("gram"), (F.col("d") * F.col("kinds") / F.col("total")).alias("value")
         )
-        weight = totals.select(
-            F.col("l").alias("lang"), F.lit(size).alias("size"), F.lit("b").alias("kind"), F.col("c").alias("gram"),
-            (F.col("d") * F.col("kinds") / F.col("total")).alias("value"),
-        )
-        tables += [share, weight]
+        both = F.when(F.col("gram") == F.col("first"), F.array(share, weight)).otherwise(F.array(share))
+        tables.append(in_context.select("lang", F.lit(size).alias("size"), F.inline(both)))
         mask = (1 << (16 * (size - 1))) - 1
         grams = grams.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         grams = staged(grams, "langid-grams") if size > 1 else grams

@@ -145,3 +145,18 @@ def test_model_is_bounded_and_equal_under_other_partitionings(spark, monkeypatch
         for size in a:
             assert (a[size][0] == b[size][0]).all() and (a[size][1] == b[size][1]).all()
     assert sum(v.size for part in (one.shares, one.weights) for _, v in part.values()) <= 300
+
+
+def test_kneser_ney_groups_each_order_once(spark):
+    """One exchange an order and no join, however few contexts there are: the driver plans and gathers little."""
+    from storepulse.plans.session import explain_text
+
+    counts = spark.createDataFrame([("aa", 0x61006200630064, 2), ("aa", 0x61006200630065, 1), ("bb", 0x61006200630064, 1)], "lang string, gram long, n long")
+    table = langid.kneser_ney(counts)
+    plan = explain_text(table, "simple")
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= langid.ORDER
+    top = {(r.lang, r.kind, r.gram): r.value for r in table.filter("size = 4").collect()}
+    # aa: counts 2 and 1, discount 1 / 3; bb: a single count of one, discount 0.95 at most
+    assert top["aa", "a", 0x61006200630064] == pytest.approx((2 - 1 / 3) / 3) and top["aa", "a", 0x61006200630065] == pytest.approx((1 - 1 / 3) / 3)
+    assert top["aa", "b", 0x6100620063] == pytest.approx(2 / 9) and top["bb", "b", 0x6100620063] == pytest.approx(0.95) and len(top) == 5
+    assert langid.kneser_ney(counts.limit(0)).count() == 0
