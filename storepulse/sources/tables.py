@@ -170,18 +170,23 @@ LINES_PER_DOCUMENT = 4
 LINES_PER_GROUP = 64
 
 
-def _numbered_lines(li: DataFrame) -> DataFrame:
-    """Lines with the group and the document (``run``) of their order that they belong to.
+def _numbered_lines(li: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Lines with their order's number as text (``order_no``) and the group and the document (``run``) of it that they belong to.
 
-    An order of any number of lines is dealt to groups of about ``LINES_PER_GROUP`` by a
-    hash of the line, so that no task numbers or collects a whole order.
+    ``lines`` may give the lines with an id of each (``line_id``) and further columns, even
+    several times; a line and its copies count as one. An order of any number of lines is dealt to groups of about
+    ``LINES_PER_GROUP`` by a hash of the line, so that no window or array holds a whole order. The rows
+    come dealt by ``order_no``, on which all that follows is grouped and joined without another exchange.
     """
+    lines = li.withColumn("line_id", F.monotonically_increasing_id()) if lines is None else lines
     counted = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LINES_PER_GROUP)
-    large = counted.select(F.col("l_orderkey").alias("large_key"), F.ceil(F.col("n") / LINES_PER_GROUP).alias("groups"))
-    dealt = li.join(large, li.l_orderkey == large.large_key, "left").drop("large_key")
-    dealt = dealt.withColumn("line_group", F.coalesce(F.pmod(F.xxhash64(*li.columns), F.col("groups")), F.lit(0))).drop("groups")
-    order = Window.partitionBy("l_orderkey", "line_group").orderBy("l_linenumber", F.xxhash64(*li.columns))
-    return dealt.withColumn("run", F.floor((F.row_number().over(order) - 1) / LINES_PER_DOCUMENT))
+    large = counted.select(F.col("l_orderkey").cast("string").alias("large_no"), F.ceil(F.col("n") / LINES_PER_GROUP).alias("groups"))
+    by_order = lines.withColumn("order_no", F.col("l_orderkey").cast("string")).repartition("order_no")
+    dealt = by_order.join(large, by_order.order_no == large.large_no, "left").drop("large_no")
+    digest = F.xxhash64(*li.columns)
+    dealt = dealt.withColumn("line_group", F.coalesce(F.pmod(digest, F.col("groups")), F.lit(0))).drop("groups")
+    order = Window.partitionBy("order_no", "line_group").orderBy("l_linenumber", digest, "line_id")
+    return dealt.withColumn("run", F.floor((F.dense_rank().over(order) - 1) / LINES_PER_DOCUMENT))
 
 
 def invoices(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
@@ -193,8 +198,7 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
     ``lines=False`` gives the headers alone, a document for each order,
     from which invoices are read without a pass over the lines.
     """
-    li = _numbered_lines(table(spark, sf_dir, "lineitem"))
-    part = table(spark, sf_dir, "part")
+    li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     element = F.struct(
         _LINE_EXPR["soldqty"]().alias("soldqty"),
@@ -231,17 +235,23 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
         orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(_nation(spark, sf_dir, "c"), F.col("c_nationkey") == F.col("c_n_key"), "left")
         .join(_region(spark, sf_dir, "c"), "c_r_key", "left")
+        .withColumn("invoiceno", F.col("o_orderkey").cast("string"))
     )
     if lines:
-        parts = (
-            li.join(part, li.l_partkey == part.p_partkey, "left")
+        # Narrow rows meet the tables of keys first; the wide ones are exchanged once, by order.
+        wide = (
+            li.withColumn("line_id", F.monotonically_increasing_id())
             .join(supplier, li.l_suppkey == supplier.s_suppkey, "left")
-            .select("l_orderkey", "line_group", "run", F.struct("l_linenumber", element.alias("e")).alias("line"))
-            .groupBy("l_orderkey", "line_group", "run")
+            .join(part, li.l_partkey == part.p_partkey, "left")
+        )
+        parts = (
+            _numbered_lines(li, wide)
+            .select("order_no", "line_group", "run", F.struct("l_linenumber", element.alias("e")).alias("line"))
+            .groupBy("order_no", "line_group", "run")
             .agg(F.sort_array(F.collect_list("line")).alias("some"))
-            .select("l_orderkey", "line_group", "run", F.col("some.e").alias("product"))
+            .select("order_no", "line_group", "run", F.col("some.e").alias("product"))
         )
-        docs = header.join(parts, header.o_orderkey == parts.l_orderkey, "left")
+        docs = header.join(parts, header.invoiceno == parts.order_no, "left")
     else:
         docs = header.select("*", F.lit(0).alias("line_group"), F.lit(0).alias("run"), F.lit(None).cast(f"array<{schemas.PRODUCT.simpleString()}>").alias("product"))
     empty = F.array().cast(f"array<{schemas.PRODUCT.simpleString()}>")
@@ -258,7 +268,7 @@ def invoices(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
                 F.struct(F.col("c_r_name").alias("name")).alias("zone"),
             ).alias("territory"),
         ).alias("storeDetails"),
-        F.col("o_orderkey").cast("string").alias("invoiceno"),
+        "invoiceno",
         _ts("o_orderdate").alias("invoicedate"),
         F.coalesce("product", empty).alias("product"),
         F.col("o_totalprice").alias("grosstotal"),

@@ -257,3 +257,35 @@ def test_landing_writes_few_files(spark, tmp_out):
     path = land_by_month(docs, f"{tmp_out}/few", "invoicedate")
     found = spark.read.parquet(path)
     assert len(found.inputFiles()) == found.select("invoice_month").distinct().count()
+
+
+def test_wide_lines_are_exchanged_once(spark):
+    """Documents, their header and the invoice put together again share one exchange of the wide lines, by order."""
+    from storepulse.plans.session import explain_text
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = explain_text(readers.reassembled(tables.invoices(spark, SF001)), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    with_text = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    # lines by supplier, by part and by order; orders; and the small sides: supplier, part, counted orders, customer, nations, regions
+    assert sum("order_no" in x for x in with_text) == 1 and not any("line_group" in x for x in with_text)
+    assert len(with_text) <= 15 and sum("invoiceno" in x for x in with_text) == 1
+
+
+def test_rows_that_come_twice_do_not_move_lines(spark, tmp_out):
+    """A part that stands twice gives a line two elements in its document; the documents stay as they are."""
+    import shutil
+
+    for name in tables.TABLES:
+        if name not in ("part", "lineitem"):
+            shutil.copy(f"{SF001}/{name}.parquet", f"{tmp_out}/{name}.parquet")
+    li, part = tables.table(spark, SF001, "lineitem"), tables.table(spark, SF001, "part")
+    li.union(li.filter("l_orderkey % 2 = 0")).write.parquet(f"{tmp_out}/lineitem.parquet")
+    part.union(part).write.parquet(f"{tmp_out}/part.parquet")
+    sizes = {(r.invoiceno, r.n) for r in tables.invoices(spark, tmp_out).select("invoiceno", F.size("product").alias("n")).collect()}
+    lines = {str(r.l_orderkey): r["count"] * (1 + (r.l_orderkey % 2 == 0)) for r in li.groupBy("l_orderkey").count().collect()}
+    for no, n in lines.items():
+        assert {s for x, s in sizes if x == no} == {2 * k for k in ({4} if n >= 4 else set()) | ({n % 4} if n % 4 else set())}
