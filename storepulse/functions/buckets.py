@@ -50,13 +50,11 @@ def expiry_band_label(seq: Column) -> Column:
 def fiscal_year_label(ts: Column, first: int = FISCAL_YEAR_FIRST, last: int = FISCAL_YEAR_LAST) -> Column:
     """``FYyy-yy`` for April-March years that start from ``first`` to ``last``, else "None"."""
     fy = F.year(F.add_months(F.to_date(ts), -3))
-    label = F.format_string(
-        "FY%02d-%02d", (fy % F.lit(100)).cast("int"), ((fy + F.lit(1)) % F.lit(100)).cast("int")
-    )
-    in_range = fy.between(F.lit(first), F.lit(last))
-    return F.when(ts.isNotNull() & in_range, label).otherwise(F.lit(FISCAL_YEAR_NONE))
+    labels = F.array(*[F.lit(f"FY{y % 100:02d}-{(y + 1) % 100:02d}") for y in range(first, last + 1)]).cast("array<string>")
+    return F.coalesce(F.get(labels, fy - F.lit(first)), F.lit(FISCAL_YEAR_NONE))
 
 
 def before_last_space(text: Column) -> Column:
     """Text before the last space; text without a space is kept whole."""
-    return F.regexp_replace(text, r" [^ ]*$", "")
+    last = F.substring_index(text, " ", -1)
+    return F.when(F.contains(text, F.lit(" ")), text.substr(F.lit(1), F.length(text) - F.length(last) - 1)).otherwise(text)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
 from helpers import ts
 from storepulse.functions.buckets import before_last_space, expiry_band_label, expiry_band_seq, fiscal_year_label
 from storepulse.operators import lot_model
@@ -91,3 +92,25 @@ def test_weighted_age_sums_to_portfolio_age(spark):
     got = {r.category_name: r.weighted_age_days for r in lot_model.weighted_age(model).collect()}
     # equal values, ages 10 and 61 days: portfolio age 35.5
     assert sum(got.values()) == pytest.approx(35.5)
+
+
+def test_labels_and_names_cost_no_formatter_or_regex(spark):
+    from storepulse.plans.session import explain_text
+
+    df = spark.createDataFrame([(dt.datetime(1999, 3, 31), "a b c"), (dt.datetime(1999, 4, 1), " x"), (dt.datetime(2009, 5, 1), "ends "), (None, None), (dt.datetime(1995, 1, 1), "one")], "d timestamp, s string")
+    out = df.select(fiscal_year_label(F.col("d"), 1996, 2000), before_last_space(F.col("s")))
+    assert [tuple(r) for r in out.collect()] == [("FY98-99", "a b"), ("FY99-00", ""), ("None", "ends"), ("None", None), ("None", "one")]
+    plan = explain_text(out)
+    assert "format_string" not in plan and "regexp_replace" not in plan
+
+
+def test_queries_keep_generated_methods_compilable(spark):
+    import __spark_entry__ as entry
+
+    old = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        entry.queries()["lot_model"](spark, SF001)
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", old)
