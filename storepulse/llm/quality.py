@@ -19,9 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
-from collections.abc import Callable, Iterator
-from operator import and_, eq, ne
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,34 +61,86 @@ def _look(word: str) -> tuple[bool, int, int, int]:
     return plain, letters, 0 if word.islower() else sum(map(str.isupper, word)), len(word)
 
 
-class Remembered(dict):
-    """What ``make`` finds for a word; forgets all of it when it has grown large."""
+_RUN = re.compile(r"(.)\1+")
+
+
+class _Kinds(dict):
+    """Translation of characters: x for letters, X for capitals, 9 for digits, the rest as they are."""
+
+    def __missing__(self, code: int) -> str:
+        ch = chr(code)
+        kind = self[code] = "X" if ch.isupper() else "x" if ch.isalpha() else "9" if ch.isdigit() else ch
+        return kind
+
+
+_KINDS = _Kinds()
+
+
+def shapes_of(text: str) -> list[str]:
+    """Letters, capitals, digits and signs of each word; a repeated one stands twice."""
+    return _RUN.sub(r"\1\1", text.translate(_KINDS)).split()
+
+
+def _crcs(text: str) -> Iterator[int]:
+    """CRC-32 of each lower-cased run without ASCII white space."""
+    return map(zlib.crc32, text.lower().encode("utf-8", "surrogatepass").split())
+
+
+_PLAIN, _LETTERS, _CAPITALS, _LENGTH, _SHAPE, _CRC = range(6)
+
 
-    def __init__(self, make: Callable[[str], tuple]):
+class Words(dict):
+    """Numbers of words, and in ``known[number]`` what a look at the word found; starts again when it has grown large.
+
+    Without ``scored``, shapes and checksums, which only the features need, stay 0.
+    """
+
+    def __init__(self, scored: bool):
         super().__init__()
-        self.make = make
+        self.scored, self.known, self.new = scored, np.zeros((1024, 6), np.int64), []
+        self.shapes, self.pair_slots = {"": 0}, {}
 
-    def __missing__(self, word: str) -> tuple:
-        found = self[word] = self.make(word)
-        return found
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
 
-    def columns(self, words: list[str]) -> list[tuple]:
-        if len(self) > 200_000:
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self) > 200_000 or len(self.pair_slots) > 200_000:
             self.clear()
-        return list(zip(*map(self.__getitem__, words)))
+            self.shapes, self.pair_slots = {"": 0}, {}
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            if len(self) > len(self.known):
+                self.known = np.concatenate((self.known, np.zeros((len(self), 6), np.int64)))
+            rows = self.known[len(self) - len(self.new) : len(self)]
+            rows[:, :_SHAPE] = list(map(_look, self.new))
+            if self.scored:
+                text = " ".join(self.new)
+                rows[:, _SHAPE] = [self.shapes.setdefault(x, len(self.shapes)) for x in shapes_of(text)]
+                rows[:, _CRC] = list(_crcs(text))
+            self.new.clear()
+        return numbers
+
+    def pair_slot(self, pair: int, bits: int) -> int:
+        slot = self.pair_slots.get(pair)
+        if slot is None:
+            names = list(self.shapes)
+            slot = self.pair_slots[pair] = _slot(f"s:{names[pair >> 32]}:{names[pair & 0xFFFFFFFF]}", bits)
+        return slot
 
 
-def votes(text: str | None, words: list[str] | None = None, looked: list[tuple] | None = None) -> str:
+def votes(text: str | None, numbers: np.ndarray, known: np.ndarray) -> str:
     """One character for each of ``LABELLERS``. Those that look for one fault abstain where they don't find it."""
-    words = (text or "").split() if words is None else words
-    n = len(words)
+    n = len(numbers)
     if not n:
         return _BLIND * len(LABELLERS)
-    plain, letters, upper, lengths = looked or list(zip(*map(_look, words)))
-    again = sum(map(eq, words, words[1:]))
-    pairs = sum(map(and_, map(and_, plain, plain[1:]), map(ne, words, words[1:])))
-    variety = sum(len(set(words[i : i + 50])) for i in range(0, n, 50)) / n
-    letters, capitals = sum(letters), sum(upper)
+    plain, same = known[:, _PLAIN] > 0, numbers[1:] == numbers[:-1]
+    again = int(np.count_nonzero(same))
+    pairs = int(np.count_nonzero(plain[1:] & plain[:-1] & ~same))
+    in_block = np.sort(numbers | np.arange(n) // 50 << 32)
+    variety = int(1 + np.count_nonzero(in_block[1:] != in_block[:-1])) / n
+    _, letters, capitals, lengths, *_ = known.sum(axis=0).tolist()
     ends = sum(map(text.count, (". ", ".\n", "! ", "? ")))
     return "".join((
         _vote(n > 4, pairs > 0.85 * (n - 1), n >= 12 and pairs < 0.6 * (n - 1)),
@@ -99,7 +149,7 @@ def votes(text: str | None, words: list[str] | None = None, looked: list[tuple]
         _vote(n > 4, False, len(_SYMBOLS.findall(text)) > 0.15 * n),
         _vote(n > 4, False, text.count("|") > 0.05 * n),
         _vote(n > 4, False, capitals > 0.6 * max(1, letters)),
-        _vote(n >= 30, False, letters < 0.75 * sum(lengths)),
+        _vote(n >= 30, False, letters < 0.75 * lengths),
         _vote(n >= 40, 0.02 * n < ends < 0.4 * n, ends < 0.004 * n),
     ))
 
@@ -132,68 +182,54 @@ def estimate(patterns: dict[str, int], rounds: int = ROUNDS) -> tuple[np.ndarray
 
 # ---- hashed linear scorer -------------------------------------------------------------
 
-_RUN = re.compile(r"(.)\1+")
-
-
-class _Kinds(dict):
-    """Translation of characters: x for letters, X for capitals, 9 for digits, the rest as they are."""
-
-    def __missing__(self, code: int) -> str:
-        ch = chr(code)
-        kind = self[code] = "X" if ch.isupper() else "x" if ch.isalpha() else "9" if ch.isdigit() else ch
-        return kind
-
-
-_KINDS = _Kinds()
-
-
-def shapes_of(text: str) -> list[str]:
-    """Letters, capitals, digits and signs of each word; a repeated one stands twice."""
-    return _RUN.sub(r"\1\1", text.translate(_KINDS)).split()
+_SPACES = " \t\n\r\x0b\x0c"
 
 
 def _slot(feature: str, bits: int) -> int:
     return zlib.crc32(feature.encode("utf-8", "surrogatepass")) & (1 << bits) - 1
 
 
-def features(text: str, words: list[str], bits: int, pair_slots: dict) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str, seen: Words, numbers: np.ndarray, known: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(slots, values): each kind of feature has length one, so that long texts weigh no more."""
-    n = len(words)
-    shapes = shapes_of(text)
-    pairs: Counter = Counter()
-    for pair, count in Counter(zip(["", *shapes], shapes)).items():
-        slot = pair_slots.get(pair)
-        if slot is None:
-            slot = pair_slots[pair] = _slot(f"s:{pair[0]}:{pair[1]}", bits)
-        pairs[slot] += count
-    same = sum(map(eq, words, words[1:])) / n
-    own = np.fromiter(map(zlib.crc32, text.lower().encode("utf-8", "surrogatepass").split()), np.int64)
+    n = len(numbers)
+    shapes = known[:, _SHAPE]
+    before = np.concatenate(([0], shapes[:-1]))
+    kinds, first, counts = np.unique(before << 32 | shapes, return_index=True, return_counts=True)
+    order = np.argsort(first)
+    pairs: dict[int, int] = {}
+    for pair, count in zip(kinds[order].tolist(), counts[order].tolist(), strict=True):
+        slot = seen.pair_slot(pair, bits)
+        pairs[slot] = pairs.get(slot, 0) + count
+    same = int(np.count_nonzero(numbers[1:] == numbers[:-1])) / n
+    if len(text) - int(known[:, _LENGTH].sum()) == sum(map(text.count, _SPACES)):
+        own = known[:, _CRC]
+    else:  # words of this feature end at ASCII white space only
+        own = np.fromiter(_crcs(text), np.int64)
     parts = [
         np.unique(own & (1 << bits) - 1, return_counts=True),
         (np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs))),
         (np.array([_slot(f"r:{int(same * 10)}", bits)]), np.ones(1)),
-        (np.array([_slot(f"v:{int(10 * len(set(words)) / n)}:{min(n, 1000).bit_length()}", bits)]), np.ones(1)),
+        (np.array([_slot(f"v:{int(10 * len(np.unique(numbers)) / n)}:{min(n, 1000).bit_length()}", bits)]), np.ones(1)),
     ]
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] / max(1e-9, np.sqrt(float(p[1] @ p[1]))) for p in parts])
 
 
 class Reader:
-    """Votes and features of texts; remembers words and, bounded too, pairs of shapes."""
+    """Votes and, if ``scored``, features of texts; remembers words and, bounded too, pairs of shapes."""
 
-    def __init__(self, bits: int):
-        self.bits, self.pair_slots, self.seen = bits, {}, Remembered(_look)
+    def __init__(self, bits: int, scored: bool = True):
+        self.bits, self.seen = bits, Words(scored)
 
     def votes(self, text: str | None) -> str:
-        words = (text or "").split()
-        return votes(text, words, self.seen.columns(words))
+        numbers = self.seen.numbers((text or "").split())
+        return votes(text, numbers, self.seen.known[numbers])
 
     def __call__(self, text: str | None) -> tuple[str, np.ndarray, np.ndarray]:
-        if len(self.pair_slots) > 200_000:
-            self.pair_slots.clear()
-        words = (text or "").split()
-        if not words:
-            return votes(text), np.zeros(0, np.int64), np.zeros(0)
-        return votes(text, words, self.seen.columns(words)), *features(text, words, self.bits, self.pair_slots)
+        numbers = self.seen.numbers((text or "").split())
+        known = self.seen.known[numbers]
+        if not len(numbers):
+            return votes(text, numbers, known), np.zeros(0, np.int64), np.zeros(0)
+        return votes(text, numbers, known), *features(text, self.seen, numbers, known, self.bits)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, float]], bits: int, epochs: int = EPOCHS) -> np.ndarray:
@@ -217,7 +253,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], bits: int, epochs: i
 
 
 def _vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    read = Reader(FEATURE_BITS)
+    read = Reader(FEATURE_BITS, scored=False)
     for batch in batches:
         made = pa.array([read.votes(t) for t in batch.column(0).to_pylist()], pa.string())
         yield pa.RecordBatch.from_arrays([made], names=["votes"])

@@ -331,3 +331,18 @@ def test_licences_odd(spark):
     out = licenses.scan(licenses.document_files(clashing(docs)))
     assert out.count() == len(odd_documents()) and {r.license for r in out.collect()} == {None}
     assert licenses.scan(licenses.document_files(documents(spark, []))).collect() == []
+
+
+def test_weak_labels_read_each_word_once(monkeypatch):
+    """Shapes are found for new words only, and remembered words give what fresh ones give."""
+    read, shapes_of = [], quality.shapes_of
+    monkeypatch.setattr(quality, "shapes_of", lambda text: read.append(text) or shapes_of(text))
+    texts = ["One two  two, THREE!!! 44\x1cfive\u00a0six \u039f\u0394\u039f\u03a3 x", "two, One \u00a0 six aaaa", "One two  two, THREE!!! 44\x1cfive\u00a0six \u039f\u0394\u039f\u03a3 x"] * 3
+    one = quality.Reader(14)
+    got = [one(t) for t in texts]
+    assert sorted(" ".join(read).split()) == sorted(set(" ".join(texts).split()))
+    for text, (votes, slots, values) in zip(texts, got, strict=True):
+        fresh = quality.Reader(14)(text)
+        assert votes == fresh[0] == quality.Reader(14, scored=False).votes(text)
+        assert slots.tolist() == fresh[1].tolist() and values.tolist() == fresh[2].tolist()
+    assert [quality.Reader(14)(t)[0] for t in (None, "", " \n")] == ["." * len(quality.LABELLERS)] * 3
