@@ -18,7 +18,8 @@ link when the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
   a partner lacks at most ``n - ceil(0.9 n)`` shingles, so in some subclass
   it shares enough of the prefix for a signature. The number of
   subclasses depends on the band (power of two) of the larger set, so a
-  node near the end of its band indexes for the next one too.
+  node near the end of its band indexes for the next one too. It grows with the shingles
+  that a partner may lack, so that a subclass, and its combinations, stay few.
 * Nodes that share a signature are candidates, unless their sizes, the place of
   the shared shingle in the order, or the Hamming distance of their parity
   bitmaps (a lower bound of the sets' difference) show that they cannot link.
@@ -59,8 +60,8 @@ SKETCH_BITS = 22
 RARE = 8
 #: The very frequent class begins at this many times the end of the rare class.
 VERY = 64
-#: Subclasses of a frequent class in a band: its smallest set size by this.
-PER_SUBCLASS = 40
+#: Subclasses of a frequent class in a band: one for so many shingles that a partner of its smallest set may lack.
+PER_SUBCLASS = 2
 #: Signatures of up to this many members offer all their pairs at once.
 FEW = 8
 #: Signatures of up to this many members offer all pairs of members that still lie in different components.
@@ -168,7 +169,7 @@ def _band(n: int) -> int:
 def _combined(order: np.ndarray, level: np.ndarray, n: int, band: int, limits: tuple[int, int], percent: int):
     """Signatures and places of one band: rare shingles alone, combinations within subclasses of frequent ones."""
     need = n - _needed(n, percent) + 1
-    subclasses = max(1, (1 << (band - 1)) // PER_SUBCLASS)
+    subclasses = max(1, (1 << (band - 1)) * (100 - percent) // (100 * PER_SUBCLASS))
     slack = 3 * subclasses  # shared shingles that may stand earlier without forming a combination
     groups: dict[tuple[int, int], list[tuple[int, int]]] = {}
     sigs, places, covered = [], [], 0
@@ -398,22 +399,22 @@ def _across_large(spokes: DataFrame, label: DataFrame, nodes: DataFrame, docs: D
     """
     member = F.col("node") == F.col("own")
     placed = spokes.join(label, member, "left").select("node", "pivot", F.coalesce("label", "node").alias("l"))
-    lone = F.coalesce("label", "pivot").alias("lp")
-    placed = placed.join(label, F.col("pivot") == F.col("own"), "left").select("node", "pivot", "l", lone)
-    split = placed.filter("l <> lp").select("pivot").distinct()
-    placed = staged(placed.join(split, "pivot").select("node", "pivot", "l"), "join-members")
+    home = (F.col("l") == F.coalesce("label", "pivot")).alias("home")
+    placed = placed.join(label, F.col("pivot") == F.col("own"), "left").select("node", "pivot", "l", home)
+    split = placed.filter("not home").select("pivot").distinct()
+    placed = staged(placed.join(split, "pivot").select("node", "pivot", "l", "home"), "join-members")
 
     sets = _tokens(_ends(placed, "node", "pivot"), nodes, docs, width)
     own = sets.select("node", "tokens")
     centre = sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("centre"))
     apart = F.concat(F.array_except("tokens", "centre"), F.array_except("centre", "tokens"))
-    differing = placed.join(own, "node").join(centre, "pivot").select("pivot", "node", "l", F.size("tokens").alias("n"), apart.alias("d"))
+    differing = placed.join(own, "node").join(centre, "pivot").select("pivot", "node", "l", "home", F.size("tokens").alias("n"), apart.alias("d"))
     single = staged(differing.select("pivot", "node", F.explode("d").alias("token")), "join-differences")
     shared = single.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     listed = single.join(shared, ["pivot", "token"]).groupBy("pivot", "node").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("df", "token"))), lambda s: s["token"]).alias("common")
     )
-    sizes = differing.select("pivot", "node", "l", "n", F.size("d").alias("d"))
+    sizes = differing.select("pivot", "node", "l", "home", "n", F.size("d").alias("d"))
     # Shingles that no other member's difference has stand first and offer nothing; places count them.
     lists = staged(sizes.join(listed, ["pivot", "node"]), "join-lists")
     most = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / F.lit(100 + percent)).cast("int")
@@ -421,8 +422,8 @@ def _across_large(spokes: DataFrame, label: DataFrame, nodes: DataFrame, docs: D
 
     def first(length: Column, name: str) -> DataFrame:
         taken = F.slice("common", 1, F.greatest(F.lit(0), length - alone))
-        at = lists.select("pivot", F.struct("node", "l", "n", "d", alone.alias("alone")).alias(name), F.posexplode(taken).alias("i", "token"))
-        return at.select("pivot", "token", F.col(name).withField("place", F.col(f"{name}.alone") + F.col("i")).alias(name))
+        at = lists.select("pivot", "home", F.struct("node", "l", "n", "d", alone.alias("alone")).alias(name), F.posexplode(taken).alias("i", "token"))
+        return at.select("pivot", "token", "home", F.col(name).withField("place", F.col(f"{name}.alone") + F.col("i")).alias(name))
 
     x, y = F.col("x"), F.col("y")
     need = _overlap(x["n"], y["n"], percent)
@@ -430,7 +431,11 @@ def _across_large(spokes: DataFrame, label: DataFrame, nodes: DataFrame, docs: D
     room = 2 * F.least(x["d"] - x["place"], y["d"] - y["place"]) >= x["d"] + y["d"] - differ
     reach = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent
     order = F.struct(x["d"], x["node"]) < F.struct(y["d"], y["node"])
-    met = first(F.floor(most / 2).cast("int") + 1, "x").join(first(most + 1, "y"), ["pivot", "token"])
+    shorter, longer = first(F.floor(most / 2).cast("int") + 1, "x"), first(most + 1, "y")
+    # Members of the pivot's own component, most of a group of near copies, meet only those of other ones.
+    met = shorter.filter("not home").drop("home").join(longer.drop("home"), ["pivot", "token"]).unionByName(
+        shorter.filter("home").drop("home").join(longer.filter("not home").drop("home"), ["pivot", "token"])
+    )
     met = met.filter((x["l"] != y["l"]) & order & reach & room)
     return met.select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")).distinct()
 

@@ -206,3 +206,42 @@ def test_fillings_of_one_template_that_share_some(spark, monkeypatch, seed):
     without = nj._across_large
     monkeypatch.setattr(nj, "_across_large", lambda *a: without(*a).limit(0))
     assert joined(documents(spark, rows)) != brute(rows)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_signatures_of_frequent_shingles_grow_with_what_a_partner_may_lack(percent):
+    # a large group of near copies makes all its shingles very frequent; combinations of all of a long prefix were several times as many
+    rng = np.random.default_rng(3)
+    levels = np.full(1 << 10, 9, np.uint8)
+    for n in (60, 64, 127, 146, 250, 400, 1000):
+        most, n_of = n - nj._needed(n, percent), []
+        for _ in range(5):
+            x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+            lose = rng.integers(0, most // 2 + 1)
+            y = np.unique(np.concatenate((rng.permutation(x)[lose:], rng.integers(0, 1 << 63, lose).astype(np.uint64))))
+            for limits in ((4, 99), (4, 8)):
+                a, b = (nj.signatures(s, levels, limits, percent)[0] for s in (x, y))
+                n_of.append(len(a))
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    assert len(np.intersect1d(a, b)), (n, limits)
+        assert np.mean(n_of) <= 30 * (most + 1), n
+
+
+def test_members_off_the_pivot_find_each_other_and_the_pivots_component(spark, monkeypatch):
+    """Half of the members link with the pivot; others link only with members, of the pivot's component or of none."""
+    monkeypatch.setattr(nj, "FEW", 1)
+    monkeypatch.setattr(nj, "SMALL", 1)
+    base, rows = prose(41, 150).split(), []
+    for doc in range(60):
+        own = list(base)
+        for at in range(0, 150, 50 if doc % 3 else 30):
+            own[at + doc % 7] = f"fill{doc % 5}x{at}"
+        own[149 - doc % 11] = f"last{doc}"
+        rows.append((doc, " ".join(own)))
+    homes = []
+    plain = nj.staged
+    monkeypatch.setattr(nj, "staged", lambda df, name: (out := plain(df, name), homes.append(out) if name == "join-lists" else None)[0])
+    want = brute(rows)
+    assert joined(documents(spark, rows)) == want and 1 < len({c for _, _, c in want}) < 60
+    assert {r.home for r in homes[0].select("home").distinct().collect()} == {True, False}
