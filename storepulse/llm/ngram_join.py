@@ -169,7 +169,9 @@ def _band(n: int) -> int:
 def _combined(order: np.ndarray, level: np.ndarray, n: int, band: int, limits: tuple[int, int], percent: int):
     """Signatures and places of one band: rare shingles alone, combinations within subclasses of frequent ones."""
     need = n - _needed(n, percent) + 1
-    subclasses = max(1, (1 << (band - 1)) * (100 - percent) // (100 * PER_SUBCLASS))
+    size = 1 << (band - 1)
+    # The bound, below 74 percent, keeps the first ones of all subclasses fewer than the least overlap of the band's smallest set.
+    subclasses = max(1, min(size * (100 - percent) // (100 * PER_SUBCLASS), size * percent**2 // 40_000))
     slack = 3 * subclasses  # shared shingles that may stand earlier without forming a combination
     groups: dict[tuple[int, int], list[tuple[int, int]]] = {}
     sigs, places, covered = [], [], 0
