@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: A word of the size and shingle contracts: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -39,10 +41,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Cuts the lineage: executors lost later cost a re-read, not a recomputation.
+    The shuffle files of the write are of no more use then and go at its end, not when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

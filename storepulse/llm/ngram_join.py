@@ -20,6 +20,9 @@ link when the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
   subclasses depends on the band (power of two) of the larger set, so a
   node near the end of its band indexes for the next one too. It grows with the shingles
   that a partner may lack, so that a subclass, and its combinations, stay few.
+* Signatures are made for one text of each distinct set and written once. Postings (signature, node, size,
+  place) travel packed, some eight bytes each, by parts of the signatures; all that share a signature meet
+  in its part, and what stands alone, nearly all of them, ends there.
 * Nodes that share a signature are candidates, unless their sizes, the place of
   the shared shingle in the order, or the Hamming distance of their parity
   bitmaps (a lower bound of the sets' difference) show that they cannot link.
@@ -66,6 +69,9 @@ PER_SUBCLASS = 2
 FEW = 8
 #: Signatures of up to this many members offer all pairs of members that still lie in different components.
 SMALL = 32
+#: Postings that a task packs at a time, and about as many as meet in one part.
+CHUNK = 1 << 20
+PER_PART = 1 << 18
 #: Statistics of tasks that are combined at a time.
 FAN_IN = 16
 
@@ -243,7 +249,8 @@ def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-_INDEXED = "doc_id long, text_hash long, digest binary, n int, bitmap array<long>, low array<long>, sigs array<long>, places array<int>"
+_DESCRIBED = "doc_id long, text_hash long, digest binary, n int"
+_SIGNED = "doc_id long, digest binary, n int, bitmap array<long>, low array<long>, sigs array<long>, places array<int>"
 
 
 def _lists(parts: list[np.ndarray], kind: np.dtype, arrow: pa.DataType) -> pa.Array:
@@ -252,26 +259,47 @@ def _lists(parts: list[np.ndarray], kind: np.dtype, arrow: pa.DataType) -> pa.Ar
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat, arrow))
 
 
-def _index(levels, width: int, limits: tuple[int, int], percent: int):
+def _described(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, text_hashes = batch.column(0), batch.column(1)
             for row, hashes, starts, ends in shingle_blocks(batch.column(2), width):
                 sets = [_distinct(hashes[a:b]) for a, b in zip(starts, ends, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(row, len(sets)),
+                        batch.column(1).slice(row, len(sets)),
+                        pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                        pa.array([len(s) for s in sets], pa.int32()),
+                    ],
+                    names=["doc_id", "text_hash", "digest", "n"],
+                )
+
+    return run
+
+
+def _signed(levels, width: int, limits: tuple[int, int], percent: int, wanted):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = _let_through(wanted.value, batch)
+            for row, hashes, starts, ends in shingle_blocks(texts, width):
+                sets = [_distinct(hashes[a:b]) for a, b in zip(starts, ends, strict=True)]
+                large = np.array([len(s) >= least_set(percent) for s in sets], bool)
+                sets = [s for s, keep in zip(sets, large, strict=True) if keep]
+                if not sets:
+                    continue
                 made = [signatures(s, levels.value, limits, percent) for s in sets]
                 bitmaps = [_parity(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(row, len(sets)),
-                        text_hashes.slice(row, len(sets)),
-                        pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                        ids.slice(row, len(large)).filter(pa.array(large)),
+                        pa.array([_digest(s) for s in sets], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         _lists(bitmaps, np.int64, pa.int64()),
                         _lists([_folded(b) for b in bitmaps], np.int64, pa.int64()),
                         _lists([m[0] for m in made], np.int64, pa.int64()),
                         _lists([m[1] for m in made], np.int32, pa.int32()),
                     ],
-                    names=["doc_id", "text_hash", "digest", "n", "bitmap", "low", "sigs", "places"],
+                    names=["doc_id", "digest", "n", "bitmap", "low", "sigs", "places"],
                 )
 
     return run
@@ -280,9 +308,7 @@ def _index(levels, width: int, limits: tuple[int, int], percent: int):
 def _sets(width: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = _filter_slots(batch.column(0).fill_null(0).to_numpy())
-            hit = (wanted.value[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1
-            texts = batch.column(1).filter(pa.array(hit.astype(bool)))
+            _, texts = _let_through(wanted.value, batch)
             for _, hashes, starts, ends in shingle_blocks(texts, width):
                 sets = [_distinct(hashes[a:b]) for a, b in zip(starts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -296,6 +322,114 @@ def _sets(width: int, wanted):
     return run
 
 
+# ---- meetings ----------------------------------------------------------------
+
+#: Columns of packed postings: what is left of the signature, node, size of its set, place.
+_POSTING = (np.uint32, np.int64, np.int32, np.int32)
+
+
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns by planes of equal bytes, compressed; the signatures, in ascending order, as steps."""
+    steps = np.diff(columns[0], prepend=np.zeros(1, np.uint32))
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in (steps, *columns[1:])]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, n: int) -> list[np.ndarray]:
+    widths = [np.dtype(kind).itemsize for kind in _POSTING]
+    flat = np.frombuffer(pa.decompress(packed, n * sum(widths), codec="zstd", asbytes=True), np.uint8).reshape(-1, n)
+    planes = np.split(flat, np.cumsum(widths)[:-1])
+    columns = [np.ascontiguousarray(p.T).view(kind).ravel() for p, kind in zip(planes, _POSTING, strict=True)]
+    return [np.cumsum(columns[0], dtype=np.uint32), *columns[1:]]
+
+
+def _dealt(parts: int):
+    """(node, n, sigs, places) rows as packed postings, by part of the signatures.
+
+    Within its part a signature is known by 32 bits; others that they make equal only meet for nothing.
+    """
+
+    def packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        sig, node, n, place = (np.concatenate(c) for c in zip(*held, strict=True))
+        part, left = sig % _U(parts), (sig // _U(parts)).astype(np.uint32)
+        by = np.argsort(part << _U(32) | left)
+        columns = [left[by], node[by], n[by], place[by]]
+        found, starts = np.unique(part[by], return_index=True)
+        ends = [*starts[1:], len(by)]
+        rows = [_pack([c[a:b] for c in columns]) for a, b in zip(starts, ends, strict=True)]
+        sizes = np.subtract(ends, starts).astype(np.int32)
+        return pa.RecordBatch.from_pydict({"part": found.astype(np.int32), "size": sizes, "packed": rows})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+        for batch in batches:
+            node, n, sigs, places = batch.columns
+            each = np.diff(sigs.offsets.to_numpy())
+            flat = sigs.flatten().to_numpy().view(_U)
+            held.append([flat, np.repeat(node.to_numpy(), each), np.repeat(n.to_numpy(), each), places.flatten().to_numpy()])
+            total += len(flat)
+            if total > CHUNK:
+                yield packed(held)
+                held, total = [], 0
+        if total:
+            yield packed(held)
+
+    return run
+
+
+_MET = "sig long, k int, node long, n int, place int, other long"
+
+
+def _met(percent: int, few: int):
+    """The postings of one part: pairs in reach of signatures of up to ``few`` members, all postings of larger ones."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = [_unpack(p.as_py(), n.as_py()) for p, n in zip(table.column("packed"), table.column("size"), strict=True)]
+        sig, node, n, place = (np.concatenate(c) for c in zip(*rows, strict=True))
+        by = np.argsort(sig, kind="stable")
+        sig, node, n, place = sig[by], node[by], n[by].astype(np.int64), place[by].astype(np.int64)
+        starts = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        k = np.diff(starts, append=len(sig))
+        low, high = [], []
+        for size in range(2, few + 1):
+            first = starts[k == size]
+            for i, j in combinations(range(size), 2):
+                x, y = first + i, first + j
+                least, most = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+                room = np.minimum(n[x] - place[x], n[y] - place[y])
+                ok = (least * 100 >= most * percent) & (room >= -(-(least + most) * percent // (100 + percent)))
+                a, b = node[x][ok], node[y][ok]
+                low.append(np.minimum(a, b))
+                high.append(np.maximum(a, b))
+        low, high = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (low, high))
+        pairs = np.unique(np.stack([low, high], axis=1)[low < high], axis=0)
+        many = np.repeat(k > few, k)
+        part = table.column("part")[0].as_py()
+        null = lambda length, kind: pa.nulls(length, kind)
+        p, m = len(pairs), int(many.sum())
+        columns = [
+            (null(p, pa.int64()), pa.array((sig[many].astype(np.int64) | part << 32))),
+            (null(p, pa.int32()), pa.array(np.repeat(k, k)[many].astype(np.int32))),
+            (pa.array(pairs[:, 0]), pa.array(node[many])),
+            (null(p, pa.int32()), pa.array(n[many].astype(np.int32))),
+            (null(p, pa.int32()), pa.array(place[many].astype(np.int32))),
+            (pa.array(pairs[:, 1]), null(m, pa.int64())),
+        ]
+        return pa.table([pa.concat_arrays(c) for c in columns], names=["sig", "k", "node", "n", "place", "other"])
+
+    return run
+
+
+def _meetings(signed: DataFrame, shingles: int, percent: int) -> DataFrame:
+    """Who shares a signature: (node, other) pairs, and (sig, k, node, n, place) where more than ``FEW`` do.
+
+    Nearly all signatures stand in one set only, so postings travel packed and once, and what meets is seen where they arrive.
+    """
+    parts = shingles * (100 - percent) // 100 // PER_PART + 1
+    dealt = signed.select("node", "n", "sigs", "places").mapInArrow(_dealt(parts), "part int, size int, packed binary")
+    return dealt.groupBy("part").applyInArrow(_met(percent, FEW), _MET)
+
+
 # ---- candidates and links ----------------------------------------------------
 
 
@@ -337,6 +471,13 @@ def _filter_slots(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(_U) + _U(1)) >> _U(64 - FILTER_BITS)).astype(np.int64)
 
 
+def _let_through(bits: np.ndarray, batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array]:
+    """(doc_id, text) of the rows whose doc_id the filter lets through."""
+    slots = _filter_slots(batch.column(0).fill_null(0).to_numpy())
+    hit = pa.array(((bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).astype(bool))
+    return batch.column(0).filter(hit), batch.column(1).filter(hit)
+
+
 def _wanted(ids: DataFrame) -> np.ndarray:
     """Bit array of the hashes of all ``doc_id``, the same size however many there are."""
 
@@ -442,29 +583,18 @@ def _across_large(spokes: DataFrame, label: DataFrame, nodes: DataFrame, docs: D
     return met.select(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")).distinct()
 
 
-def _links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between nodes, enough of them to connect every component."""
-    entries = nodes.select("node", "n", F.explode(F.arrays_zip("sigs", "places")).alias("e"))
-    entries = entries.select(F.col("e.sigs").alias("sig"), "node", "n", F.col("e.places").alias("place"))
-    room = F.min(F.col("n") - F.col("place"))
-    shared = entries.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("k"), F.min("n").alias("least"), F.max("n").alias("most"), room.alias("room")
-    )
-    # Whether two members can link shows in these figures already, which ends most signatures here.
-    least, most = F.col("least"), F.col("most")
-    two = (least * 100 >= most * percent) & (F.col("room") >= _overlap(least, most, percent))
-    shared = shared.filter((F.col("k") > 2) | ((F.col("k") == 2) & two)).select("sig", "k")
-    live = entries.join(shared, "sig").join(nodes.select("node", "low"), "node")
-    live = staged(live.select("sig", "k", F.struct("place", "node", "n", "low").alias("x")), "join-live")
+def _links(met: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between nodes, enough of them to connect every component; ``met`` as of ``_meetings``."""
+    each = met.filter("sig is null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    many = met.filter("sig is not null").join(nodes.select("node", "low"), "node")
+    many = staged(many.select("sig", "k", F.struct("place", "node", "n", "low").alias("x")), "join-many")
 
     pair = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
     ordered = [F.least(*pair).alias("a"), F.greatest(*pair).alias("b")]
-    few, many = live.filter(F.col("k") <= FEW).select("sig", "x"), live.filter(F.col("k") > FEW)
-    each = few.join(few.withColumnRenamed("x", "y"), "sig").filter((F.col("x.node") < F.col("y.node")) & _in_reach("x", "y", percent))
     pivots = many.groupBy("sig").agg(F.min("x").alias("y"))
     spokes = many.join(pivots, "sig").filter(F.col("x.node") != F.col("y.node"))
     star = spokes.filter(_in_reach("x", "y", percent))
-    offered = each.select(*pair).unionByName(star.select(*ordered)).distinct()
+    offered = each.unionByName(star.select(*ordered)).distinct()
     tried = staged(_close(offered, nodes, percent), "join-tried")
     found = staged(_verified(tried, nodes, docs, width, percent), "join-links")
 
@@ -502,14 +632,23 @@ def ngram_join(
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     levels = shingle_levels(docs, width, sketch_bits)
     limits = class_limits(levels, rare, very)
+    indexed = staged(docs.mapInArrow(_described(width), _DESCRIBED), "join-indexed")
+    first = indexed.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
+    first = staged(first, "join-first")
+
+    # Signatures are made and written once for each set of enough shingles, of the text that names it, and of the few others the filter lets through.
+    large = first.filter(F.col("n") >= least_set(percent))
+    shingles = large.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     shared_levels = spark.sparkContext.broadcast(levels)  # 2**sketch_bits bytes
-    indexed = staged(docs.mapInArrow(_index(shared_levels, width, limits, percent), _INDEXED), "join-indexed")
-    shared_levels.destroy()
-    some = indexed.filter(F.size("sigs") > 0).dropDuplicates(["digest"])
-    nodes = staged(some.withColumn("node", F.monotonically_increasing_id()), "join-nodes")
-    label = components(_links(nodes, docs, width, percent))
+    wanted = spark.sparkContext.broadcast(_wanted(large.select(F.col("first_id").alias("doc_id"))))
+    signed = docs.select("doc_id", "text").mapInArrow(_signed(shared_levels, width, limits, percent, wanted), _SIGNED)
+    signed = staged(signed.withColumn("node", F.monotonically_increasing_id()), "join-signed")
+    for shared in (shared_levels, wanted):
+        shared.destroy()
+    nodes = staged(signed.drop("sigs", "places").dropDuplicates(["digest"]), "join-nodes")
+    met = staged(_meetings(signed, shingles, percent), "join-met")
+    label = components(_links(met, nodes, docs, width, percent))
 
-    first = indexed.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
     named = label.join(nodes.select("node", F.col("digest").alias("d")), "node")
     named = named.join(first, F.col("d") == F.col("digest")).select("d", "label", "first_id")
     whole = named.groupBy("label").agg(F.min("first_id").alias("lowest"), F.min("d").alias("least"))

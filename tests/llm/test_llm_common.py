@@ -1,10 +1,12 @@
 """Where intermediate tables go."""
 
+import os
+import time
 import types
 
 import pytest
 
-from storepulse.llm.common import free_name, shared_dir
+from storepulse.llm.common import free_name, shared_dir, staged
 
 
 def session(master, setting=None, folder=None):
@@ -32,3 +34,19 @@ def test_a_local_master_gets_its_own():
 def test_free_name():
     df = types.SimpleNamespace(columns=["_A", "_a_"])
     assert free_name(df, "_a") == "_a__"
+
+
+def test_staged_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {
+        name for top in manager.localDirs() for _, _, names in os.walk(top.getPath()) for name in names if name.startswith("shuffle_")
+    }
+    before, conf = held(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    out = staged(spark.range(2000).selectExpr("id % 100 AS k").groupBy("k").count(), "test")
+    for _ in range(50):  # files go in the background
+        if not held() - before:
+            break
+        time.sleep(0.2)
+    assert not held() - before
+    assert out.count() == 100 and out.agg({"count": "sum"}).first()[0] == 2000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == conf

@@ -245,3 +245,46 @@ def test_members_off_the_pivot_find_each_other_and_the_pivots_component(spark, m
     want = brute(rows)
     assert joined(documents(spark, rows)) == want and 1 < len({c for _, _, c in want}) < 60
     assert {r.home for r in homes[0].select("home").distinct().collect()} == {True, False}
+
+
+def test_postings_are_written_once_and_packed(spark, monkeypatch):
+    """Texts of their own share hardly a signature: these are written once, and no row a signature is."""
+    plain, written = nj.staged, {}
+    monkeypatch.setattr(nj, "staged", lambda df, name: written.setdefault(name, plain(df, name)))
+    rows = [(i, prose(5000 + i, 300)) for i in range(60)] + [(60 + i, prose(5000 + i, 300)) for i in range(20)]
+    assert joined(documents(spark, rows)) == brute(rows)
+    signed = [df for df in written.values() if "sigs" in df.columns]
+    assert len(signed) == 1 and 60 <= signed[0].count() < 80  # exact copies don't come again, but for those the filter lets through
+    postings = sum(len(r.sigs) for r in signed[0].select("sigs").collect())
+    assert written["join-met"].count() < postings / 10
+
+
+def test_packed_postings_meet_as_they_are():
+    rng = np.random.default_rng(9)
+    nodes, n, parts, percent, few = 80, rng.integers(60, 100, 80).astype(np.int32), 3, 80, 4
+    pool = rng.integers(0, 1 << 63, 300).astype(np.uint64) * np.uint64(2)
+    sigs = [np.unique(np.append(rng.choice(pool, 12), pool[:1] if i % 2 else pool[1:2])) for i in range(nodes)]
+    places = [rng.integers(0, 20, len(s)).astype(np.int32) for s in sigs]
+    ids = np.arange(nodes) + (np.arange(nodes) % 3 << 33)
+    lists = [nj._lists(sigs, np.int64, pa.int64()), nj._lists(places, np.int32, pa.int32())]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), *lists], names=["node", "n", "sigs", "places"])
+    dealt = pa.Table.from_batches(nj._dealt(parts)(iter([batch.slice(0, 30), batch.slice(30)])))
+    met = pa.concat_tables(nj._met(percent, few)(dealt.filter(pa.array(dealt["part"].to_numpy() == p))) for p in range(parts)).to_pylist()
+
+    members = {}
+    for i in range(nodes):
+        for s, place in zip(sigs[i].tolist(), places[i].tolist()):
+            members.setdefault(s, []).append((int(ids[i]), int(n[i]), place))
+    pairs, many = set(), []
+    for s, of in members.items():
+        if len(of) > few:
+            many += [(len(of), *m) for m in of]
+            continue
+        for x in of:
+            for y in of:
+                need = -(-(x[1] + y[1]) * percent // (100 + percent))
+                near = 100 * min(x[1], y[1]) >= percent * max(x[1], y[1]) and min(x[1] - x[2], y[1] - y[2]) >= need
+                pairs |= {(x[0], y[0])} if x[0] < y[0] and near else set()
+    assert pairs and {(r["node"], r["other"]) for r in met if r["sig"] is None} == pairs
+    assert many and sorted((r["k"], r["node"], r["n"], r["place"]) for r in met if r["sig"] is not None) == sorted(many)
+    assert len({r["sig"] for r in met} - {None}) == sum(len(of) > few for of in members.values())
